@@ -1,0 +1 @@
+"""Empty on purpose: every load is a bounded snapshot, so there is no streaming operator to offer."""
