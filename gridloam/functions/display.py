@@ -67,7 +67,7 @@ def format_power(value) -> Column:
 def format_count(value) -> Column:
     """Thousands grouped, at most three decimals."""
     x = _col(value).cast("double")
-    return _shown(x, F.format_number(F.round(x, 3), "#,##0.###"))
+    return _shown(x, F.call_function("format_number", F.round(x, 3), F.lit("#,##0.###")))
 
 
 def format_ops(value) -> Column:

@@ -118,63 +118,39 @@ def ring_edges(ring: Column) -> Column:
     )
 
 
-_SUMS = ("area2", "mx", "my", "length", "lx", "ly")
-
-
-def _add(a: Column, b: Column, sign: Column | None = None) -> Column:
-    def term(name: str) -> Column:
-        signed = sign is not None and name in ("area2", "mx", "my")
-        return a[name] + (b[name] * sign if signed else b[name])
-
-    return F.struct(*[term(n).alias(n) for n in _SUMS])
-
-
-def _zero() -> Column:
-    return F.struct(*[F.lit(0.0).alias(n) for n in _SUMS])
+# Bound step by step through one-element transforms, so that every value is worked out once:
+# g the region, o its first vertex, rings the shoelace sums of each ring with +1 for outlines and -1 for holes.
+_CENTROID = """
+get(transform(array({region}), g -> get(transform(array(get(get(get(g, 0), 0), 0)), o -> get(transform(array(
+  flatten(transform(g, part -> transform(part, (ring, i) -> get(transform(array(
+    zip_with(ring, concat(slice(ring, 2, size(ring)), slice(ring, 1, 1)),
+             (a, b) -> named_struct('x1', a.x - o.x, 'y1', a.y - o.y, 'x2', b.x - o.x, 'y2', b.y - o.y))),
+    edges -> named_struct(
+      'edges', edges,
+      'area2', aggregate(edges, 0D, (s, e) -> s + (e.x1 * e.y2 - e.x2 * e.y1)),
+      'mx', aggregate(edges, 0D, (s, e) -> s + (e.x1 + e.x2) * (e.x1 * e.y2 - e.x2 * e.y1)),
+      'my', aggregate(edges, 0D, (s, e) -> s + (e.y1 + e.y2) * (e.x1 * e.y2 - e.x2 * e.y1)),
+      'side', if(i = 0, 1D, -1D))), 0))))), rings -> get(transform(array(named_struct(
+    'area2', aggregate(rings, 0D, (s, r) -> s + r.side * abs(r.area2)),
+    'mx', aggregate(rings, 0D, (s, r) -> s + r.side * sign(r.area2) * r.mx),
+    'my', aggregate(rings, 0D, (s, r) -> s + r.side * sign(r.area2) * r.my))),
+  t -> if(t.area2 <> 0,
+    named_struct('x', o.x + t.mx / (3 * t.area2), 'y', o.y + t.my / (3 * t.area2)),
+    get(transform(array(aggregate(flatten(transform(rings, r -> r.edges)), named_struct('l', 0D, 'x', 0D, 'y', 0D),
+      (s, e) -> named_struct('l', s.l + sqrt(pow(e.x2 - e.x1, 2) + pow(e.y2 - e.y1, 2)),
+                             'x', s.x + sqrt(pow(e.x2 - e.x1, 2) + pow(e.y2 - e.y1, 2)) * (e.x1 + e.x2) / 2,
+                             'y', s.y + sqrt(pow(e.x2 - e.x1, 2) + pow(e.y2 - e.y1, 2)) * (e.y1 + e.y2) / 2))),
+      m -> named_struct('x', o.x + coalesce(try_divide(m.x, m.l), 0D), 'y', o.y + coalesce(try_divide(m.y, m.l), 0D))), 0))), 0)), 0)), 0)), 0)
+"""
 
 
-def centroid(region) -> Column:
-    """Area centroid of a region: shoelace sums taken from its first vertex, holes subtract.
+def centroid(region: str) -> Column:
+    """Area centroid of the named region column: shoelace sums taken from its first vertex, holes subtract.
 
     Ring order, not winding, says what is a hole. A region without area falls back to the
     length-weighted centre of its edges, and one without length to its first vertex.
     """
-    g = _col(region)
-    origin = F.get(F.get(F.get(g, F.lit(0)), F.lit(0)), F.lit(0))
-
-    def edge_sums(e: Column) -> Column:
-        x1, y1 = e["x1"] - origin["x"], e["y1"] - origin["y"]
-        x2, y2 = e["x2"] - origin["x"], e["y2"] - origin["y"]
-        cross = x1 * y2 - x2 * y1
-        length = F.sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1))
-        return F.struct(
-            cross.alias("area2"),
-            ((x1 + x2) * cross).alias("mx"),
-            ((y1 + y2) * cross).alias("my"),
-            length.alias("length"),
-            (length * (x1 + x2) / 2).alias("lx"),
-            (length * (y1 + y2) / 2).alias("ly"),
-        )
-
-    def ring_sums(ring: Column) -> Column:
-        return F.aggregate(F.transform(ring_edges(ring), edge_sums), _zero(), lambda acc, s: _add(acc, s))
-
-    def signed(s: Column, i: Column) -> Column:
-        outward = F.when(i == 0, F.signum(s["area2"])).otherwise(-F.signum(s["area2"]))
-        return _add(_zero(), s, outward)
-
-    rings = F.flatten(F.transform(g, lambda p: F.transform(F.transform(p, ring_sums), signed)))
-    total = F.aggregate(rings, _zero(), lambda acc, s: _add(acc, s))
-
-    def centre(s: Column) -> Column:
-        by_area = s["area2"] != 0
-        by_length = s["length"] != 0
-        cx = F.when(by_area, s["mx"] / (3 * s["area2"])).when(by_length, s["lx"] / s["length"]).otherwise(F.lit(0.0))
-        cy = F.when(by_area, s["my"] / (3 * s["area2"])).when(by_length, s["ly"] / s["length"]).otherwise(F.lit(0.0))
-        return F.struct((origin["x"] + cx).alias("x"), (origin["y"] + cy).alias("y"))
-
-    # The one-element transform makes the sums a lambda variable, so they are worked out once.
-    return F.get(F.transform(F.array(total), centre), F.lit(0))
+    return F.expr(_CENTROID.format(region=region))
 
 
 # ---------------------------------------------------------------- predicates

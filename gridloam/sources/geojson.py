@@ -87,8 +87,7 @@ def absent_properties(names: list[str], column: str = "properties"):
 def feature_json(kind: str, properties: list[str], geometry_col: str = "geometry"):
     """One GeoJSON Feature as text; missing properties become null and a missing status `unknown`."""
     bag = [
-        (F.coalesce(F.col(p), F.lit("unknown")) if p == "status" else F.col(p)).alias(p)
-        for p in properties
+        (F.coalesce(F.col("status"), F.lit("unknown")) if p == "status" else F.col(f"`{p}`")).alias(p) for p in properties
     ]
     feature = F.struct(
         F.lit("Feature").alias("type"),
