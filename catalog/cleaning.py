@@ -17,6 +17,7 @@ from gridloam.functions.text import (
     osm_id,
     raw_attributes,
     raw_attributes_json,
+    with_measure_text,
 )
 
 
@@ -38,9 +39,8 @@ def entity_ids(spark, sf_dir):
   CASE WHEN p_partkey % 2 = 0 THEN p_size::DOUBLE::VARCHAR ELSE '' END || '|' || p_partkey), 1, 16) AS source_id FROM part""")
 def indexed_entity_ids(spark, sf_dir):
     power = F.when(F.col("p_partkey") % 2 == 0, F.col("p_size").cast("double"))
-    return t.table(spark, sf_dir, "part").select(
-        "p_partkey", entity_id_indexed("p_name", "p_brand", "p_type", F.col("p_retailprice"), power, "p_partkey").alias("source_id")
-    )
+    parts = with_measure_text(t.table(spark, sf_dir, "part").withColumn("power", power), {"price_text": "p_retailprice", "power_text": "power"})
+    return parts.select("p_partkey", entity_id_indexed("p_name", "p_brand", "p_type", "price_text", "power_text", "p_partkey").alias("source_id"))
 
 
 STATUS_CASE = """CASE event_type WHEN 'view' THEN 'operational' WHEN 'click' THEN 'planned' WHEN 'signup' THEN 'under_construction' WHEN 'purchase' THEN 'decommissioned' ELSE 'unknown' END"""
@@ -85,9 +85,10 @@ def parsed_numbers(spark, sf_dir):
   CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey::VARCHAR ELSE o_orderkey::VARCHAR || '.5' END AS number_text, printf('%.2f', o_totalprice) AS fixed_text FROM orders""")
 def number_texts(spark, sf_dir):
     value = F.col("o_orderkey") + F.when(F.col("o_orderkey") % 2 == 0, 0.0).otherwise(0.5)
-    return t.table(spark, sf_dir, "orders").select(
-        "o_orderkey", round_exact(F.col("o_totalprice") / 7, 4).alias("rounded"), float_text(value).alias("float_text"),
-        number_text(value).alias("number_text"), fixed_text("o_totalprice", 2).alias("fixed_text"),
+    orders = t.table(spark, sf_dir, "orders").withColumns({"value": value, "seventh": F.col("o_totalprice") / 7})
+    return orders.select(
+        "o_orderkey", round_exact("seventh", 4).alias("rounded"), float_text("value").alias("float_text"),
+        number_text("value").alias("number_text"), fixed_text("o_totalprice", 2).alias("fixed_text"),
     )
 
 

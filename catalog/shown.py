@@ -84,11 +84,14 @@ def number_formats(spark, sf_dir):
     cents = (F.col("c_acctbal").cast("decimal(18,2)") * 100).cast("bigint")
     tens = F.floor(cents / 10) * 10
     mw = ((tens + 3).cast("double")) / 100
-    shown = F.when(k % 11 != 0, mw)
-    ops = F.when(k % 11 != 0, (k % 9 + 1) * F.when(k % 3 == 0, 1e18).when(k % 3 == 1, 1e7).otherwise(1e20))
-    return t.table(spark, sf_dir, "customer").select(
-        "c_custkey", display.format_mw(shown).alias("mw"), display.format_ratio(shown).alias("ratio"), display.format_power(shown).alias("power"),
-        display.format_count(F.when(k % 11 != 0, k * 1000)).alias("counted"), display.format_ops(ops).alias("ops"),
+    given = k % 11 != 0
+    ops = (k % 9 + 1) * F.when(k % 3 == 0, 1e18).when(k % 3 == 1, 1e7).otherwise(1e20)
+    rows = t.table(spark, sf_dir, "customer").select(
+        "c_custkey", F.when(given, mw).alias("mw"), F.when(given, k * 1000).alias("n"), F.when(given, ops).alias("ops")
+    )
+    return rows.select(
+        "c_custkey", display.format_mw("mw").alias("mw"), display.format_ratio("mw").alias("ratio"), display.format_power("mw").alias("power"),
+        display.format_count("n").alias("counted"), display.format_ops("ops").alias("ops"),
     )
 
 

@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# A decimal number, digits optionally grouped by single underscores. Rejects suffixes such as "1d" and hex.
+# A decimal number or an infinity between optional white space, digits optionally grouped by single
+# underscores. Rejects suffixes such as "1d" and hex.
 _DIGITS = r"\d+(?:_\d+)*"
-_NUMBER = rf"^[+-]?(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?$"
-_INFINITE = r"^[+-]?(?i:inf|infinity)$"
-_EDGES = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+_NUMBER = (
+    r"(?U)^[\s\x1c-\x1f]*"
+    rf"([+-]?(?:(?:{_DIGITS}(?:\.(?:{_DIGITS})?)?|\.{_DIGITS})(?:[eE][+-]?{_DIGITS})?|(?i:inf|infinity)))"
+    r"[\s\x1c-\x1f]*$"
+)
 
 
 def _col(c) -> Column:
@@ -18,9 +21,8 @@ def _col(c) -> Column:
 
 def to_double(col) -> Column:
     """Text to a double; NULL for NULL, for anything that is not a number, and for NaN."""
-    text = F.regexp_replace(_col(col).cast("string"), _EDGES, "")
-    plain = F.when(text.rlike(_NUMBER) | text.rlike(_INFINITE), F.regexp_replace(text, "_", ""))
-    return plain.try_cast("double")
+    number = F.regexp_extract(_col(col).cast("string"), _NUMBER, 1)
+    return F.regexp_replace(number, "_", "").try_cast("double")
 
 
 def nan_to_null(col) -> Column:
@@ -30,20 +32,20 @@ def nan_to_null(col) -> Column:
 
 def strict_double(col, name: str) -> Column:
     """A required number: NULL or unparseable fails the run."""
-    return _required(to_double(col), name)
+    return _required(to_double(col), name, "double")
 
 
 def strict_int(col, name: str) -> Column:
     """A required whole number, truncated toward zero: NULL or unparseable fails the run."""
-    return _required(to_double(col).cast("int"), name)
+    return _required(to_double(col).cast("int"), name, "int")
 
 
 def strict_bool(col, name: str) -> Column:
-    return _required(_col(col).try_cast("boolean"), name)
+    return _required(_col(col).try_cast("boolean"), name, "boolean")
 
 
-def _required(value: Column, name: str) -> Column:
-    return F.when(value.isNotNull(), value).otherwise(F.raise_error(F.lit(f"required field missing or invalid: {name}")))
+def _required(value: Column, name: str, dtype: str) -> Column:
+    return F.coalesce(value, F.raise_error(F.lit(f"required field missing or invalid: {name}")).cast(dtype))
 
 
 def _scaled(x: Column, digits: int, ties: str) -> Column:

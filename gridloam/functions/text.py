@@ -56,10 +56,22 @@ def entity_id(name, owner, country) -> Column:
     return _short_hash(strip(name), strip(owner), strip(country))
 
 
-def entity_id_indexed(name, owner, country, h100, power, row_idx) -> Column:
-    """As `entity_id`, with two measures rounded to 4 places and the position in the file."""
-    measures = [float_text(round_exact(m, 4)) for m in (h100, power)]
-    return _short_hash(strip(name), strip(owner), strip(country), *measures, _col(row_idx).cast("string"))
+def entity_id_indexed(name, owner, country, h100_text, power_text, row_idx) -> Column:
+    """As `entity_id`, with the text of two measures rounded to 4 places and the position in the file.
+
+    The measure texts come from `with_measure_text`.
+    """
+    return _short_hash(strip(name), strip(owner), strip(country), _col(h100_text), _col(power_text), _col(row_idx).cast("string"))
+
+
+def with_measure_text(df, measures: dict[str, str]):
+    """Add text columns of measures rounded to 4 places, given as {new column: measure column}.
+
+    Rounding and formatting name their input many times, so each is a step of its own over a plain column.
+    """
+    rounded = {f"_{new}": round_exact(source, 4) for new, source in measures.items()}
+    texts = {new: float_text(f"_{new}") for new in measures}
+    return df.withColumns(rounded).withColumns(texts).drop(*rounded)
 
 
 def osm_id(osm_type, number, full_id) -> Column:

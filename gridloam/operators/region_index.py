@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloam.functions.geometry import crosses_right, on_edge, ring_edges
+from gridloam.session import written
 
 MAX_CELL_EDGES = 64
 MAX_DEPTH = 6
@@ -242,8 +243,9 @@ def build_region_index(
         crowded, toggles = _keep(crowded, kept), _keep(toggles, kept)
         calm = _entries(local.join(crowded, ["c", "r"], "left_anti"), toggles.join(crowded, ["c", "r"], "left_anti"))
         levels.append(_level(size, calm, crowded, kept))
-        current = _children(local.join(crowded, ["c", "r"], "left_semi"))
-        inherited = _children(toggles.join(crowded, ["c", "r"], "left_semi"))
+        # Each further level starts from stored rows, so plans do not nest level in level.
+        current = written(_children(local.join(crowded, ["c", "r"], "left_semi")), "cell-edges")
+        inherited = written(_children(toggles.join(crowded, ["c", "r"], "left_semi")), "cell-toggles")
         size /= FANOUT
     return RegionIndex(levels, members, bounds, kept)
 

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A key is hot when it holds more than this share of all rows, so there can be at most 1 / HOT_SHARE of them.
+# A key is hot when it holds more than this share of all rows, so there can be fewer than 1 / HOT_SHARE of them.
 HOT_SHARE = 1 / 1000
-# A lookup side with at most this many rows is broadcast whole; more are split into hot and other keys.
+# A lookup side with at most this many rows is broadcast whole; more are joined by a salted shuffle.
 SMALL_SIDE_ROWS = 200_000
+# Parts over which rows without a key are spread.
+NULL_PARTS = 1000
 
 
 def at_most(df: DataFrame, rows: int) -> bool:
@@ -16,14 +19,30 @@ def at_most(df: DataFrame, rows: int) -> bool:
     return df.select(F.lit(1).alias("one")).limit(rows + 1).count() <= rows
 
 
+def _any_null(keys: list[str]) -> Column:
+    out = F.lit(False)
+    for k in keys:
+        out = out | F.col(k).isNull()
+    return out
+
+
 def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE) -> DataFrame:
-    """Keys holding more than `share` of the rows, counted exactly with map-side partial counts.
+    """Keys holding more than `share` of the rows, each with the number of parts to split it into.
 
-    By construction the result has fewer than 1 / share rows, which is what makes it safe to broadcast.
+    Counted exactly, with partial counts before the shuffle. By construction there are fewer than
+    1 / share such keys and fewer than 2 / share parts in all, so they fit the driver and a broadcast.
     """
-    threshold = df.count() * share
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.where(F.col("_n") > F.lit(threshold)).select(*keys)
+    present = df.where(~_any_null(keys)).select(*keys)
+    threshold = max(present.count() * share, 1.0)
+    counts = present.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > F.lit(threshold))
+    parts = counts.select(*keys, F.ceil(F.col("_n") / F.lit(threshold)).cast("int").alias("_parts"))
+    return df.sparkSession.createDataFrame(parts.collect(), parts.schema)
+
+
+def _row_hash(df: DataFrame) -> Column:
+    """A hash over the row itself: unlike a random number, it stays the same when a lost task is run again."""
+    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    return F.xxhash64(*[F.col(f"`{n}`") for n in plain])
 
 
 def lookup_join(
@@ -33,29 +52,24 @@ def lookup_join(
     how: str = "left",
     small_rows: int = SMALL_SIDE_ROWS,
     share: float = HOT_SHARE,
+    count_on: DataFrame | None = None,
 ) -> DataFrame:
     """Join a large table to a lookup side with few rows per key, safely for hot and NULL keys.
 
-    Small lookup: broadcast after counting it. Otherwise fact rows with a hot key meet the broadcast
-    lookup rows of just those keys (fewer than 1 / share keys), all other rows go through a shuffled
-    join in which no key is hot, and rows with a NULL key never enter a join.
+    A lookup side counted to be small is broadcast. Otherwise both sides are shuffled on the key and a
+    salt: fact rows of a hot key are dealt over several parts by a hash of the row, the lookup rows of just
+    those keys are repeated once per part, and rows with a NULL key are dealt over many parts as well.
+    `count_on` may name a frame with the same keys that is cheaper to count than `facts`.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
     if at_most(lookup, small_rows):
         return facts.join(F.broadcast(lookup), keys, how)
 
-    any_null = F.lit(False)
-    for k in keys:
-        any_null = any_null | F.col(k).isNull()
-    present = facts.where(~any_null)
-    hot = hot_keys(present, keys, share).withColumn("_hot", F.lit(True))
-    flagged = present.join(F.broadcast(hot), keys, "left")
-    hot_lookup = lookup.join(F.broadcast(hot.select(*keys)), keys, "left_semi")
-
-    hot_part = flagged.where(F.col("_hot")).drop("_hot").join(F.broadcast(hot_lookup), keys, how)
-    cold_part = flagged.where(F.col("_hot").isNull()).drop("_hot").join(lookup, keys, how)
-    out = cold_part.unionByName(hot_part)
-    if how in ("left", "left_anti"):
-        out = out.unionByName(facts.where(any_null), allowMissingColumns=True)
-    return out
+    hot = hot_keys(count_on if count_on is not None else facts, keys, share)
+    dealt = F.pmod(_row_hash(facts), F.coalesce("_parts", F.lit(1))).cast("int")
+    spread = F.pmod(_row_hash(facts), F.lit(NULL_PARTS)).cast("int")
+    salted = facts.join(F.broadcast(hot), keys, "left").withColumn("_salt", F.when(_any_null(keys), spread).otherwise(dealt)).drop("_parts")
+    salts = F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)
+    repeated = lookup.join(F.broadcast(hot), keys, "left").withColumn("_salt", F.explode(salts)).drop("_parts")
+    return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")

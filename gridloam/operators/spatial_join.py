@@ -25,12 +25,12 @@ def _index(regions: DataFrame | RegionIndex, id_col: str = "id", level_col: str
     return regions if isinstance(regions, RegionIndex) else build_region_index(regions, id_col, level_col)
 
 
-def _on_cell(facts: DataFrame, cells: DataFrame, measured: int, how: str) -> DataFrame:
+def _on_cell(facts: DataFrame, cells: DataFrame, measured: int, how: str, count_on: DataFrame | None = None) -> DataFrame:
     """Join rows to cells: broadcast when the measured cells are small, else the skew-safe shuffled join."""
     keyed = cells.withColumnsRenamed({"c": "_c", "r": "_r"})
     if measured <= BROADCAST_BYTES:
         return facts.join(F.broadcast(keyed), ["_c", "_r"], how)
-    return lookup_join(facts, keyed, ["_c", "_r"], how, small_rows=0)
+    return lookup_join(facts, keyed, ["_c", "_r"], how, small_rows=0, count_on=count_on)
 
 
 def assign_region(
@@ -52,8 +52,8 @@ def assign_region(
     for depth, level in enumerate(index.levels):
         name = f"_candidates_{depth}"
         cells = best_candidates(level.entries).withColumnRenamed("candidates", name)
-        placed = out.withColumns({"_c": cell_of(x, level.size), "_r": cell_of(y, level.size)})
-        out = _on_cell(placed, cells, level.bytes, "left").drop("_c", "_r")
+        cell = {"_c": cell_of(x, level.size), "_r": cell_of(y, level.size)}
+        out = _on_cell(out.withColumns(cell), cells, level.bytes, "left", points.withColumns(cell)).drop("_c", "_r")
         found.append(name)
     hits = F.filter(F.coalesce(*found), lambda k: contains(k["edges"], k["toggles"], x, y))
     return out.withColumn(region_col, F.get(hits, F.lit(0))["rank"]["gid"]).drop(*found)

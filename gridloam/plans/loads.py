@@ -20,6 +20,7 @@ from gridloam.functions.text import (
     osm_id,
     raw_attributes_json,
     version_date,
+    with_measure_text,
 )
 from gridloam.operators.filters import map_columns, with_has_geometry
 from gridloam.operators.tables import resolve_region_id, snapshot_rows, upsert_regions
@@ -89,20 +90,22 @@ def frontier_rows(features: DataFrame, source_version: str, at: datetime, epsg:
 
 def cluster_rows(features: DataFrame, source_version: str, at: datetime, epsg: int | None = None) -> DataFrame:
     """GPU clusters. Their id includes the position in the file, so `row_idx` must be present."""
-    named = parse_properties(features, CLUSTER_PROPERTIES)
-    power, h100 = _number("Power Capacity (MW)"), _number("H100 equivalents")
+    parsed = parse_properties(features, CLUSTER_PROPERTIES).withColumns(
+        {"power": _number("Power Capacity (MW)"), "h100": _number("H100 equivalents")}
+    )
+    named = with_measure_text(parsed, {"power_text": "power", "h100_text": "h100"})
     rows = map_columns(
         named,
         {
             "row_idx": "row_idx",
-            "source_id": entity_id_indexed("Name", "Owner", "Country", h100, power, "row_idx"),
+            "source_id": entity_id_indexed("Name", "Owner", "Country", "h100_text", "power_text", "row_idx"),
             "name": _text("Name"),
             "owner": _text("Owner"),
             "country": _text("Country"),
             "status": normalize_status(_text("Status")),
             "certainty": _text("Certainty"),
-            "power_capacity_mw": power,
-            "h100_equivalent": h100,
+            "power_capacity_mw": "power",
+            "h100_equivalent": "h100",
             "ops_total": _number("Max OP/s"),
             "geometry": _point(epsg),
             "citation": _text("citation"),
