@@ -108,13 +108,20 @@ def to_wgs84(geometry, kind: str, epsg: int | None) -> Column:
 
 # ---------------------------------------------------------------- measures
 
-def ring_edges(ring: Column) -> Column:
-    """Consecutive vertex pairs of a ring, closed whether or not the last vertex repeats the first."""
-    following = F.concat(F.slice(ring, F.lit(2), F.size(ring)), F.slice(ring, 1, 1))
-    return F.zip_with(
-        ring,
-        following,
-        lambda a, b: F.struct(a["x"].alias("x1"), a["y"].alias("y1"), b["x"].alias("x2"), b["y"].alias("y2")),
+def ring_edges(ring: str) -> str:
+    """SQL for the consecutive vertex pairs of a ring, closed whether or not its last vertex repeats the first."""
+    return (
+        f"zip_with({ring}, concat(slice({ring}, 2, size({ring})), slice({ring}, 1, 1)), "
+        "(a, b) -> named_struct('x1', a.x, 'y1', a.y, 'x2', b.x, 'y2', b.y))"
+    )
+
+
+def line_segments(line: str) -> str:
+    """SQL for the consecutive vertex pairs of a line. The last vertex pairs with itself: a zero-length
+    segment, which also covers lines of one vertex."""
+    return (
+        f"zip_with({line}, concat(slice({line}, 2, size({line})), slice({line}, -1, 1)), "
+        "(a, b) -> named_struct('x1', a.x, 'y1', a.y, 'x2', b.x, 'y2', b.y))"
     )
 
 
@@ -154,65 +161,55 @@ def centroid(region: str) -> Column:
 
 
 # ---------------------------------------------------------------- predicates
+#
+# Written as SQL text over named values, because they are used inside lambdas over edges.
 
-def orientation(ax, ay, bx, by, cx, cy) -> Column:
-    """Positive when c lies left of a->b, negative when right, zero on the line."""
-    return (bx - ax) * (cy - ay) - (by - ay) * (cx - ax)
+def orientation(e: str, x: str, y: str) -> str:
+    """Positive when (x, y) lies left of the edge, negative when right, zero on its line."""
+    return f"(({e}.x2 - {e}.x1) * ({y} - {e}.y1) - ({e}.y2 - {e}.y1) * ({x} - {e}.x1))"
 
 
-def on_edge(e: Column, x: Column, y: Column) -> Column:
+def on_edge(e: str, x: str, y: str) -> str:
     return (
-        (x >= F.least(e["x1"], e["x2"]))
-        & (x <= F.greatest(e["x1"], e["x2"]))
-        & (y >= F.least(e["y1"], e["y2"]))
-        & (y <= F.greatest(e["y1"], e["y2"]))
-        & (orientation(e["x1"], e["y1"], e["x2"], e["y2"], x, y) == 0)
+        f"({x} between least({e}.x1, {e}.x2) and greatest({e}.x1, {e}.x2) "
+        f"and {y} between least({e}.y1, {e}.y2) and greatest({e}.y1, {e}.y2) and {orientation(e, x, y)} = 0)"
     )
 
 
-def crosses_right(e: Column, x: Column, y: Column) -> Column:
-    """Whether the ray from (x, y) to the right crosses the edge; lower end counts, upper end does not."""
-    left_of_edge = orientation(e["x1"], e["y1"], e["x2"], e["y2"], x, y) > 0
-    return ((e["y1"] > y) != (e["y2"] > y)) & (left_of_edge == (e["y2"] > e["y1"]))
+def crosses_right(e: str, x: str, y: str) -> str:
+    """Whether the ray from (x, y) to the right crosses the edge; its lower end counts, its upper end does not."""
+    return f"((({e}.y1 > {y}) <> ({e}.y2 > {y})) and (({orientation(e, x, y)} > 0) = ({e}.y2 > {e}.y1)))"
 
 
-def segments_meet(s: Column, e: Column) -> Column:
+def segments_meet(s: str, e: str) -> str:
     """Closed test: a shared point of any kind counts."""
     boxes = (
-        (F.greatest(s["x1"], s["x2"]) >= F.least(e["x1"], e["x2"]))
-        & (F.least(s["x1"], s["x2"]) <= F.greatest(e["x1"], e["x2"]))
-        & (F.greatest(s["y1"], s["y2"]) >= F.least(e["y1"], e["y2"]))
-        & (F.least(s["y1"], s["y2"]) <= F.greatest(e["y1"], e["y2"]))
+        f"greatest({s}.x1, {s}.x2) >= least({e}.x1, {e}.x2) and least({s}.x1, {s}.x2) <= greatest({e}.x1, {e}.x2) "
+        f"and greatest({s}.y1, {s}.y2) >= least({e}.y1, {e}.y2) and least({s}.y1, {s}.y2) <= greatest({e}.y1, {e}.y2)"
     )
 
-    def sides(p: Column, q: Column) -> Column:
-        first = F.signum(orientation(p["x1"], p["y1"], p["x2"], p["y2"], q["x1"], q["y1"]))
-        second = F.signum(orientation(p["x1"], p["y1"], p["x2"], p["y2"], q["x2"], q["y2"]))
-        return first * second <= 0
+    def astride(p: str, q: str) -> str:
+        return f"sign({orientation(p, q + '.x1', q + '.y1')}) * sign({orientation(p, q + '.x2', q + '.y2')}) <= 0"
 
-    return boxes & sides(s, e) & sides(e, s)
+    return f"({boxes} and {astride(s, e)} and {astride(e, s)})"
 
 
-def within(pt, region) -> Column:
-    """Strict interior test of one point against the whole region in the same row.
+def within(pt: str, region: str) -> Column:
+    """Strict interior test of one point against the whole region in the same row, by column names.
 
-    For a single pair at hand; joining many points to many regions goes through `assign_region`.
+    For a pair already at hand; joining many points to many regions goes through `assign_region`.
     """
-    p, g = _col(pt), _col(region)
-    edges = F.flatten(F.transform(F.flatten(g), ring_edges))
-    odd = F.pmod(F.size(F.filter(edges, lambda e: crosses_right(e, p["x"], p["y"]))), F.lit(2)) == 1
-    return ~F.exists(edges, lambda e: on_edge(e, p["x"], p["y"])) & odd
-
-
-def intersects(ln, region) -> Column:
-    """Closed test of one line against the whole region in the same row."""
-    v, g = _col(ln), _col(region)
-    edges = F.flatten(F.transform(F.flatten(g), ring_edges))
-    # The last vertex pairs with itself: a zero-length segment, which also covers one-vertex lines.
-    segments = F.zip_with(
-        v,
-        F.concat(F.slice(v, F.lit(2), F.size(v)), F.slice(v, -1, 1)),
-        lambda a, b: F.struct(a["x"].alias("x1"), a["y"].alias("y1"), b["x"].alias("x2"), b["y"].alias("y2")),
+    edges = f"flatten(transform(flatten({region}), ring -> {ring_edges('ring')}))"
+    x, y = f"{pt}.x", f"{pt}.y"
+    inside = (
+        f"not exists(edges, e -> {on_edge('e', x, y)}) and pmod(size(filter(edges, e -> {crosses_right('e', x, y)})), 2) = 1"
     )
-    touching = F.exists(segments, lambda s: F.exists(edges, lambda e: segments_meet(s, e)))
-    return touching | within(F.get(v, F.lit(0)), g)
+    return F.expr(f"get(transform(array({edges}), edges -> {inside}), 0)")
+
+
+def intersects(ln: str, region: str) -> Column:
+    """Closed test of one line against the whole region in the same row, by column names."""
+    edges = f"flatten(transform(flatten({region}), ring -> {ring_edges('ring')}))"
+    touching = f"exists({line_segments(ln)}, s -> exists(edges, e -> {segments_meet('s', 'e')}))"
+    first = F.expr(f"get(transform(array({edges}), edges -> {touching}), 0)")
+    return first | within(f"get({ln}, 0)", region)

@@ -20,7 +20,7 @@ import math
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloam.functions.geometry import crosses_right, on_edge, ring_edges
@@ -65,24 +65,30 @@ def _keep(df: DataFrame, kept: list[DataFrame]) -> DataFrame:
 
 def with_box(df: DataFrame, geometry_col: str) -> DataFrame:
     """Add the bounding box of a region geometry."""
-    vertices = F.flatten(F.flatten(F.col(geometry_col)))
-    xs, ys = F.transform(vertices, lambda v: v["x"]), F.transform(vertices, lambda v: v["y"])
-    return df.withColumns(
-        {"box_x1": F.array_min(xs), "box_x2": F.array_max(xs), "box_y1": F.array_min(ys), "box_y2": F.array_max(ys)}
+    vertices = f"flatten(flatten({geometry_col}))"
+    return df.selectExpr(
+        "*",
+        f"array_min(transform({vertices}, v -> v.x)) as box_x1", f"array_max(transform({vertices}, v -> v.x)) as box_x2",
+        f"array_min(transform({vertices}, v -> v.y)) as box_y1", f"array_max(transform({vertices}, v -> v.y)) as box_y2",
     )
 
 
 def explode_edges(df: DataFrame, geometry_col: str) -> DataFrame:
     """One row per boundary edge; `anchor` marks the first edge of each part's outline."""
-    parts = df.select("*", F.explode(geometry_col).alias("part")).drop(geometry_col)
-    rings = parts.select("*", F.posexplode("part").alias("ring_no", "ring")).drop("part")
-    edges = rings.select("*", F.posexplode(ring_edges(F.col("ring"))).alias("edge_no", "e")).drop("ring")
-    anchor = (F.col("ring_no") == 0) & (F.col("edge_no") == 0)
-    return edges.select("*", "e.*", anchor.alias("anchor")).drop("ring_no", "edge_no", "e").where("anchor or x1 <> x2 or y1 <> y2")
+    parts = df.selectExpr("*", f"explode({geometry_col}) as part").drop(geometry_col)
+    rings = parts.selectExpr("*", "posexplode(part) as (ring_no, ring)").drop("part")
+    edges = rings.selectExpr("*", f"posexplode({ring_edges('ring')}) as (edge_no, e)").drop("ring")
+    marked = edges.selectExpr("*", "e.*", "ring_no = 0 and edge_no = 0 as anchor").drop("ring_no", "edge_no", "e")
+    return marked.where("anchor or x1 <> x2 or y1 <> y2")
 
 
-def cell_of(value: Column, size: float) -> Column:
-    return F.floor(value / F.lit(size))
+def _number(value: float) -> str:
+    return f"{float(value)!r}D"
+
+
+def cell_of(value: str, size: float) -> str:
+    """SQL for the grid column or row of a coordinate. Dividing by a power of two is exact."""
+    return f"floor(({value}) / {_number(size)})"
 
 
 def _by_row(edges: DataFrame, size: float) -> DataFrame:
@@ -91,38 +97,30 @@ def _by_row(edges: DataFrame, size: float) -> DataFrame:
     A steep enough edge is narrowed to its span inside the row, padded by an eighth of a cell, which is far
     above any rounding of the interpolation. Other edges keep their whole width; a wider range is never wrong.
     """
-    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
-    left, right = F.least("x1", "x2"), F.greatest("x1", "x2")
-    rows = edges.withColumn(
-        "r",
-        F.explode(
-            F.sequence(
-                F.greatest(cell_of(low, size), F.col("r_from")),
-                F.least(cell_of(high, size), F.col("r_to")),
-            )
-        ),
+    low, high, left, right = "least(y1, y2)", "greatest(y1, y2)", "least(x1, x2)", "greatest(x1, x2)"
+    rows = edges.selectExpr(
+        "*", f"explode(sequence(greatest({cell_of(low, size)}, r_from), least({cell_of(high, size)}, r_to))) as r"
     )
     if size < 1e-4:
-        start, stop = left, right
-    else:
-        floor_y, ceil_y = F.col("r") * F.lit(size), (F.col("r") + 1) * F.lit(size)
-        steep = F.abs(F.col("y2") - F.col("y1")) >= F.lit(size / 8)
+        return rows.selectExpr("*", f"{cell_of(left, size)} as l0", f"{cell_of(right, size)} as l1")
 
-        def x_at(y: Column) -> Column:
-            return F.col("x1") + F.try_divide(y - F.col("y1"), F.col("y2") - F.col("y1")) * (F.col("x2") - F.col("x1"))
+    def x_at(y: str) -> str:
+        return f"x1 + ({y} - y1) / (y2 - y1) * (x2 - x1)"
 
-        xa, xb = x_at(F.greatest(floor_y, low)), x_at(F.least(ceil_y, high))
-        pad = F.lit(size / 8)
-        start = F.when(steep, F.greatest(F.least(xa, xb) - pad, left)).otherwise(left)
-        stop = F.when(steep, F.least(F.greatest(xa, xb) + pad, right)).otherwise(right)
-    return rows.withColumn("l0", cell_of(start, size)).withColumn("l1", cell_of(stop, size))
+    pad, enter, leave = _number(size / 8), f"greatest(r * {_number(size)}, {low})", f"least((r + 1) * {_number(size)}, {high})"
+    steep = f"abs(y2 - y1) >= {pad}"
+    spans = rows.selectExpr("*", f"if({steep}, {x_at(enter)}, {left}) as xa", f"if({steep}, {x_at(leave)}, {right}) as xb")
+    return spans.selectExpr(
+        "*",
+        f"{cell_of(f'greatest(least(xa, xb) - {pad}, {left})', size)} as l0",
+        f"{cell_of(f'least(greatest(xa, xb) + {pad}, {right})', size)} as l1",
+    ).drop("xa", "xb")
 
 
 def _local(rows: DataFrame) -> DataFrame:
     """Each edge once per cell it reaches."""
     inside = rows.where("l0 <= c_to and l1 >= c_from")
-    columns = F.sequence(F.greatest("l0", "c_from"), F.least("l1", "c_to"))
-    return inside.withColumn("c", F.explode(columns)).drop("l0", "l1", *_BOUNDS)
+    return inside.selectExpr("*", "explode(sequence(greatest(l0, c_from), least(l1, c_to))) as c").drop("l0", "l1", *_BOUNDS)
 
 
 def _odd(df: DataFrame, *keys: str) -> DataFrame:
@@ -138,45 +136,36 @@ def _toggles(rows: DataFrame, inherited: DataFrame | None, size: float) -> DataF
     edges cancels. Cancelling per row and start column comes first, so only the places where a boundary
     moves from one column to another are spread over the columns to their left.
     """
-    b0, b1 = F.col("r") * F.lit(size), (F.col("r") + 1) * F.lit(size)
-    ends = rows.select(
-        "gid", "lvl", "r", "c_from",
-        F.least(F.col("l0"), F.col("c_to") + 1).alias("c_end"),
-        F.explode(F.array("y1", "y2")).alias("y"),
-    )
+    below, above = f"r * {_number(size)}", f"(r + 1) * {_number(size)}"
+    ends = rows.selectExpr("gid", "lvl", "r", "c_from", "least(l0, c_to + 1) as c_end", "explode(array(y1, y2)) as y")
     if inherited is not None:
         ends = ends.unionByName(
-            inherited.select(
-                "gid", "lvl",
-                F.explode(F.sequence("r_from", "r_to")).alias("r"),
-                "c_from",
-                (F.col("c_to") + 1).alias("c_end"),
-                "y",
-            )
+            inherited.selectExpr("gid", "lvl", "explode(sequence(r_from, r_to)) as r", "c_from", "c_to + 1 as c_end", "y")
         )
-    ends = ends.where((F.col("y") > b0) & (F.col("c_end") > F.col("c_from"))).withColumn("y", F.least("y", b1))
-    moves = _odd(ends, "gid", "lvl", "r", "c_from", "c_end", "y")
-    spread = moves.withColumn("c", F.explode(F.sequence(F.col("c_from"), F.col("c_end") - 1)))
+    counted = ends.where(f"y > {below} and c_end > c_from").selectExpr(
+        "gid", "lvl", "r", "c_from", "c_end", f"least(y, {above}) as y"
+    )
+    moves = _odd(counted, "gid", "lvl", "r", "c_from", "c_end", "y")
+    spread = moves.selectExpr("gid", "lvl", "explode(sequence(c_from, c_end - 1)) as c", "r", "y")
     return _odd(spread, "gid", "lvl", "c", "r", "y")
 
 
 def _children(df: DataFrame) -> DataFrame:
     """Grid range, one level down, of the cell each row belongs to."""
-    return (
-        df.withColumn("c_from", F.col("c") * FANOUT)
-        .withColumn("c_to", F.col("c") * FANOUT + (FANOUT - 1))
-        .withColumn("r_from", F.col("r") * FANOUT)
-        .withColumn("r_to", F.col("r") * FANOUT + (FANOUT - 1))
-        .drop("c", "r")
-    )
+    last = FANOUT - 1
+    return df.selectExpr(
+        "*", f"c * {FANOUT} as c_from", f"c * {FANOUT} + {last} as c_to", f"r * {FANOUT} as r_from", f"r * {FANOUT} + {last} as r_to"
+    ).drop("c", "r")
 
 
 def _entries(local: DataFrame, toggles: DataFrame) -> DataFrame:
-    edge = F.struct(*_EDGE)
-    marks = local.select("gid", "lvl", "c", "r", edge.alias("e"), F.lit(None).cast("double").alias("t")).unionByName(
-        toggles.select("gid", "lvl", "c", "r", F.lit(None).cast("struct<x1:double,y1:double,x2:double,y2:double>").alias("e"), F.col("y").alias("t"))
+    """Edges and toggles per (cell, region), laid out by cell so that the grouping per cell needs no further
+    shuffle. Cells arriving here hold a bounded number of edges."""
+    edge_type = "struct<x1:double,y1:double,x2:double,y2:double>"
+    marks = local.selectExpr("gid", "lvl", "c", "r", "struct(x1, y1, x2, y2) as e", "cast(null as double) as t").unionByName(
+        toggles.selectExpr("gid", "lvl", "c", "r", f"cast(null as {edge_type}) as e", "y as t")
     )
-    return marks.groupBy("gid", "lvl", "c", "r").agg(
+    return marks.repartition("c", "r").groupBy("gid", "lvl", "c", "r").agg(
         F.collect_list("e").alias("edges"), F.collect_list("t").alias("toggles")
     )
 
@@ -225,10 +214,10 @@ def build_region_index(
     bounds = (totals["x1"], totals["x2"], totals["y1"], totals["y2"]) if totals["shapes"] else None
 
     size = grid_size(totals["area"], totals["vertices"], totals["shapes"]) if totals["shapes"] else 1.0
-    current = explode_edges(shapes, "geometry").select(
+    current = explode_edges(shapes, "geometry").selectExpr(
         "gid", "lvl", *_EDGE,
-        cell_of(F.col("box_x1"), size).alias("c_from"), cell_of(F.col("box_x2"), size).alias("c_to"),
-        cell_of(F.col("box_y1"), size).alias("r_from"), cell_of(F.col("box_y2"), size).alias("r_to"),
+        f"{cell_of('box_x1', size)} as c_from", f"{cell_of('box_x2', size)} as c_to",
+        f"{cell_of('box_y1', size)} as r_from", f"{cell_of('box_y2', size)} as r_to",
     )
     inherited = None
     levels: list[Level] = []
@@ -257,32 +246,27 @@ def _level(size: float, entries: DataFrame, refined: DataFrame | None, kept: lis
     return Level(size, entries, measured, refined)
 
 
-def contains(edges: Column, toggles: Column, x: Column, y: Column) -> Column:
-    """Strict interior test of a point in the entry's cell."""
-    crossings = F.size(F.filter(edges, lambda e: crosses_right(e, x, y))) + F.size(F.filter(toggles, lambda t: t > y))
-    boundary = ~F.exists(edges, lambda e: on_edge(e, x, y)) & (F.pmod(crossings, F.lit(2)) == 1)
-    return F.when(F.size(edges) == 0, F.lit(True)).otherwise(boundary)
+def contains(edges: str, toggles: str, x: str, y: str) -> str:
+    """SQL for the strict interior test of a point in the entry's cell."""
+    crossings = f"size(filter({edges}, e -> {crosses_right('e', x, y)})) + size(filter({toggles}, t -> t > {y}))"
+    return f"if(size({edges}) = 0, true, not exists({edges}, e -> {on_edge('e', x, y)}) and pmod({crossings}, 2) = 1)"
 
 
 def best_candidates(entries: DataFrame) -> DataFrame:
     """One row per cell: its regions, most specific first, ending at the first that fills the cell.
 
-    Regions ranked after one that fills the cell can never be the answer there and are dropped before
-    anything is collected, so the list is bounded by the edges in the cell plus one.
+    Regions filling the cell are never collected, only the best of them is kept; the collected ones have
+    edges in the cell, whose number is bounded. Those ranked after the best filling one can never be the
+    answer there and are dropped.
     """
-    ranked = entries.withColumn("rank", F.struct((-F.col("lvl")).alias("nl"), F.col("gid").alias("gid")))
-    filling = ranked.where(F.size("edges") == 0).groupBy("c", "r").agg(F.min("rank").alias("best"))
-    partial = (
-        ranked.where(F.size("edges") > 0)
-        .join(filling, ["c", "r"], "left")
-        .where(F.col("best").isNull() | (F.col("rank") < F.col("best")))
-        .select("c", "r", "rank", "edges", "toggles")
+    ranked = entries.selectExpr("c", "r", "struct(-lvl as nl, gid) as rank", "edges", "toggles")
+    grouped = ranked.groupBy("c", "r").agg(
+        F.expr("min(if(size(edges) = 0, rank, null)) as best"),
+        F.expr("collect_list(if(size(edges) > 0, struct(rank, edges, toggles), null)) as partial"),
     )
-    schema = dict(ranked.dtypes)
-    whole = filling.select(
-        "c", "r", F.col("best").alias("rank"),
-        F.array().cast(schema["edges"]).alias("edges"),
-        F.array().cast("array<double>").alias("toggles"),
+    return grouped.selectExpr(
+        "c", "r",
+        "concat(sort_array(filter(partial, k -> best is null or k.rank < best)), "
+        "if(best is null, slice(partial, 1, 0), array(named_struct('rank', best, 'edges', cast(array() as "
+        "array<struct<x1:double,y1:double,x2:double,y2:double>>), 'toggles', cast(array() as array<double>))))) as candidates",
     )
-    candidate = F.struct("rank", "edges", "toggles")
-    return partial.unionByName(whole).groupBy("c", "r").agg(F.sort_array(F.collect_list(candidate)).alias("candidates"))

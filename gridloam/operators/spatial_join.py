@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloam.functions.geometry import segments_meet
+from gridloam.functions.geometry import line_segments, segments_meet
 from gridloam.operators.region_index import (
     BROADCAST_BYTES,
     RegionIndex,
@@ -47,16 +47,16 @@ def assign_region(
     regrouped: with a small index this is one scan without a shuffle, otherwise one shuffled join.
     """
     index = _index(regions, id_col, level_col)
-    x, y = F.col(f"{geometry_col}.x"), F.col(f"{geometry_col}.y")
+    x, y = f"{geometry_col}.x", f"{geometry_col}.y"
     out, found = points, []
     for depth, level in enumerate(index.levels):
         name = f"_candidates_{depth}"
         cells = best_candidates(level.entries).withColumnRenamed("candidates", name)
-        cell = {"_c": cell_of(x, level.size), "_r": cell_of(y, level.size)}
-        out = _on_cell(out.withColumns(cell), cells, level.bytes, "left", points.withColumns(cell)).drop("_c", "_r")
+        cell = (f"{cell_of(x, level.size)} as _c", f"{cell_of(y, level.size)} as _r")
+        out = _on_cell(out.selectExpr("*", *cell), cells, level.bytes, "left", points.selectExpr(*cell)).drop("_c", "_r")
         found.append(name)
-    hits = F.filter(F.coalesce(*found), lambda k: contains(k["edges"], k["toggles"], x, y))
-    return out.withColumn(region_col, F.get(hits, F.lit(0))["rank"]["gid"]).drop(*found)
+    first_hit = f"get(filter(coalesce({', '.join(found)}), k -> {contains('k.edges', 'k.toggles', x, y)}), 0)"
+    return out.withColumn(region_col, F.expr(f"{first_hit}.rank.gid")).drop(*found)
 
 
 def fill_region(
@@ -78,14 +78,11 @@ def fill_region(
 
 def _grid_range(df: DataFrame, index: RegionIndex, size: float) -> DataFrame:
     """Keep rows whose segment can reach the indexed area and note that area in cells."""
-    x1, x2, y1, y2 = index.bounds
-    reach = df.where(
-        (F.greatest("x1", "x2") >= x1) & (F.least("x1", "x2") <= x2)
-        & (F.greatest("y1", "y2") >= y1) & (F.least("y1", "y2") <= y2)
+    x1, x2, y1, y2 = (repr(float(v)) + "D" for v in index.bounds)
+    reach = df.where(f"greatest(x1, x2) >= {x1} and least(x1, x2) <= {x2} and greatest(y1, y2) >= {y1} and least(y1, y2) <= {y2}")
+    return reach.selectExpr(
+        "*", f"{cell_of(x1, size)} as c_from", f"{cell_of(x2, size)} as c_to", f"{cell_of(y1, size)} as r_from", f"{cell_of(y2, size)} as r_to"
     )
-    for name, value in zip(("c_from", "c_to", "r_from", "r_to"), (x1, x2, y1, y2)):
-        reach = reach.withColumn(name, cell_of(F.lit(float(value)), size))
-    return reach
 
 
 def _hits(segments: DataFrame, index: RegionIndex) -> DataFrame:
@@ -97,16 +94,18 @@ def _hits(segments: DataFrame, index: RegionIndex) -> DataFrame:
     if index.bounds is None:
         return segments.select("key", F.lit(None).alias("gid")).where(F.lit(False))
     current = _grid_range(segments, index, index.levels[0].size)
-    segment = {n: F.col(n) for n in ("x1", "y1", "x2", "y2")}
     hits = None
     for level in index.levels:
         marks = _local(_by_row(current, level.size))
-        at_home = F.col("anchor") & (F.col("_c") == cell_of(F.col("x1"), level.size)) & (F.col("_r") == cell_of(F.col("y1"), level.size))
-        meets = F.exists("edges", lambda e: segments_meet(segment, e))
-        inside = at_home & contains(F.col("edges"), F.col("toggles"), F.col("x1"), F.col("y1"))
-        met = _on_cell(
-            marks.withColumnsRenamed({"c": "_c", "r": "_r"}), level.entries.drop("lvl"), level.bytes, "inner"
-        ).where(meets | inside).select("key", "gid")
+        at_home = f"anchor and _c = {cell_of('x1', level.size)} and _r = {cell_of('y1', level.size)}"
+        meets = f"exists(edges, e -> {segments_meet('s', 'e')})"
+        inside = contains("edges", "toggles", "x1", "y1")
+        met = (
+            _on_cell(marks.withColumnsRenamed({"c": "_c", "r": "_r"}), level.entries.drop("lvl"), level.bytes, "inner")
+            .withColumn("s", F.struct("x1", "y1", "x2", "y2"))
+            .where(f"{meets} or ({at_home} and {inside})")
+            .select("key", "gid")
+        )
         hits = met if hits is None else hits.unionByName(met)
         if level.refined is not None:
             current = _children(marks.join(level.refined, ["c", "r"], "left_semi"))
@@ -136,13 +135,7 @@ def line_region_pairs(
     """
     index = _index(regions, id_col, level_col)
     keyed = lines.where(F.col(geometry_col).isNotNull()).select(F.col(key_col).alias("key"), F.col(geometry_col).alias("g"))
-    # The last vertex pairs with itself: a zero-length segment, which also covers one-vertex lines.
-    pairs = F.zip_with(
-        F.col("g"),
-        F.concat(F.slice("g", F.lit(2), F.size("g")), F.slice("g", -1, 1)),
-        lambda a, b: F.struct(a["x"].alias("x1"), a["y"].alias("y1"), b["x"].alias("x2"), b["y"].alias("y2")),
-    )
-    segments = keyed.select("key", F.posexplode(pairs).alias("i", "s")).select("key", "s.*", (F.col("i") == 0).alias("anchor"))
+    segments = keyed.selectExpr("key", f"posexplode({line_segments('g')}) as (i, s)").selectExpr("key", "s.*", "i = 0 as anchor")
     moving = segments.where("anchor or x1 <> x2 or y1 <> y2")
     return _named(_hits(moving, index), index).withColumnRenamed("key", key_col)
 
