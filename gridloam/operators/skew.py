@@ -8,8 +8,9 @@ from pyspark.sql import types as T
 
 # A key is hot when it holds more than this share of all rows, so there can be fewer than 1 / HOT_SHARE of them.
 HOT_SHARE = 1 / 1000
-# A lookup side with at most this many rows is broadcast whole; more are joined by a salted shuffle.
+# A lookup side within both bounds is broadcast whole; a larger one is joined by a salted shuffle.
 SMALL_SIDE_ROWS = 200_000
+SMALL_SIDE_BYTES = 64 * 1024 * 1024
 # Parts over which rows without a key are spread.
 NULL_PARTS = 1000
 
@@ -19,6 +20,27 @@ def at_most(df: DataFrame, rows: int) -> bool:
     return df.select(F.lit(1).alias("one")).limit(rows + 1).count() <= rows
 
 
+def fits_broadcast(df: DataFrame, rows: int = SMALL_SIDE_ROWS, size: int = SMALL_SIDE_BYTES) -> bool:
+    """Whether `df` is measured to be small in rows and in bytes.
+
+    The rows are counted first; only if they are few are columns of varying width (text, shapes, property
+    bags) added up as well.
+    """
+    if not at_most(df, rows):
+        return False
+    width, fixed = F.lit(0).cast("bigint"), 0
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            width = width + F.coalesce(F.length(f"`{f.name}`"), F.lit(0))
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+            width = width + F.coalesce(F.length(F.to_json(F.struct(f"`{f.name}`"))), F.lit(0))
+        else:
+            fixed += 8
+    if fixed == 8 * len(df.schema.fields):
+        return rows * fixed <= size
+    return df.agg(F.coalesce(F.sum(width + F.lit(fixed)), F.lit(0)).alias("bytes")).first()["bytes"] <= size
+
+
 def _any_null(keys: list[str]) -> Column:
     out = F.lit(False)
     for k in keys:
@@ -56,14 +78,14 @@ def lookup_join(
 ) -> DataFrame:
     """Join a large table to a lookup side with few rows per key, safely for hot and NULL keys.
 
-    A lookup side counted to be small is broadcast. Otherwise both sides are shuffled on the key and a
+    A lookup side measured to be small is broadcast. Otherwise both sides are shuffled on the key and a
     salt: fact rows of a hot key are dealt over several parts by a hash of the row, the lookup rows of just
     those keys are repeated once per part, and rows with a NULL key are dealt over many parts as well.
     `count_on` may name a frame with the same keys that is cheaper to count than `facts`.
     """
     if how not in ("left", "inner", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
-    if at_most(lookup, small_rows):
+    if fits_broadcast(lookup, small_rows):
         return facts.join(F.broadcast(lookup), keys, how)
 
     hot = hot_keys(count_on if count_on is not None else facts, keys, share)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridloam.functions.geometry import centroid
 from gridloam.functions.text import natural_id
-from gridloam.operators.skew import SMALL_SIDE_ROWS, at_most, lookup_join
+from gridloam.operators.skew import SMALL_SIDE_ROWS, fits_broadcast, lookup_join
 
 
 def _key_is_null(keys: list[str]) -> Column:
@@ -47,7 +47,7 @@ def upsert(
     a match. Within the batch the last row per key wins. Keys are unique in the target, as its constraint
     demands, and a NULL in a key never matches.
 
-    A batch counted to be small is broadcast, and the target is then rewritten in place without a shuffle;
+    A batch measured to be small is broadcast, and the target is then rewritten in place without a shuffle;
     otherwise both sides meet in one full outer join, in which no key can be hot.
     """
     keys, replace, keep = list(keys), list(replace), list(keep)
@@ -73,7 +73,7 @@ def upsert(
         return F.when(F.col("_old").isNotNull(), F.col(f"_old.{c}")).otherwise(F.col(f"_new.{c}")).alias(c)
 
     existing = old.select(*keys, F.struct(*[c for c in columns if c not in keys]).alias("_old"))
-    if at_most(new, small_rows):
+    if fits_broadcast(new, small_rows):
         updated = existing.join(F.broadcast(incoming), keys, "left").select(*[merged(c) for c in columns])
         # Target keys are unique, so the matched keys are at most as many as the batch rows just counted.
         matched = old.select(*keys).join(F.broadcast(new.select(*keys)), keys, "left_semi")

@@ -31,7 +31,7 @@ def map_features(current: DataFrame, regions: DataFrame, methodology_version: st
     if methodology_version is not None:
         current = current.where(F.col("methodology_version") == methodology_version)
     shapes = regions.where(F.col("geometry").isNotNull()).select(F.col("id").alias("region_id"), "name", "admin_code", "geometry")
-    joined = lookup_join(current, shapes, ["region_id"], "inner", small_rows=5_000)
+    joined = lookup_join(current, shapes, ["region_id"], "inner")
     return joined.select("region_id", "name", "admin_code", "value", "category", *flatten_components(), "geometry")
 
 
