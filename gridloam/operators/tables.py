@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,17 +20,18 @@ def _key_is_null(keys: list[str]) -> Column:
     return absent
 
 
-def last_wins(df: DataFrame, keys: list[str], *order: str | Column) -> DataFrame:
-    """The last row per key in the given order; rows with a NULL in the key are all kept.
-
-    A rank filter on row_number lets Spark keep one row per key inside each map task before the shuffle,
-    so a key held by many rows costs one row per task.
-    """
+def _latest(df: DataFrame, keys: list[str], order) -> DataFrame:
+    """The last row per key. A rank filter on row_number lets Spark keep one row per key inside each map
+    task before the shuffle, so a key held by many rows costs one row per task."""
     descending = [(F.col(o) if isinstance(o, str) else o).desc_nulls_last() for o in order]
     window = Window.partitionBy(*keys).orderBy(*descending)
+    return df.withColumn("_rn", F.row_number().over(window)).where("_rn = 1").drop("_rn")
+
+
+def last_wins(df: DataFrame, keys: list[str], *order: str | Column) -> DataFrame:
+    """The last row per key in the given order; rows with a NULL in the key are all kept."""
     absent = _key_is_null(keys)
-    latest = df.where(~absent).withColumn("_rn", F.row_number().over(window)).where("_rn = 1").drop("_rn")
-    return latest.unionByName(df.where(absent))
+    return _latest(df.where(~absent), keys, order).unionByName(df.where(absent))
 
 
 def upsert(
@@ -55,14 +57,16 @@ def upsert(
     missing = set(columns) - set(keys) - set(replace) - set(keep)
     if missing:
         raise ValueError(f"columns neither replaced nor kept: {sorted(missing)}")
-    if all(o in batch.columns for o in order):
-        batch = last_wins(batch, keys, *order)
+    absent = _key_is_null(keys)
     types = {f.name: f.dataType for f in target.schema.fields}
-    batch = batch.select(*[(F.col(c) if c in batch.columns else F.lit(None)).cast(types[c]).alias(c) for c in columns])
+    aligned = [(F.col(c) if c in batch.columns else F.lit(None)).cast(types[c]).alias(c) for c in columns]
 
-    absent = _key_is_null(keys)
-    loose = target.where(absent).unionByName(batch.where(absent))
+    loose = target.where(absent).unionByName(batch.where(absent).select(*aligned))
     old, new = target.where(~absent), batch.where(~absent)
+    if all(o in batch.columns for o in order):
+        new = _latest(new, keys, order)
+    # The batch is measured and then joined more than once; its cached parts are worked out again if lost.
+    new = new.select(*aligned).persist(StorageLevel.MEMORY_AND_DISK)
     incoming = new.select(*keys, F.struct(*[c for c in columns if c not in keys]).alias("_new"))
 
     def merged(c: str) -> Column:
