@@ -23,7 +23,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloam.functions.geometry import crosses_right, on_edge, ring_edges
+from gridloam.functions.geometry import orientation, ring_edges
 from gridloam.session import written
 
 MAX_CELL_EDGES = 64
@@ -160,9 +160,10 @@ def _children(df: DataFrame) -> DataFrame:
 
 def _entries(local: DataFrame, toggles: DataFrame) -> DataFrame:
     """Edges and toggles per (cell, region), laid out by cell so that the grouping per cell needs no further
-    shuffle. Cells arriving here hold a bounded number of edges."""
+    shuffle. Cells arriving here hold a bounded number of edges. Edges are turned to run upward."""
     edge_type = "struct<x1:double,y1:double,x2:double,y2:double>"
-    marks = local.selectExpr("gid", "lvl", "c", "r", "struct(x1, y1, x2, y2) as e", "cast(null as double) as t").unionByName(
+    rising = "if(y1 <= y2, struct(x1, y1, x2, y2), struct(x2 as x1, y2 as y1, x1 as x2, y1 as y2)) as e"
+    marks = local.selectExpr("gid", "lvl", "c", "r", rising, "cast(null as double) as t").unionByName(
         toggles.selectExpr("gid", "lvl", "c", "r", f"cast(null as {edge_type}) as e", "y as t")
     )
     return marks.repartition("c", "r").groupBy("gid", "lvl", "c", "r").agg(
@@ -170,9 +171,9 @@ def _entries(local: DataFrame, toggles: DataFrame) -> DataFrame:
     )
 
 
-def grid_size(area: float, edges: int, regions: int) -> float:
-    """Power-of-two cell side that gives about two cells per edge, so the index grows with the boundaries."""
-    wanted = math.sqrt(area / (2 * edges + 16 * regions)) if area > 0 else 1.0
+def grid_size(area: float, edges: int, regions: int, cells_per_edge: float = 8) -> float:
+    """Power-of-two cell side that gives a number of cells per edge, so the index grows with the boundaries."""
+    wanted = math.sqrt(area / (cells_per_edge * (edges + 8 * regions))) if area > 0 else 1.0
     return 2.0 ** round(math.log2(wanted))
 
 
@@ -182,9 +183,13 @@ def build_region_index(
     level_col: str = "admin_level",
     geometry_col: str = "geometry",
     max_cell_edges: int = MAX_CELL_EDGES,
+    cells_per_edge: float = 8,
 ) -> RegionIndex:
     """Index a region table once; it then serves any number of point, line and overlay joins.
 
+    More `cells_per_edge` make a larger index in which more points fall into cells filled by one region
+    and need no boundary test: worth it when points outnumber boundary edges by far.
+
     Regions repeating the same shape at the same level are indexed once and listed in `members`.
     """
     named = regions.where(F.col(geometry_col).isNotNull()).select(
@@ -213,7 +218,7 @@ def build_region_index(
         members = named.select("region_id", "lvl", "shape").join(firsts, ["lvl", "shape"]).select("gid", "region_id")
     bounds = (totals["x1"], totals["x2"], totals["y1"], totals["y2"]) if totals["shapes"] else None
 
-    size = grid_size(totals["area"], totals["vertices"], totals["shapes"]) if totals["shapes"] else 1.0
+    size = grid_size(totals["area"], totals["vertices"], totals["shapes"], cells_per_edge) if totals["shapes"] else 1.0
     current = explode_edges(shapes, "geometry").selectExpr(
         "gid", "lvl", *_EDGE,
         f"{cell_of('box_x1', size)} as c_from", f"{cell_of('box_x2', size)} as c_to",
@@ -247,9 +252,17 @@ def _level(size: float, entries: DataFrame, refined: DataFrame | None, kept: lis
 
 
 def contains(edges: str, toggles: str, x: str, y: str) -> str:
-    """SQL for the strict interior test of a point in the entry's cell."""
-    crossings = f"size(filter({edges}, e -> {crosses_right('e', x, y)})) + size(filter({toggles}, t -> t > {y}))"
-    return f"if(size({edges}) = 0, true, not exists({edges}, e -> {on_edge('e', x, y)}) and pmod({crossings}, 2) = 1)"
+    """SQL for the strict interior test of a point in the entry's cell.
+
+    Edges run upward, so two comparisons leave the few that reach the point's height; only those are
+    compared with the point's position.
+    """
+    side = orientation("e", x, y)
+    on_edge = f"{side} = 0 and (e.y1 < e.y2 or {x} between least(e.x1, e.x2) and greatest(e.x1, e.x2))"
+    crossed = f"size(filter(near, e -> e.y2 > {y} and {side} > 0)) + size(filter({toggles}, t -> t > {y}))"
+    near = f"filter({edges}, e -> e.y1 <= {y} and e.y2 >= {y})"
+    decided = f"get(transform(array({near}), near -> not exists(near, e -> {on_edge}) and pmod({crossed}, 2) = 1), 0)"
+    return f"if(size({edges}) = 0, true, {decided})"
 
 
 def best_candidates(entries: DataFrame) -> DataFrame:

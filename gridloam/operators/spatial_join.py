@@ -55,8 +55,12 @@ def assign_region(
         cell = (f"{cell_of(x, level.size)} as _c", f"{cell_of(y, level.size)} as _r")
         out = _on_cell(out.selectExpr("*", *cell), cells, level.bytes, "left", points.selectExpr(*cell)).drop("_c", "_r")
         found.append(name)
-    first_hit = f"get(filter(coalesce({', '.join(found)}), k -> {contains('k.edges', 'k.toggles', x, y)}), 0)"
-    return out.withColumn(region_col, F.expr(f"{first_hit}.rank.gid")).drop(*found)
+    # The first candidate is the answer for most points; only where it is not are the others looked at.
+    out = out.withColumn("_candidates", F.coalesce(*found)).drop(*[f for f in found if f != "_candidates"])
+    out = out.withColumn("_first", F.get("_candidates", F.lit(0)))
+    others = f"filter(slice(_candidates, 2, size(_candidates)), k -> {contains('k.edges', 'k.toggles', x, y)})"
+    hit = f"if({contains('_first.edges', '_first.toggles', x, y)}, _first.rank.gid, get({others}, 0).rank.gid)"
+    return out.withColumn(region_col, F.expr(hit)).drop("_candidates", "_first")
 
 
 def fill_region(
