@@ -9,7 +9,6 @@ from catalog.registry import query
 from gridloam.functions.geometry import EARTH_RADIUS_M, centroid, intersects, point, to_wgs84, within
 from gridloam.operators.clustering import cluster_expansion_zoom, cluster_points
 from gridloam.operators.filters import line_region_bridge, lines_in_region
-from gridloam.operators.region_index import build_region_index
 from gridloam.operators.rollups import plant_capacity
 from gridloam.operators.spatial_join import (
     assign_region,

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridloam.functions.geometry import LINE, MULTIPOLYGON, POINT, centroid
-from gridloam.operators import region_index, spatial_join
+from gridloam.operators import spatial_join
 from gridloam.operators.region_index import build_region_index
 from gridloam.operators.spatial_join import (
     assign_region,

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from gridloam.operators import skew
 from gridloam.operators.clustering import cluster_expansion_zoom, cluster_points
 from gridloam.operators.filters import select_layers, status_filter
-from gridloam.operators.history import current_snapshot
+from gridloam.operators.history import current_snapshot, history
 from gridloam.operators.quality import check_domain, check_unique, domain_rules
 from gridloam.operators.skew import hot_keys, lookup_join
-from gridloam.operators.tables import append_snapshot, last_wins, register_methodology, remove_methodology, remove_regions, upsert
+from gridloam.operators.tables import append_snapshot, last_wins, register_methodology, remove_methodology, remove_regions, upsert, write_snapshot
 from gridloam.plans.loads import FEASIBILITY_PROPERTIES, feasibility_features
 from gridloam.session import fresh_path
 from gridloam.sources.geojson import check_collection, epsg_of, read_collection, read_features
@@ -90,6 +90,19 @@ def test_snapshots(spark):
     assert current_snapshot(old.union(fine)).collect()[0]["value"] == 2.0
 
 
+def test_stored_history_prunes_by_run_date(spark):
+    path = fresh_path(spark, "snapshots")
+    rows = "region_id string, methodology_version string, computed_at timestamp, value double"
+    for day in (1, 2, 3):
+        write_snapshot(spark.createDataFrame([("a", "v1", datetime(2026, 1, day), float(day)), ("b", "v1", datetime(2026, 1, day), 0.0)], rows), path)
+    stored = spark.read.parquet(path)
+    found = history(stored, "a", datetime(2026, 1, 2), datetime(2026, 1, 3))
+    assert [r["value"] for r in found.collect()] == [3.0, 2.0]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "run_date" in plan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
+    assert current_snapshot(stored).where("region_id = 'a'").first()["value"] == 3.0
+
+
 def test_remove_regions(spark):
     regions = spark.createDataFrame([(1, None), (2, 1), (3, 2)], "id int, parent_region_id int")
     child = spark.createDataFrame([(10, 1), (11, 2), (12, None)], "k int, region_id int")
