@@ -61,10 +61,16 @@ def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE) -> DataFr
     return df.sparkSession.createDataFrame(parts.collect(), parts.schema)
 
 
-def _row_hash(df: DataFrame) -> Column:
-    """A hash over the row itself: unlike a random number, it stays the same when a lost task is run again."""
-    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    return F.xxhash64(*[F.col(f"`{n}`") for n in plain])
+def _row_hash(df: DataFrame, keys: list[str]) -> Column:
+    """A hash over the row itself: unlike a random number, it stays the same when a lost task is run again.
+
+    Plain columns besides the keys tell rows apart; shapes and property bags are hashed only where there are
+    none. Exact copies of a row stay together and are left to adaptive skew splitting.
+    """
+    nested = (T.ArrayType, T.StructType, T.MapType, T.VariantType)
+    plain = [f.name for f in df.schema.fields if f.name not in keys and not isinstance(f.dataType, nested)]
+    hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    return F.xxhash64(*[F.col(f"`{n}`") for n in plain or hashable])
 
 
 def lookup_join(
@@ -89,9 +95,14 @@ def lookup_join(
         return facts.join(F.broadcast(lookup), keys, how)
 
     hot = hot_keys(count_on if count_on is not None else facts, keys, share)
-    dealt = F.pmod(_row_hash(facts), F.coalesce("_parts", F.lit(1))).cast("int")
-    spread = F.pmod(_row_hash(facts), F.lit(NULL_PARTS)).cast("int")
-    salted = facts.join(F.broadcast(hot), keys, "left").withColumn("_salt", F.when(_any_null(keys), spread).otherwise(dealt)).drop("_parts")
+    row = _row_hash(facts, keys)
+    # Rows of ordinary keys get salt 0 without being hashed.
+    salt = (
+        F.when(_any_null(keys), F.pmod(row, F.lit(NULL_PARTS)).cast("int"))
+        .when(F.col("_parts").isNotNull(), F.pmod(row, F.col("_parts")).cast("int"))
+        .otherwise(0)
+    )
+    salted = facts.join(F.broadcast(hot), keys, "left").withColumn("_salt", salt).drop("_parts")
     salts = F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)
     repeated = lookup.join(F.broadcast(hot), keys, "left").withColumn("_salt", F.explode(salts)).drop("_parts")
     return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
