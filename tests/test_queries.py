@@ -8,6 +8,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as driver
+from catalog.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -35,7 +36,7 @@ def rows(frame):
     return columns, sorted(values, key=lambda r: [(v is None, str(v)) for v in r])
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_sql(spark, duck, name):
     assert name in driver.oracle_sql()
     got = rows(driver.queries()[name](spark, SF).toPandas())
