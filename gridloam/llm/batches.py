@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,7 +27,7 @@ def picked(df: DataFrame, **columns) -> DataFrame:
 
 def slices(batch: pa.RecordBatch, text: str, limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """`batch` in pieces of at most `limit` bytes of text each, or one row."""
-    lengths = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(text)), 0))
+    lengths = np.asarray(pc.fill_null(pc.binary_length(batch.column(text)), 0))
     total, start = 0, 0
     for i, n in enumerate(lengths):
         if total and total + n > limit:
@@ -39,7 +40,7 @@ def slices(batch: pa.RecordBatch, text: str, limit: int = BATCH_BYTES) -> Iterat
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of all texts end to end, and where each text starts (one more entry for the end). NULL is empty."""
-    column = pa.compute.fill_null(column, "").cast(pa.large_string())
+    column = pc.fill_null(column, "").cast(pa.large_string())
     offsets = np.frombuffer(column.buffers()[1], dtype=np.int64)[column.offset : column.offset + len(column) + 1]
     data = column.buffers()[2]
     if data is None or not len(column):

@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridloam.llm.decontaminate import items_hit, with_matches, words_hit
 from gridloam.llm.html_text import with_page_text
 from gridloam.llm.language_id import fit_languages, with_language
 from gridloam.llm.quality import fit_quality, with_quality
@@ -106,3 +107,48 @@ def op9_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = Vocabulary.from_file(public_tokenizers.path(UNIGRAM_VOCABULARY))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return with_token_count(docs, vocabulary).select("doc_id", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_chars"), "n_tokens")
+
+
+@registered
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = with_matches(docs, table(spark, sf_dir, "benchmark"))
+    items = items_hit(F.col("matches"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        words_hit(F.col("matches")).alias("n_hit"),
+        F.size(items).cast("long").alias("n_items"),
+        F.sha2(F.array_join(items, ","), 256).alias("items_sha256"),
+        (F.size("matches") > 0).alias("contaminated"),
+    )
+
+
+ORACLES["op8_decontamination"] = r"""
+WITH doc AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), item AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), probe AS (
+  SELECT item_id, n, array_to_string(w[i + 1 : i + n], ' ') AS win
+  FROM (SELECT item_id, w, least(10, len(w)) AS n FROM item WHERE len(w) > 0), range(0, 1000) AS r(i)
+  WHERE i + n <= len(w)
+), sizes AS (SELECT DISTINCT n FROM probe
+), place AS (
+  SELECT doc_id, w, unnest(range(0, len(w))) AS i FROM doc WHERE len(w) > 0
+), hit AS (
+  SELECT p.doc_id, p.i, s.n, b.item_id
+  FROM place p JOIN sizes s ON p.i + s.n <= len(p.w)
+  JOIN probe b ON b.n = s.n AND b.win = array_to_string(p.w[p.i + 1 : p.i + s.n], ' ')
+), covered AS (
+  SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS j FROM hit) GROUP BY doc_id
+), named AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+  FROM hit GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
