@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from gridloam.llm.decontaminate import items_hit, with_matches, words_hit
 from gridloam.llm.html_text import with_page_text
 from gridloam.llm.language_id import fit_languages, with_language
+from gridloam.llm.packing import packed_documents
 from gridloam.llm.quality import fit_quality, with_quality
 from gridloam.llm.shipping import ship
 from gridloam.llm.token_count import Vocabulary, with_token_count
@@ -19,6 +20,7 @@ from gridloam.llm.url_filter import judged, path_rule
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
+BPE_VOCABULARY = "byte_bpe_50k.json"
 UNIGRAM_VOCABULARY = "piece_bpe_32k.model"
 QUALITY_THRESHOLD = 0.3
 PATH_RULES = [
@@ -152,3 +154,10 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
 """
+
+
+@registered
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    got = packed_documents(docs, public_tokenizers.path(BPE_VOCABULARY))
+    return got.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
