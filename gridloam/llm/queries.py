@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridloam.llm.ann_forest import nearest
 from gridloam.llm.decontaminate import items_hit, with_matches, words_hit
 from gridloam.llm.html_text import with_page_text
 from gridloam.llm.language_id import fit_languages, with_language
@@ -161,3 +162,9 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     got = packed_documents(docs, public_tokenizers.path(BPE_VOCABULARY))
     return got.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@registered
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return nearest(vectors, vectors.where("vec_id % 20 = 0"), 20)
