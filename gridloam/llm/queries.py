@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from gridloam.llm.ann_forest import nearest
 from gridloam.llm.decontaminate import items_hit, with_matches, words_hit
 from gridloam.llm.html_text import with_page_text
+from gridloam.llm.jaccard_join import linked_documents
 from gridloam.llm.language_id import fit_languages, with_language
 from gridloam.llm.packing import packed_documents
 from gridloam.llm.quality import fit_quality, with_quality
@@ -168,3 +169,8 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return nearest(vectors, vectors.where("vec_id % 20 = 0"), 20)
+
+
+@registered
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linked_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
