@@ -16,6 +16,7 @@ from gridloam.llm.language_id import fit_languages, with_language
 from gridloam.llm.packing import packed_documents
 from gridloam.llm.quality import fit_quality, with_quality
 from gridloam.llm.shipping import ship
+from gridloam.llm.suffix_dedup import without_repeats
 from gridloam.llm.token_count import Vocabulary, with_token_count
 from gridloam.llm.url_filter import judged, path_rule
 
@@ -174,3 +175,10 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@registered
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    return got.select("doc_id", n_bytes.alias("n_bytes"), (n_bytes - F.octet_length("kept")).alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
