@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from gridloam.llm.batches import byte_set, mixed, row_key, slices, text_bytes, windows, words
 from gridloam.llm.components import components
+from gridloam.operators.skew import fits_broadcast
 from gridloam.session import written
 
 SHINGLE = 5
@@ -187,13 +188,8 @@ def _near_in_size(a: str, b: str):
     return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
 
 
-def linked_documents(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of `docs`: its id, `n_shingles`, and `component_id`, the smallest id reachable by links.
-
-    Words are runs of bytes other than white space, A-Z as a-z; two documents link when 100 * intersection >= 75 *
-    union. A NULL, empty or blank text has no shingles and links with nothing, its component is its own id. Rows
-    without an id take part; a component of such rows only has none. Sets are compared by 64-bit hashes of shingles.
-    """
+def _linked(docs: DataFrame, id_column: str, text: str) -> DataFrame:
+    """One row per row of `docs`: id, row, n_shingles, root (of its component of classes) and component_id."""
     spark = docs.sparkSession
     id_type = docs.select(f"`{id_column}`").schema[0].dataType.simpleString()
     rows = docs.select(F.col(f"`{id_column}`").alias("id"), F.col(f"`{text}`").alias("text"), row_key(id_column, text).alias("row"))
@@ -237,6 +233,32 @@ def linked_documents(docs: DataFrame, id_column: str = "doc_id", text: str = "te
     classes = members.where("n_shingles > 0").groupBy("key").agg(F.min("id").alias("least"))
     rooted = classes.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     whole = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    final = rooted.join(whole, "root").select("key", "component_id")
+    final = rooted.join(whole, "root").select("key", "root", "component_id")
     out = members.join(final, "key", "left")
-    return out.select(F.col("id").alias(id_column), "n_shingles", F.when(F.col("n_shingles") == 0, F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
+    return out.select("id", "row", "n_shingles", "root", F.when(F.col("n_shingles") == 0, F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def linked_documents(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per row of `docs`: its id, `n_shingles`, and `component_id`, the smallest id reachable by links.
+
+    Words are runs of bytes other than white space, A-Z as a-z; two documents link when 100 * intersection >= 75 *
+    union. A NULL, empty or blank text has no shingles and links with nothing, its component is its own id. Rows
+    without an id take part; a component of such rows only has none. Sets are compared by 64-bit hashes of shingles.
+    """
+    return _linked(docs, id_column, text).select(F.col("id").alias(id_column), "n_shingles", "component_id")
+
+
+def one_per_component(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """The row of the smallest id of each component, and every row without shingles. Rows equal in id and text count
+    as copies of each other; rows without an id stay only where their component has no other."""
+    linked = written(_linked(docs, id_column, text).where("n_shingles > 0"), "linked")
+    best = linked.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "row"))["row"].alias("best"))
+    judged = linked.join(best, "root")
+    dropped = written(judged.where("row != best").select(F.col("row").alias("_llm_row")).distinct(), "dropped")
+    again = written(judged.where("row = best").groupBy(F.col("row").alias("_llm_row")).count().where("count > 1").select("_llm_row"), "again")
+    keyed = docs.withColumn("_llm_row", row_key(id_column, text))
+    keyed = keyed.join(F.broadcast(dropped) if fits_broadcast(dropped) else dropped, "_llm_row", "left_anti")
+    if again.limit(1).count():
+        few = F.broadcast(again) if fits_broadcast(again) else again
+        keyed = keyed.join(few, "_llm_row", "left_anti").unionByName(keyed.join(few, "_llm_row", "left_semi").dropDuplicates(["_llm_row"]))
+    return keyed.drop("_llm_row")

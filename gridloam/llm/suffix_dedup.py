@@ -543,3 +543,22 @@ def without_repeats(docs: DataFrame, text: str = "text", *, range_suffixes: int
     joined = joined.withColumn("_llm_spans", F.coalesce("_llm_spans", empty))
     out = joined.withColumn("_llm_kept", _kept_function()(F.col(f"`{text}`"), F.col("_llm_spans")))
     return out.withColumns({"spans": F.col("_llm_spans"), "kept": F.col("_llm_kept")}).drop("_llm_key", "_llm_spans", "_llm_kept")
+
+
+def _decoded():
+    @F.arrow_udf("string")
+    def decoded(kept: pa.Array) -> pa.Array:
+        return pa.array([k.as_py().decode("utf-8", "ignore") for k in kept], pa.string())
+
+    return decoded
+
+
+def with_repeats_cut(docs: DataFrame, text: str = "text") -> DataFrame:
+    """`docs` with the repeated strings cut out of `text`; what a cut leaves of a split character goes too. No row is
+    dropped, a NULL text stays NULL."""
+    columns = docs.columns
+    inner = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)))
+    own = f"c{columns.index(text)}"
+    got = without_repeats(inner, own)
+    got = got.withColumn(own, F.when(F.size("spans") > 0, _decoded()(F.col("kept"))).otherwise(F.col(own)))
+    return got.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(columns)))
