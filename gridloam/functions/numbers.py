@@ -40,54 +40,64 @@ def strict_int(col, name: str) -> Column:
     return _required(to_double(col).cast("int"), name, "int")
 
 
-def strict_bool(col, name: str) -> Column:
-    return _required(_col(col).try_cast("boolean"), name, "boolean")
-
-
 def _required(value: Column, name: str, dtype: str) -> Column:
     return F.coalesce(value, F.raise_error(F.lit(f"required field missing or invalid: {name}")).cast(dtype))
 
 
-def _scaled(x: Column, digits: int, ties: str) -> Column:
-    """The whole number nearest to |x| * 10**digits, decided on the exact binary value of x.
+# From here on every double is a whole number.
+_WHOLE = 2.0**53
+
+
+def _scaled(x: Column, digits: int, ties: str) -> tuple[Column, Column]:
+    """|x| rounded to `digits` decimals by its exact binary value: its whole part, and its decimals as a number
+    from 0 to 10**digits. |x| below 2**53.
 
-    The product is split without rounding error into its double and the remainder, so a value that merely
-    prints like a tie goes to the side it lies on.
+    Cutting off the whole part is exact. The product of the rest is split without rounding error into its double
+    and the remainder, so a value that merely prints like a tie goes to the side it lies on.
     """
     scale = 10.0**digits
     split = 134217729.0  # 2**27 + 1
-    a = F.abs(x)
+    whole = F.floor(F.abs(x))
+    a = F.abs(x) - whole.cast("double")
     p = a * F.lit(scale)
     ah = a * F.lit(split) - (a * F.lit(split) - a)
     al = a - ah
     bh = scale * split - (scale * split - scale)
     bl = scale - bh
     rest = ((ah * F.lit(bh) - p) + ah * F.lit(bl) + al * F.lit(bh)) + al * F.lit(bl)
-    low = F.floor(p).cast("double")
-    half = p - low
-    at_tie = (F.pmod(low, F.lit(2.0)) == 1) if ties == "even" else F.lit(True)
+    low = F.floor(p)
+    half = p - low.cast("double")
+    last = low if digits else whole
+    at_tie = (F.pmod(last, F.lit(2)) == 1) if ties == "even" else F.lit(True)
     up = (half > 0.5) | ((half == 0.5) & ((rest > 0) | ((rest == 0) & at_tie)))
-    return low + up.cast("double")
+    return whole, low + up.cast("bigint")
 
 
 def round_exact(col, digits: int, ties: str = "even") -> Column:
     """Round to `digits` decimals by the exact binary value; real ties go to even (or away with ties="away")."""
     x = _col(col)
-    rounded = _scaled(x, digits, ties) / F.lit(10.0**digits)
+    whole, decimals = _scaled(x, digits, ties)
+    total = whole.cast("decimal(38,0)") * F.lit(10**digits).cast("decimal(20,0)") + decimals.cast("decimal(38,0)")
+    # Small totals divide exactly rounded as doubles; large ones are read as the decimal number they are.
+    near = total.cast("double") / F.lit(10.0**digits)
+    far = F.concat(total.cast("string"), F.lit(f"E-{digits}")).cast("double")
+    rounded = F.when(total < F.lit(2**53).cast("decimal(38,0)"), near).otherwise(far)
     negative = F.substring(x.cast("string"), 1, 1) == "-"
-    return F.when(F.abs(x) < 1e11, F.when(negative, -rounded).otherwise(rounded)).otherwise(x)
+    return F.when(F.abs(x) < _WHOLE, F.when(negative, -rounded).otherwise(rounded)).otherwise(x)
 
 
 def fixed_text(col, digits: int) -> Column:
     """Exactly `digits` decimals as text; real ties go away from zero."""
     x = _col(col)
-    n = _scaled(x, digits, "away").cast("bigint")
-    unit = 10**digits
-    whole = F.floor(n / F.lit(unit)).cast("string")
-    fraction = F.lpad(F.pmod(n, F.lit(unit)).cast("string"), digits, "0")
-    text = F.concat(F.when(x < 0, "-").otherwise(""), whole, F.lit("."), fraction)
-    big = F.concat(x.cast("decimal(38,0)").cast("string"), F.lit("." + "0" * digits))
-    return F.when(F.isnan(x), "NaN").when(F.abs(x) < 1e11, text).otherwise(big)
+    whole, decimals = _scaled(x, digits, "away")
+    unit = F.lit(10**digits).cast("bigint")
+    carried = (whole + F.floor(decimals / unit)).cast("string")
+    fraction = F.lpad(F.pmod(decimals, unit).cast("string"), digits, "0")
+    sign = F.when(x < 0, "-").otherwise("")
+    text = F.concat(sign, carried, F.lit("."), fraction) if digits else F.concat(sign, carried)
+    zeros = F.lit("." + "0" * digits if digits else "")
+    exact = F.when(F.abs(x) < 2.0**63, x.cast("bigint").cast("string")).otherwise(x.cast("decimal(38,0)").cast("string"))
+    return F.when(F.isnan(x), "NaN").when(F.abs(x) < _WHOLE, text).otherwise(F.concat(exact, zeros))
 
 
 def _exponent_text(x: Column, width: int) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime, timezone
+from datetime import date
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -114,21 +114,31 @@ def raw_attributes(df, columns: list[str]) -> Column:
     return F.to_variant_object(F.struct(*fields))
 
 
+# A JSON string, or a number JSON has no word for standing where a value stands.
+_STRING_OR_BARE = r'("(?:[^"\\]|\\.)*+")|(?<![\w.])(?:NaN|[+-]?Infinity|[+-]?INF)(?![\w.])'
+
+
 def raw_attributes_json(col) -> Column:
     """A property bag that arrives as JSON text, kept as a VARIANT.
 
-    Bare NaN, which is not JSON, becomes null; text that parses as it stands is never touched.
+    Bare NaN and infinities, which are not JSON, become null; strings and text that parses as it stands are never
+    touched. A bag that is no JSON even so fails the run; `is_broken_bag` tells such rows beforehand.
     """
     c = _col(col)
-    mended = F.regexp_replace(c, r"(?<=[:\[,])(\s*)NaN(?=\s*[,}\]])", "$1null")
-    return F.coalesce(F.try_parse_json(c), F.try_parse_json(mended))
+    return F.parse_json(F.when(F.try_parse_json(c).isNotNull(), c).otherwise(_mended(c)))
+
+
+def _mended(c: Column) -> Column:
+    marked = F.regexp_replace(c, _STRING_OR_BARE, "$1\u0000")
+    return F.regexp_replace(F.regexp_replace(marked, "\"\u0000", "\""), "\u0000", "null")
+
+
+def is_broken_bag(col) -> Column:
+    """Whether a property bag is given but cannot be read as JSON, bare NaN and infinities apart."""
+    c = _col(col)
+    return c.isNotNull() & F.try_parse_json(c).isNull() & F.try_parse_json(_mended(c)).isNull()
 
 
 def version_date(text: str) -> Column:
     """A source version given as an ISO date; anything else is refused before the run starts."""
     return F.lit(date.fromisoformat(text))
-
-
-def run_stamp(at: datetime | None = None) -> Column:
-    """One timestamp for a whole run, fixed on the driver so that every row and retry gets the same."""
-    return F.lit(at or datetime.now(timezone.utc))

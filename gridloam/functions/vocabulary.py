@@ -89,7 +89,6 @@ BUBBLE_STEPS = {
 
 # --- fixed values: published completion rates and the regions on the hotspot list
 COMPLETION_RATE = {"PJM": 0.197, "Norway": 0.40, "Gulf": 0.55}
-HOTSPOT_REGIONS = ["Loudoun", "Fairfax", "Prince William", "Arlington", "Oslo"]
 
 
 def lookup(col, table: dict, default=None) -> Column:

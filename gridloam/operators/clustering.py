@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 
 TILE_PX = 512
 
-# --- fixed values: cluster radius in pixels and last clustered zoom per layer
-LAYER_CLUSTERS = {"osm": {"radius_px": 40, "max_zoom": 7}, "clusters": {"radius_px": 50, "max_zoom": 6}}
 
 
 def mercator_x(lon: Column) -> Column:

@@ -74,13 +74,6 @@ def check_unique(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.where(present).groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
 
 
-def require_unique(df: DataFrame, keys: list[str]) -> DataFrame:
-    repeated = check_unique(df, keys)
-    if not repeated.isEmpty():
-        raise ValueError(f"duplicate key {keys}: {repeated.first().asDict()}")
-    return df
-
-
 def drop_null_geometry(df: DataFrame, geometry_col: str = "geometry") -> tuple[DataFrame, Observation]:
     """Rows with a geometry, and the count of those without, known once the rows have been written."""
     seen = Observation()

@@ -9,9 +9,10 @@ Every region is cut along a grid of square cells. For one (cell, region) pair th
 so a point in the cell is tested against these few values and never against the whole boundary. A pair
 without edges is a cell lying entirely inside the region. Pairs that cannot contain a point are left out.
 
-Cells holding more than `MAX_CELL_EDGES` edges are cut again into 8 x 8 smaller ones, up to `MAX_DEPTH`
-times, so no cell collects a large group however unevenly the boundaries are spread. Cell sides are powers
-of two, which makes cell membership exact in floating point.
+Cells holding more than `MAX_CELL_EDGES` edges are cut again into 8 x 8 smaller ones for as long as that thins
+them out. A smaller cell that keeps nearly all of the larger one's edges, as along a border that many regions share,
+is left as it is: cutting cannot part edges that lie on each other. So the index grows with the edges, however
+unevenly they are spread. Cell sides are powers of two, which makes cell membership exact in floating point.
 """
 
 from __future__ import annotations
@@ -20,15 +21,18 @@ import math
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloam.functions.geometry import orientation, ring_edges
 from gridloam.session import written
 
 MAX_CELL_EDGES = 64
-MAX_DEPTH = 6
 FANOUT = 8
+# A cell is cut on only while it holds at most this share of the edges of the cell it was cut from.
+THINNED = 0.75
+# Cells are no smaller than this times the largest coordinate; below that doubles hardly tell places apart.
+FINEST = 2.0**-40
 # Cell lists up to this estimated size are broadcast to the points; larger ones are joined by shuffle.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -94,21 +98,20 @@ def cell_of(value: str, size: float) -> str:
 def _by_row(edges: DataFrame, size: float) -> DataFrame:
     """Each edge once per grid row it reaches, with the range of columns it may touch in that row.
 
-    A steep enough edge is narrowed to its span inside the row, padded by an eighth of a cell, which is far
-    above any rounding of the interpolation. Other edges keep their whole width; a wider range is never wrong.
+    A steep enough edge is narrowed to its span inside the row, padded by an eighth of a cell. It is steep enough
+    where the interpolation's rounding stays far below that pad. Other edges keep their whole width; a wider range is
+    never wrong.
     """
     low, high, left, right = "least(y1, y2)", "greatest(y1, y2)", "least(x1, x2)", "greatest(x1, x2)"
     rows = edges.selectExpr(
         "*", f"explode(sequence(greatest({cell_of(low, size)}, r_from), least({cell_of(high, size)}, r_to))) as r"
     )
-    if size < 1e-4:
-        return rows.selectExpr("*", f"{cell_of(left, size)} as l0", f"{cell_of(right, size)} as l1")
-
     def x_at(y: str) -> str:
         return f"x1 + ({y} - y1) / (y2 - y1) * (x2 - x1)"
 
     pad, enter, leave = _number(size / 8), f"greatest(r * {_number(size)}, {low})", f"least((r + 1) * {_number(size)}, {high})"
-    steep = f"abs(y2 - y1) >= {pad}"
+    rounding = "greatest(abs(x1), abs(x2), abs(y1), abs(y2)) * 1e-15D"
+    steep = f"abs(y2 - y1) >= {pad} and (abs(x2 - x1) + abs(y2 - y1)) * {rounding} <= abs(y2 - y1) * {pad} / 16"
     spans = rows.selectExpr("*", f"if({steep}, {x_at(enter)}, {left}) as xa", f"if({steep}, {x_at(leave)}, {right}) as xb")
     return spans.selectExpr(
         "*",
@@ -133,8 +136,9 @@ def _toggles(rows: DataFrame, inherited: DataFrame | None, size: float) -> DataF
 
     An edge right of a cell is crossed at height y exactly when one of its ends is above y. Ends below the
     row never are, ends above it always are (kept at the row's upper side), and an end shared by two such
-    edges cancels. Cancelling per row and start column comes first, so only the places where a boundary
-    moves from one column to another are spread over the columns to their left.
+    edges cancels. What is left of one height in a row is a list of columns at which the parity to the left changes,
+    so the columns of odd parity lie between the first and the second of them, the third and the fourth, and so on,
+    counted from the right. Only those are written out.
     """
     below, above = f"r * {_number(size)}", f"(r + 1) * {_number(size)}"
     ends = rows.selectExpr("gid", "lvl", "r", "c_from", "least(l0, c_to + 1) as c_end", "explode(array(y1, y2)) as y")
@@ -146,12 +150,14 @@ def _toggles(rows: DataFrame, inherited: DataFrame | None, size: float) -> DataF
         "gid", "lvl", "r", "c_from", "c_end", f"least(y, {above}) as y"
     )
     moves = _odd(counted, "gid", "lvl", "r", "c_from", "c_end", "y")
-    spread = moves.selectExpr("gid", "lvl", "explode(sequence(c_from, c_end - 1)) as c", "r", "y")
-    return _odd(spread, "gid", "lvl", "c", "r", "y")
+    from_right = Window.partitionBy("gid", "lvl", "r", "c_from", "y").orderBy(F.desc("c_end"))
+    paired = moves.withColumns({"nth": F.row_number().over(from_right), "start": F.lead("c_end").over(from_right)})
+    return paired.where("nth % 2 = 1").selectExpr("gid", "lvl", "explode(sequence(coalesce(start, c_from), c_end - 1)) as c", "r", "y")
 
 
 def _children(df: DataFrame) -> DataFrame:
-    """Grid range, one level down, of the cell each row belongs to."""
+    """Grid range, one level down, of the cell each row belongs to. Rows that came with the number of edges of their
+    cell keep it as `held`."""
     last = FANOUT - 1
     return df.selectExpr(
         "*", f"c * {FANOUT} as c_from", f"c * {FANOUT} + {last} as c_to", f"r * {FANOUT} as r_from", f"r * {FANOUT} + {last} as r_to"
@@ -226,20 +232,26 @@ def build_region_index(
     )
     inherited = None
     levels: list[Level] = []
-    for depth in range(MAX_DEPTH + 1):
+    finest = FINEST * max(map(abs, bounds or (1.0,)))
+    current = current.withColumn("held", F.lit(None).cast("bigint"))
+    while True:
         rows = _by_row(current, size)
         local = _keep(_local(rows), kept)
         toggles = _toggles(rows, inherited, size)
-        crowded = local.groupBy("c", "r").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_cell_edges).select("c", "r")
-        if depth == MAX_DEPTH or crowded.isEmpty():
+        counts = local.groupBy("c", "r").agg(F.count(F.lit(1)).alias("n"), F.max("held").alias("held"))
+        thinned = F.col("held").isNull() | (F.col("n") <= F.col("held") * THINNED)
+        crowded = counts.where((F.col("n") > max_cell_edges) & thinned).select("c", "r", "n")
+        if size <= finest * FANOUT or crowded.isEmpty():
             levels.append(_level(size, _entries(local, toggles), None, kept))
             break
         crowded, toggles = _keep(crowded, kept), _keep(toggles, kept)
-        calm = _entries(local.join(crowded, ["c", "r"], "left_anti"), toggles.join(crowded, ["c", "r"], "left_anti"))
-        levels.append(_level(size, calm, crowded, kept))
+        cells = crowded.select("c", "r")
+        calm = _entries(local.join(cells, ["c", "r"], "left_anti"), toggles.join(cells, ["c", "r"], "left_anti"))
+        levels.append(_level(size, calm, cells, kept))
         # Each further level starts from stored rows, so plans do not nest level in level.
-        current = written(_children(local.join(crowded, ["c", "r"], "left_semi")), "cell-edges")
-        inherited = written(_children(toggles.join(crowded, ["c", "r"], "left_semi")), "cell-toggles")
+        held = local.drop("held").join(crowded.withColumnRenamed("n", "held"), ["c", "r"])
+        current = written(_children(held), "cell-edges")
+        inherited = written(_children(toggles.join(cells, ["c", "r"], "left_semi")), "cell-toggles")
         size /= FANOUT
     return RegionIndex(levels, members, bounds, kept)
 

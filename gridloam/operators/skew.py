@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridloam.session import written
+
 # A key is hot when it holds more than this share of all rows, so there can be fewer than 1 / HOT_SHARE of them.
 HOT_SHARE = 1 / 1000
 # A lookup side within both bounds is broadcast whole; a larger one is joined by a salted shuffle.
@@ -54,23 +56,22 @@ def hot_keys(df: DataFrame, keys: list[str], share: float = HOT_SHARE) -> DataFr
     Counted exactly, with partial counts before the shuffle. By construction there are fewer than
     1 / share such keys and fewer than 2 / share parts in all, so they fit the driver and a broadcast.
     """
-    present = df.where(~_any_null(keys)).select(*keys)
-    threshold = max(present.count() * share, 1.0)
-    counts = present.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > F.lit(threshold))
-    parts = counts.select(*keys, F.ceil(F.col("_n") / F.lit(threshold)).cast("int").alias("_parts"))
+    counts = df.where(~_any_null(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    # Written, so that the total and the hot keys come from one pass over the rows.
+    counts = written(counts, "key-counts")
+    threshold = max((counts.agg(F.sum("_n")).first()[0] or 0) * share, 1.0)
+    parts = counts.where(F.col("_n") > threshold).select(*keys, F.ceil(F.col("_n") / F.lit(threshold)).cast("int").alias("_parts"))
     return df.sparkSession.createDataFrame(parts.collect(), parts.schema)
 
 
 def _row_hash(df: DataFrame, keys: list[str]) -> Column:
     """A hash over the row itself: unlike a random number, it stays the same when a lost task is run again.
 
-    Plain columns besides the keys tell rows apart; shapes and property bags are hashed only where there are
-    none. Exact copies of a row stay together and are left to adaptive skew splitting.
+    All columns that can be hashed tell rows apart, shapes included. Exact copies of a row stay together and are left
+    to adaptive skew splitting.
     """
-    nested = (T.ArrayType, T.StructType, T.MapType, T.VariantType)
-    plain = [f.name for f in df.schema.fields if f.name not in keys and not isinstance(f.dataType, nested)]
     hashable = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    return F.xxhash64(*[F.col(f"`{n}`") for n in plain or hashable])
+    return F.xxhash64(*[F.col(f"`{n}`") for n in hashable])
 
 
 def lookup_join(

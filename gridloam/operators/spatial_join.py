@@ -92,8 +92,9 @@ def _grid_range(df: DataFrame, index: RegionIndex, size: float) -> DataFrame:
 def _hits(segments: DataFrame, index: RegionIndex) -> DataFrame:
     """(key, gid) for regions met by the segments of a key; segments: key, x1, y1, x2, y2, anchor.
 
-    A region is met when a segment shares a point with its boundary or when the start of an anchor segment
-    lies inside it. Both are decided in the cells the segment reaches, in one join.
+    A region is met when a segment shares a point with its boundary, decided in every cell the segment reaches
+    against the regions with edges there, or when the start of an anchor segment lies inside it, decided in that
+    start's cell against all regions there.
     """
     if index.bounds is None:
         return segments.select("key", F.lit(None).alias("gid")).where(F.lit(False))
@@ -101,15 +102,17 @@ def _hits(segments: DataFrame, index: RegionIndex) -> DataFrame:
     hits = None
     for level in index.levels:
         marks = _local(_by_row(current, level.size))
+        placed = marks.withColumnsRenamed({"c": "_c", "r": "_r"})
+        entries = level.entries.drop("lvl")
         at_home = f"anchor and _c = {cell_of('x1', level.size)} and _r = {cell_of('y1', level.size)}"
-        meets = f"exists(edges, e -> {segments_meet('s', 'e')})"
-        inside = contains("edges", "toggles", "x1", "y1")
         met = (
-            _on_cell(marks.withColumnsRenamed({"c": "_c", "r": "_r"}), level.entries.drop("lvl"), level.bytes, "inner")
+            _on_cell(placed, entries.where("size(edges) > 0").drop("toggles"), level.bytes, "inner")
             .withColumn("s", F.struct("x1", "y1", "x2", "y2"))
-            .where(f"{meets} or ({at_home} and {inside})")
+            .where(f"exists(edges, e -> {segments_meet('s', 'e')})")
             .select("key", "gid")
         )
+        held = _on_cell(placed.where(at_home), entries, level.bytes, "inner").where(contains("edges", "toggles", "x1", "y1")).select("key", "gid")
+        met = met.unionByName(held)
         hits = met if hits is None else hits.unionByName(met)
         if level.refined is not None:
             current = _children(marks.join(level.refined, ["c", "r"], "left_semi"))

@@ -63,8 +63,10 @@ def upsert(
 
     loose = target.where(absent).unionByName(batch.where(absent).select(*aligned))
     old, new = target.where(~absent), batch.where(~absent)
-    if all(o in batch.columns for o in order):
-        new = _latest(new, keys, order)
+    lacking = [o for o in order if o not in batch.columns]
+    if lacking:
+        raise ValueError(f"the batch lacks the columns that say which row of a key is the last: {lacking}")
+    new = _latest(new, keys, order)
     # The batch is measured and then joined more than once; its cached parts are worked out again if lost.
     new = new.select(*aligned).persist(StorageLevel.MEMORY_AND_DISK)
     incoming = new.select(*keys, F.struct(*[c for c in columns if c not in keys]).alias("_new"))
@@ -154,7 +156,8 @@ SNAPSHOT_KEYS = ["region_id", "methodology_version", "computed_at"]
 def snapshot_rows(batch: DataFrame, version: str, computed_at: datetime) -> DataFrame:
     """Stamp a batch of index values with its methodology version and the one timestamp of the run."""
     stamped = batch.withColumns({"methodology_version": F.lit(version), "computed_at": F.lit(computed_at)})
-    return stamped.withColumn("id", natural_id(*SNAPSHOT_KEYS))
+    # The instant itself is hashed, not its text, which would follow the session's time zone.
+    return stamped.withColumn("id", natural_id("region_id", "methodology_version", F.unix_micros("computed_at")))
 
 
 def append_snapshot(existing: DataFrame | None, batch: DataFrame, versions: DataFrame | None = None) -> DataFrame:
@@ -164,9 +167,9 @@ def append_snapshot(existing: DataFrame | None, batch: DataFrame, versions: Data
     if not repeated.isEmpty():
         raise ValueError(f"duplicate snapshot key in batch: {repeated.first().asDict()}")
     if existing is not None:
-        stamps = [r[0] for r in batch.select("computed_at").distinct().limit(1000).collect()]
-        # One timestamp per run is the rule; it narrows the stored rows to compare with.
-        stored = existing.where(F.col("computed_at").isin(stamps)) if len(stamps) < 1000 else existing
+        # One timestamp per run is the rule; the batch's span narrows the stored rows to compare with.
+        span = batch.agg(F.min("computed_at").alias("low"), F.max("computed_at").alias("high")).first()
+        stored = existing.where(F.col("computed_at").between(span["low"], span["high"]))
         clash = batch.select(*SNAPSHOT_KEYS).join(stored.select(*SNAPSHOT_KEYS), SNAPSHOT_KEYS, "left_semi")
         if not clash.isEmpty():
             raise ValueError(f"snapshot already stored: {clash.first().asDict()}")

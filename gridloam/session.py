@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
-def build_session(app: str = "gridloam", master: str | None = None, shuffle_partitions: int | None = None) -> SparkSession:
+def build_session(app: str = "gridloam", master: str | None = None, shuffle_partitions: int | None = None, initial_partitions: int = 100_000) -> SparkSession:
     """A session with the settings the operators are written for.
 
     On a cluster leave `master` and `shuffle_partitions` unset: spark-submit names the master and adaptive
     execution sizes the shuffles.
+
+    Adaptive execution only merges shuffle partitions, so it starts from `initial_partitions`, enough for some 200 MB
+    each at 20 TB of shuffled data.
     """
     builder = (
         SparkSession.builder.appName(app)
@@ -25,17 +30,23 @@ def build_session(app: str = "gridloam", master: str | None = None, shuffle_part
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    elif not (master or "").startswith("local"):
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(initial_partitions))
     return builder.getOrCreate()
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, named by `spark.checkpoint.dir`.
 
-    Only where that is unset (tests on one machine) a local folder is made and recorded in its place.
+    Only where that is unset and the session runs on one machine, as in tests, a local folder is made, recorded in
+    its place and removed when Python ends. Elsewhere executors would each write to a disk of their own.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("gridloam.scratch", None)
     if not folder:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="gridloam-", dir="/tmp")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
         spark.conf.set("gridloam.scratch", folder)
     return folder.rstrip("/")
 

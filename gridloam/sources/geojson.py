@@ -14,6 +14,7 @@ log = logging.getLogger(__name__)
 
 # Coordinates and properties stay JSON text here: their shape depends on the geometry type and the source.
 _FEATURE = "struct<type:string,geometry:struct<type:string,coordinates:string>,properties:string>"
+_LINE = "type string, geometry struct<type:string,coordinates:string>, properties string"
 _COLLECTION = f"type string, crs struct<properties:struct<name:string>>, features array<{_FEATURE}>"
 
 
@@ -29,18 +30,41 @@ def read_features(spark: SparkSession, path: str, expected: int | None = None) -
 
 
 def features_of(collection: DataFrame) -> DataFrame:
-    exploded = collection.select(F.posexplode("features").alias("row_idx", "f"))
-    return exploded.select("row_idx", "f.geometry", "f.properties")
+    """The features of each document with their position in it and the EPSG code the document names, if any."""
+    exploded = collection.select(_epsg(F.col("crs.properties.name")).alias("epsg"), F.posexplode("features").alias("row_idx", "f"))
+    return exploded.select(F.col("row_idx").cast("bigint").alias("row_idx"), "f.geometry", "f.properties", "epsg")
 
 
-def read_feature_lines(spark: SparkSession, path: str, index_property: str | None = None) -> DataFrame:
+def read_feature_lines(spark: SparkSession, path: str, index_property: str | None = None, rejects: bool = False):
     """One row per feature from files with one feature per line, split over many tasks.
 
-    Files have no common order, so `row_idx` comes from a property when one is named and is NULL otherwise.
+    `row_idx` says which of two rows came later. It is the property named, which every feature must have as a whole
+    number. Where none is named it is derived from the file's name and the line's place among those its task read,
+    which orders the lines of one file as they stand as long as the file is read in the same splits.
+
+    A line that is no feature fails the run when it is reached, and so does an input without lines. With `rejects`
+    such lines are returned instead, as a second frame of `line` and `reason`; blank lines are neither.
     """
-    lines = spark.read.schema("type string, geometry struct<type:string,coordinates:string>, properties string").json(path)
-    index = F.get_json_object("properties", f"$['{index_property}']").try_cast("int") if index_property else F.lit(None).cast("int")
-    return lines.where("type = 'Feature'").select(index.alias("row_idx"), "geometry", "properties")
+    lines = spark.read.text(path).where("trim(value) <> ''")
+    if lines.isEmpty():
+        raise ValueError("input contains no features")
+    parsed = lines.select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("place"), F.from_json("value", _LINE).alias("f"))
+    if index_property is None:
+        index = F.col("place")
+    else:
+        index = F.get_json_object("f.properties", f"$['{index_property}']").try_cast("bigint")
+    reason = (
+        F.when(F.try_parse_json("value").isNull(), "no JSON")
+        .when(F.coalesce(F.col("f.type"), F.lit("")) != "Feature", "not a Feature")
+        .when(index.isNull(), "no position")
+    )
+    judged = parsed.withColumns({"row_idx": index, "reason": reason})
+    if rejects:
+        good = judged.where("reason IS NULL")
+        return good.select("row_idx", "f.geometry", "f.properties"), judged.where("reason IS NOT NULL").select(F.col("value").alias("line"), "reason")
+    refused = F.raise_error(F.concat(F.lit("bad line, "), "reason", F.lit(": "), F.substring("value", 1, 200))).cast("bigint")
+    checked = judged.withColumn("row_idx", F.when(F.col("reason").isNull(), F.col("row_idx")).otherwise(refused))
+    return checked.select("row_idx", "f.geometry", "f.properties")
 
 
 def check_collection(collection: DataFrame, expected: int | None = None) -> DataFrame:
@@ -58,18 +82,22 @@ def check_collection(collection: DataFrame, expected: int | None = None) -> Data
     return collection
 
 
+def _epsg(name):
+    """EPSG code of a coordinate system's name. CRS84 is 4326 with the same axis order; an odd name fails the run."""
+    code = F.regexp_extract(name, r":(\d+)$", 1).try_cast("int")
+    known = F.when(F.upper(name).endswith("CRS84"), F.lit(4326)).otherwise(code)
+    return F.when(name.isNotNull(), F.coalesce(known, F.raise_error(F.concat(F.lit("unknown coordinate system: "), name)).cast("int")))
+
+
 def epsg_of(collection: DataFrame) -> int | None:
-    """EPSG code a collection names, None when it names none. CRS84 is 4326 with the same axis order."""
-    name = F.col("crs.properties.name")
-    rows = collection.where(name.isNotNull()).select(name.alias("n")).distinct().limit(2).collect()
-    if not rows:
-        return None
+    """The one EPSG code that all documents of a collection name, None when none names any.
+
+    Documents with different codes, or some with one and some without, are refused: `features_of` keeps the code of each.
+    """
+    rows = collection.select(_epsg(F.col("crs.properties.name")).alias("epsg")).distinct().limit(2).collect()
     if len(rows) > 1:
         raise ValueError("documents with different coordinate systems must be read apart")
-    text = rows[0]["n"]
-    if text.upper().endswith("CRS84"):
-        return 4326
-    return int(text.replace("::", ":").rsplit(":", 1)[-1])
+    return rows[0]["epsg"] if rows else None
 
 
 def parse_properties(df: DataFrame, names: list[str], column: str = "properties") -> DataFrame:

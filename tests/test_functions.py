@@ -1,3 +1,4 @@
+import decimal
 import hashlib
 import random
 
@@ -14,6 +15,7 @@ from gridloam.functions.text import (
     natural_id,
     normalize_status,
     osm_id,
+    is_broken_bag,
     raw_attributes_json,
     version_date,
     with_measure_text,
@@ -29,6 +31,7 @@ def test_rounding_follows_the_binary_value(spark):
     rng = random.Random(7)
     values = [rng.randrange(-(10**9), 10**9) / 100000 for _ in range(3000)]
     values += [k / 100000 + 0.00005 for k in range(-50, 500)] + [0.5, 2.5, 0.03125, -0.03125, 1e15, 1.23456e14, 1e-7, -1e-9, 0.0]
+    values += [rng.randrange(10**8, 10**15) / 10 ** rng.randrange(0, 6) for _ in range(3000)] + [300000000000.00006, 123456789012.5]
     got = column(spark, values, lambda c: round_exact(c, 4), "double")
     assert [repr(g) for g in got] == [repr(round(v, 4)) for v in values]
 
@@ -48,6 +51,13 @@ def test_fixed_text_breaks_real_ties_away_from_zero(spark):
     assert column(spark, values, lambda c: fixed_text(c, 2), "double") == ["1.00", "2.50", "-2.50", "0.13", "1234.57", "0.00", "1000.00", "-0.00"]
 
 
+def test_fixed_text_of_large_numbers(spark):
+    rng = random.Random(9)
+    values = [rng.randrange(10**8, 10**15) / 1000 for _ in range(3000)] + [123456789012.5, 2.0**60, 1e15]
+    want = [str(decimal.Decimal(v).quantize(decimal.Decimal("0.1"), decimal.ROUND_HALF_UP)) for v in values]
+    assert column(spark, values, lambda c: fixed_text(c, 1), "double") == want
+
+
 def test_to_double(spark):
     values = ["1d", "1_0", "nan", "1e3", " 2.5\t", "", None, "0x10", "1__0", ".5", "5.", "-inf", "abc", "1 2", " 7 "]
     want = [None, 10.0, None, 1000.0, 2.5, None, None, None, None, 0.5, 5.0, float("-inf"), None, None, 7.0]
@@ -96,9 +106,12 @@ def test_natural_id_keeps_null_keys_apart(spark):
 
 
 def test_raw_attributes_json(spark):
-    values = ['{"a": NaN, "b": ":NaN,"}', '{"a": ":NaN,"}', "nonsense", None]
+    values = ['{"a": NaN, "b": ":NaN,"}', '{"a": ":NaN,"}', '{"a": Infinity, "b": [-Infinity, NaN], "c": "x \\" NaN"}', None]
     got = column(spark, values, lambda c: F.to_json(raw_attributes_json(c)), "string")
-    assert got == ['{"a":null,"b":":null,"}', '{"a":":NaN,"}', None, None] or got[1:] == ['{"a":":NaN,"}', None, None]
+    assert got == ['{"a":null,"b":":NaN,"}', '{"a":":NaN,"}', '{"a":null,"b":[null,null],"c":"x \\" NaN"}', None]
+    with pytest.raises(Exception):
+        column(spark, ["nonsense"], lambda c: F.to_json(raw_attributes_json(c)), "string")
+    assert column(spark, ["nonsense", '{"a": NaN}', None], is_broken_bag, "string") == [True, False, False]
 
 
 def test_version_date_refuses_other_formats():
@@ -118,8 +131,15 @@ def test_decode_geometry(spark):
     got = {r["i"]: r["m"] for r in df.select("i", decode_geometry("g", "multipolygon").alias("m")).collect()}
     assert [len(got[1]), len(got[2]), got[3]] == [1, 2, None]
     assert (got[2][1][0][0]["x"], got[2][1][0][1]["x"]) == (5.0, 6.0)
-    with pytest.raises(Exception, match="expected a point geometry, got Polygon"):
-        df.select(decode_geometry("g", "point")).collect()
+    for i, kind in ((1, "Polygon"), (2, "MultiPolygon")):
+        with pytest.raises(Exception, match=f"expected a point geometry, got {kind}"):
+            df.where(F.col("i") == i).select(decode_geometry("g", "point")).collect()
+
+
+def test_decode_line(spark):
+    df = spark.createDataFrame([({"type": "LineString", "coordinates": "[[0,0],[1,2,9]]"},), (None,)], "g struct<type:string,coordinates:string>")
+    line, none = [r["l"] for r in df.select(decode_geometry("g", "line").alias("l")).collect()]
+    assert [(v["x"], v["y"]) for v in line] == [(0.0, 0.0), (1.0, 2.0)] and none is None
 
 
 def test_other_coordinate_systems_are_refused():
