@@ -8,13 +8,17 @@ begins. Longer pieces go first; a class of pieces that no gap can hold opens new
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import public_tokenizers
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,34 +28,65 @@ END_OF_DOCUMENT = 2
 CAPACITY = 1024
 # Rows that one range of a sweep holds, about.
 RANGE_ROWS = 200_000
-KEPT_CHUNKS = 1_000_000
+KEPT_CHUNKS = 300_000
 # A space between two characters that are not white space: no token reaches across its left side.
 CUT = re.compile(r"(?<=\S) (?=\S)")
 SWEPT = "kind string, item long, length long, bin long, room long, part int, rank long"
 
 
-class ChunkEncoder:
-    """Token ids of texts as little-endian 32-bit bytes. Chunks between safe cuts are encoded once and kept."""
+def byte_bpe(tokenizer_file: str) -> tiktoken.Encoding:
+    """The byte-level BPE of a `tokenizers` file in a faster encoder: same vocabulary, same ids."""
+    with open(tokenizer_file, encoding="utf-8") as f:
+        described = json.load(f)
+    # Fixed rule of byte-level vocabularies: printable Latin-1 characters stand for their bytes, those from 256 on for
+    # the other bytes in order.
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255]
+    byte = {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in shown)}
+    special = {t["content"]: t["id"] for t in described.get("added_tokens", ())}
+    ranks = {bytes(byte[c] for c in token): i for token, i in described["model"]["vocab"].items() if token not in special}
+    return tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
-    def __init__(self, tokenizer_file: str) -> None:
-        from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.kept: dict[str, bytes] = {}
+class Chunks(dict):
+    """Token ids of chunks that follow a space, each encoded when it is first met. Chunks with white space at an end
+    have none: whether a token reaches across depends on what stands next to them."""
+
+    def __init__(self, encode) -> None:
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, chunk: str) -> bytes:
+        if not chunk or chunk != chunk.strip():
+            raise KeyError(chunk)
+        if len(self) >= KEPT_CHUNKS:
+            self.clear()
+        ids = self[chunk] = self.encode(" " + chunk)
+        return ids
 
-    def learn(self, chunks: set[str]) -> None:
-        new = [c for c in chunks if c not in self.kept]
-        for c, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.kept[c] = np.array(e.ids, "<u4").tobytes()
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        if len(self.kept) > KEPT_CHUNKS:
-            self.kept.clear()
-        cut = [CUT.split(t) if t else [] for t in texts]
-        heads = [c[0] for c in cut if c]
-        self.learn({" " + p for c in cut for p in c[1:]}.union(heads))
-        get = self.kept.__getitem__
-        return [get(c[0]) + b"".join([get(" " + p) for p in c[1:]]) if c else b"" for c in cut]
+class ChunkEncoder:
+    """Token ids of texts as little-endian 32-bit bytes. Chunks between spaces are encoded once and kept."""
+
+    def __init__(self, tokenizer_file: str) -> None:
+        self.bpe = byte_bpe(tokenizer_file)
+        self.special = re.compile("|".join(map(re.escape, self.bpe.special_tokens_set)) or r"(?!)")
+        self.kept = Chunks(self.ids)
+
+    def ids(self, text: str) -> bytes:
+        ids = self.bpe.encode(text, allowed_special="all") if self.special.search(text) else self.bpe.encode_ordinary(text)
+        return array("I", ids).tobytes()
+
+    def encode(self, text: str | None) -> bytes:
+        if not text:
+            return b""
+        head, *chunks = text.split(" ")
+        try:
+            if chunks and head != head.strip():
+                raise KeyError(head)
+            return self.ids(head) + b"".join(map(self.kept.__getitem__, chunks))
+        except KeyError:
+            head, *chunks = CUT.split(text)
+            return self.ids(head) + b"".join([self.ids(" " + c) for c in chunks])
 
 
 def cut_lengths(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -74,11 +109,11 @@ def token_pieces(docs: DataFrame, tokenizer_file: str, id_column: str = "doc_id"
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = ChunkEncoder(tokenizer_file)
         for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
+            for at in range(0, whole.num_rows, 64):
+                batch = whole.slice(at, 64)
                 out = []
-                for k, ids in enumerate(encoder.encode(batch.column("text").to_pylist())):
-                    ids += end
+                for k, text in enumerate(batch.column("text").to_pylist()):
+                    ids = encoder.encode(text) + end
                     for p, (start, length) in enumerate(cut_lengths(len(ids) // 4, capacity)):
                         own = ids[4 * start : 4 * (start + length)]
                         out.append((k, p, start, length, zlib.crc32(own), own if keep_ids else None))
