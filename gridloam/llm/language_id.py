@@ -146,5 +146,5 @@ def language_of(spark, model: LanguageModel, text: Column) -> Column:
 
 def with_language(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
     """`docs` with `lang_pred` and `score` (0 to 1) added, or put in place of columns of those names."""
-    got = docs.withColumn("_language", language_of(docs.sparkSession, model, F.col(f"`{text}`")))
-    return got.withColumns({c: F.col(f"_language.{c}") for c in ("lang_pred", "score")}).drop("_language")
+    got = docs.withColumn("_llm_language", language_of(docs.sparkSession, model, F.col(f"`{text}`")))
+    return got.withColumns({c: F.col(f"_llm_language.{c}") for c in ("lang_pred", "score")}).drop("_llm_language")

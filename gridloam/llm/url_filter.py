@@ -110,9 +110,9 @@ def judged(urls: DataFrame, path_rules: list[Rule], pattern_rules: list[Rule] =
     candidates = distinct.select("url", F.concat(host, path).alias("place"), ascii_lower(F.col("url")).alias("low"), F.explode(tokens_of(F.col("url"))).alias("token")).join(F.broadcast(index), "token")
     fitting = candidates.where(F.expr("regexp_like(CASE WHEN by_path THEN place ELSE low END, pattern)"))
     by_path = F.when(F.col("by_path"), F.struct(F.length("rule").alias("n"), "rule", "rule_verdict"))
-    found = fitting.groupBy("url").agg(F.max(by_path).alias("_best"), F.max(F.when(~F.col("by_path"), F.col("rule_verdict"))).alias("_method"))
-    found = found.select(F.col("url").alias("_url"), "_best", "_method")
+    found = fitting.groupBy("url").agg(F.max(by_path).alias("_llm_best"), F.max(F.when(~F.col("by_path"), F.col("rule_verdict"))).alias("_llm_method"))
+    found = found.select(F.col("url").alias("_llm_url"), "_llm_best", "_llm_method")
     host, path = host_and_path(F.col(f"`{url}`"))
-    joined = urls.withColumns({"host": host, "path": path}).join(found, F.col(f"`{url}`") == F.col("_url"), "left")
-    out = joined.withColumns({"rule": F.col("_best.rule"), "verdict": F.coalesce(F.col("_best.rule_verdict"), F.col("_method"), F.lit("allow"))})
-    return out.drop("_url", "_best", "_method")
+    joined = urls.withColumns({"host": host, "path": path}).join(found, F.col(f"`{url}`") == F.col("_llm_url"), "left")
+    out = joined.withColumns({"rule": F.col("_llm_best.rule"), "verdict": F.coalesce(F.col("_llm_best.rule_verdict"), F.col("_llm_method"), F.lit("allow"))})
+    return out.drop("_llm_url", "_llm_best", "_llm_method")
