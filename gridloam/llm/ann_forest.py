@@ -173,10 +173,13 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, *, id_column: s
         sizes[c["tree"]][c["leaf"]] = c["count"]
     leaf_sizes = spark.sparkContext.broadcast(sizes)
 
+    # Few rows are all looked at.
+    enough = max(search_share * n_rows, 4 * k * trees)
+
     def seek(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = [Tree(*parts) for parts in shared.value]
         for b in batches:
-            found = [visited(own, leaf_sizes.value, np.asarray(v, np.float64), search_share * n_rows) for v in b["vector"]]
+            found = [visited(own, leaf_sizes.value, np.asarray(v, np.float64), enough) for v in b["vector"]]
             yield pd.DataFrame([(t, leaf, i, v) for i, v, f in zip(b["id"], b["vector"], found) for t, leaf in f], columns=["tree", "leaf", "id", "vector"])
 
     # A leaf of any size is cut into blocks of rows, and queries into blocks; each pair of blocks is one task's work.

@@ -29,6 +29,7 @@ PERCENT = 75
 LETTERS = ~byte_set((0x20, 0x20), (0x09, 0x0D))
 # The sketch: so many counters whatever the input, kept in so many slices.
 COUNTER_BITS, SLICE_BITS = 21, 15
+BINS = 256
 POSTINGS_PER_BUCKET = 500_000
 ORDERS = (np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25), np.uint64(0xD1B54A32D192ED03))
 
@@ -139,36 +140,33 @@ def _shared(group: pd.DataFrame) -> pd.DataFrame:
     same[1:-1] = token[1:] == token[:-1]
     kept = same[:-1] | same[1:] | (hot > 0)
     before = np.where(same[:-1], np.roll(key, 1), key)
-    return pd.DataFrame({"token": token[kept], "key": key[kept], "size": size[kept], "before": before[kept]})
+    return pd.DataFrame({"token": token[kept], "key": key[kept], "size": size[kept], "before": before[kept], "size_before": np.roll(size, 1)[kept]})
 
 
 def _sets_of(docs: DataFrame, members: DataFrame, keys: DataFrame) -> DataFrame:
-    """Token sets of classes: the text of one member each, its tokens stirred by the second order and sorted, and the
-    first of them under the third."""
-    chosen = members.join(keys, "key", "left_semi").groupBy("key").agg(F.min("row").alias("row"))
-    texts = docs.select("row", "text").join(chosen, "row").select("key", "text")
+    """Token sets of classes, from the text of one member each (equal rows may give a set twice): the tokens stirred by
+    the second order, sorted. Documents are shuffled only if the classes are too many to be broadcast."""
+    chosen = written(members.join(keys, "key", "left_semi").groupBy("key").agg(F.min("row").alias("row")), "chosen")
+    texts = docs.select("row", "text").join(F.broadcast(chosen) if fits_broadcast(chosen) else chosen, "row").select("key", "text")
     none = np.zeros(1 << COUNTER_BITS, np.uint8)
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in slices(whole, "text"):
-                found, start, size, _ = ordered_sets(b.column("text"), none)
-                second, third = [], []
-                for i, n in enumerate(size):
-                    own = found[start[i] : start[i + 1]]
-                    second.append(np.sort(mixed(own ^ ORDERS[1])).tobytes())
-                    third.append(np.sort(mixed(own ^ ORDERS[2]))[: prefix_length(n)].tobytes())
-                yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(second, pa.binary()), pa.array(third, pa.binary())], ["key", "second", "third"])
+                found, start, _, _ = ordered_sets(b.column("text"), none)
+                second = [np.sort(mixed(found[i:j] ^ ORDERS[1])).tobytes() for i, j in zip(start, start[1:])]
+                yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(second, pa.binary())], ["key", "tokens"])
 
-    return texts.mapInArrow(made, "key long, second binary, third binary").groupBy("key").agg(F.first("second").alias("second"), F.first("third").alias("third"))
+    return texts.mapInArrow(made, "key long, tokens binary")
 
 
-def similar(a: bytes, b: bytes, a_third: bytes, b_third: bytes) -> bool:
+def similar(a: bytes, b: bytes) -> bool:
     """Whether two sets are similar: tokens shared by the prefixes of the second and third order, then all counted."""
     x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-    if set(x[: prefix_length(len(x))].tolist()).isdisjoint(y[: prefix_length(len(y))].tolist()):
+    p, q = prefix_length(len(x)), prefix_length(len(y))
+    if set(x[:p].tolist()).isdisjoint(y[:q].tolist()):
         return False
-    if set(np.frombuffer(a_third, np.uint64).tolist()).isdisjoint(np.frombuffer(b_third, np.uint64).tolist()):
+    if set(np.partition(mixed(x ^ ORDERS[2]), p - 1)[:p].tolist()).isdisjoint(np.partition(mixed(y ^ ORDERS[2]), q - 1)[:q].tolist()):
         return False
     common = len(np.intersect1d(x, y, assume_unique=True))
     return 100 * common >= PERCENT * (len(x) + len(y) - common)
@@ -177,10 +175,34 @@ def similar(a: bytes, b: bytes, a_third: bytes, b_third: bytes) -> bool:
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield b.loc[[similar(*r) for r in zip(b["a2"], b["b2"], b["a3"], b["b3"])], ["u", "v"]]
+            yield b.loc[[similar(*r) for r in zip(b["a"], b["b"])], ["u", "v"]]
 
-    left = sets.select(F.col("key").alias("u"), F.col("second").alias("a2"), F.col("third").alias("a3"))
-    right = sets.select(F.col("key").alias("v"), F.col("second").alias("b2"), F.col("third").alias("b3"))
+    left = sets.select(F.col("key").alias("u"), F.col("tokens").alias("a"))
+    right = sets.select(F.col("key").alias("v"), F.col("tokens").alias("b"))
+    return pairs.join(left, "u").join(right, "v").mapInPandas(check, "u long, v long")
+
+
+def sketches(found: np.ndarray, start: np.ndarray) -> list[bytes]:
+    """How many tokens of each set fall into each of 256 bins; nothing where a bin holds too many for a byte."""
+    owner = np.repeat(np.arange(len(start) - 1), np.diff(start))
+    bins = np.bincount(owner * BINS + (mixed(found ^ ORDERS[2]) % np.uint64(BINS)).astype(np.int64), minlength=(len(start) - 1) * BINS).reshape(-1, BINS)
+    return [row.astype(np.uint8).tobytes() if row.max() < 256 else b"" for row in bins]
+
+
+def _possible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs whose sketches allow them to be similar: sets share no more tokens than their bins do."""
+
+    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            known = (b["a"].map(len) == BINS) & (b["b"].map(len) == BINS)
+            some = b[known]
+            x, y = (np.frombuffer(b"".join(some[c]), np.uint8).reshape(-1, BINS) for c in ("a", "b"))
+            common = np.minimum(x, y).sum(axis=1, dtype=np.int64)
+            fits = 100 * common >= PERCENT * (x.sum(axis=1, dtype=np.int64) + y.sum(axis=1, dtype=np.int64) - common)
+            yield pd.concat([some[fits], b[~known]])[["u", "v"]]
+
+    left = classes.select(F.col("key").alias("u"), F.col("sketch").alias("a"))
+    right = classes.select(F.col("key").alias("v"), F.col("sketch").alias("b"))
     return pairs.join(left, "u").join(right, "v").mapInPandas(check, "u long, v long")
 
 
@@ -199,18 +221,18 @@ def _linked(docs: DataFrame, id_column: str, text: str) -> DataFrame:
     def classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in slices(whole, "text"):
-                _, _, size, key = ordered_sets(b.column("text"), shared.value)
-                yield pa.RecordBatch.from_arrays([b.column("id"), b.column("row"), pa.array(size, pa.int64()), pa.array(key, pa.int64())], ["id", "row", "n_shingles", "key"])
+                found, start, size, key = ordered_sets(b.column("text"), shared.value)
+                yield pa.RecordBatch.from_arrays([b.column("id"), b.column("row"), pa.array(size, pa.int64()), pa.array(key, pa.int64()), pa.array(sketches(found, start), pa.binary())], ["id", "row", "n_shingles", "key", "sketch"])
 
-    members = written(rows.mapInArrow(classed, f"id {id_type}, row long, n_shingles long, key long"), "members")
+    members = written(rows.mapInArrow(classed, f"id {id_type}, row long, n_shingles long, key long, sketch binary"), "members")
     buckets = max(1, -(-total // (4 * POSTINGS_PER_BUCKET)))
     postings = rows.select("text").mapInArrow(_postings(shared, buckets), "bucket int, token binary, key binary, size binary, hot binary")
-    live = written(postings.groupBy("bucket").applyInPandas(_shared, "token long, key long, size int, before long"), "postings")
+    live = written(postings.groupBy("bucket").applyInPandas(_shared, "token long, key long, size int, before long, size_before int"), "postings")
 
-    sizes = members.where("n_shingles > 0").groupBy("key").agg(F.first("n_shingles").alias("size"))
-    ordered = live.where("before != key").select(F.least("key", "before").alias("u"), F.greatest("key", "before").alias("v")).distinct()
-    near = ordered.join(sizes.toDF("u", "nu"), "u").join(sizes.toDF("v", "nv"), "v").where(_near_in_size("nu", "nv")).select("u", "v")
-    first = written(near, "pairs")
+    sketched = members.join(live.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.first("sketch").alias("sketch"))
+    sketched = written(sketched, "sketches")
+    near = live.where("before != key").where(_near_in_size("size", "size_before"))
+    first = written(_possible(near.select(F.least("key", "before").alias("u"), F.greatest("key", "before").alias("v")).distinct(), sketched), "pairs")
     named = rows.select("row", "text")
     sets = written(_sets_of(named, members, first.select(F.col("u").alias("key")).unionByName(first.select(F.col("v").alias("key"))).distinct()), "sets")
     links = written(_verified(first, sets), "links")
@@ -223,7 +245,8 @@ def _linked(docs: DataFrame, id_column: str, text: str) -> DataFrame:
     other = mixed_up.where("root != main").select("token", F.col("key").alias("k1"), F.col("size").alias("s1"), F.col("root").alias("r1"))
     every = mixed_up.select("token", "main", F.col("key").alias("k2"), F.col("size").alias("s2"), F.col("root").alias("r2"))
     crossing = other.join(every, "token").where((F.col("r1") != F.col("r2")) & ((F.col("r2") == F.col("main")) | (F.col("k1") < F.col("k2"))) & _near_in_size("s1", "s2"))
-    second = written(crossing.select(F.least("k1", "k2").alias("u"), F.greatest("k1", "k2").alias("v")).distinct().join(first, ["u", "v"], "left_anti"), "pairs")
+    crossed = crossing.select(F.least("k1", "k2").alias("u"), F.greatest("k1", "k2").alias("v")).distinct()
+    second = written(_possible(crossed, sketched).join(first, ["u", "v"], "left_anti"), "pairs")
     if second.limit(1).count():
         keys = second.select(F.col("u").alias("key")).unionByName(second.select(F.col("v").alias("key"))).distinct()
         sets = written(_sets_of(named, members, keys), "sets")

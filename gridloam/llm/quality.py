@@ -63,7 +63,7 @@ def features(text: str | None, bits: int, codes: dict[str, int]) -> tuple[np.nda
 
 
 def trained(rows: list[tuple[np.ndarray, np.ndarray, int]], bits: int, passes: int, alpha: float, beta: float, l1: float, l2: float) -> tuple[np.ndarray, float]:
-    """Weights and bias after `passes` over the rows in the given order."""
+    """Weights and bias after at least `passes` over the rows in the given order."""
     z, n = np.zeros((1 << bits) + 1), np.zeros((1 << bits) + 1)
     bias = 1 << bits
     rows = [(np.append(p, bias), np.append(v, 1.0), y) for p, v, y in rows]
@@ -72,7 +72,8 @@ def trained(rows: list[tuple[np.ndarray, np.ndarray, int]], bits: int, passes: i
         zi = z[at]
         return np.where(np.abs(zi) <= l1, 0.0, -(zi - np.sign(zi) * l1) / ((beta + np.sqrt(n[at])) / alpha + l2))
 
-    for _ in range(passes):
+    # A small sample is gone over more often.
+    for _ in range(max(passes, min(60, 20_000 // max(len(rows), 1)))):
         for place, value, label in rows:
             w = weights(place)
             g = (1.0 / (1.0 + np.exp(-np.clip(w @ value, -35, 35))) - label) * value

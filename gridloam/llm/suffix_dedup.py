@@ -30,8 +30,8 @@ SIDE = WINDOW - ANCHOR
 SUFFIX = ANCHOR + 2 * SIDE
 #: Stands behind the end of a text; no UTF-8 text holds it.
 PAD = b"\xff"
-RANGE_SUFFIXES = 200_000
-RUN_SUFFIXES = 50_000
+RANGE_SUFFIXES = 50_000
+RUN_SUFFIXES = 30_000
 SAMPLE_PER_RANGE = 20
 POSTINGS_PER_BUCKET = 500_000
 SLICE_BYTES = 2 << 20
@@ -311,10 +311,6 @@ def gaps(ranges: set[tuple[int, int]], low: int, high: int) -> list[tuple[int, i
     return [g for g in out if g[0] <= g[1]]
 
 
-def _cover(s: Suffix, low: int, high: int) -> tuple:
-    return ("cover", s[1], s[2] - high, s[2] - low + WINDOW, None, None, None)
-
-
 def _anchor_groups(bounds: list[Suffix]):
     """Of one range: repeated stretches around its anchors. Anchors that reach over an end of the range are passed on,
     with what their neighbours by the right side show."""
@@ -323,6 +319,7 @@ def _anchor_groups(bounds: list[Suffix]):
         part = int(group["part"].iloc[0])
         edges = {b[0][:ANCHOR] for b in bounds[max(part - 1, 0) : part + 1]}
         out: list[tuple] = []
+        covers: dict[int, list[tuple[int, int]]] = {}
         members: list[Suffix] = []
         shared: list[int] = []
         foreign = False
@@ -332,7 +329,8 @@ def _anchor_groups(bounds: list[Suffix]):
                 return
             if members[0][0][:ANCHOR] not in edges:
                 if len(members) > 1:
-                    out.extend(_cover(*r) for r in resolved(members, shared))
+                    for s, low, high in resolved(members, shared):
+                        covers.setdefault(s[1], []).append((s[2] - high, s[2] - low + WINDOW))
                 return
             for i in range(1, len(members)):
                 right, left = sides(members[i - 1], members[i], shared[i])
@@ -349,11 +347,24 @@ def _anchor_groups(bounds: list[Suffix]):
             foreign = foreign_now
         if not (foreign and len(members) == 1):
             end()
+        for key, spans in covers.items():
+            out.extend(("cover", key, a, b, None, None, None) for a, b in united(spans))
         return pd.DataFrame(out, columns=[c.split()[0] for c in FOUND.split(", ")])
 
     return found
 
 
+def united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Stretches joined where they meet."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(spans):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
 def _near(s: Suffix, right: int, left: int, most: int) -> tuple:
     fits = right + left >= SIDE
     return ("near", s[1], s[2], SIDE - right if fits else 1, left if fits else 0, most, None)
