@@ -166,8 +166,8 @@ def _across(swept: DataFrame) -> DataFrame:
     alone = swept.where("kind != 'pair'").join(F.broadcast(base), "part")
     is_item = F.col("kind") == "item"
     level = F.when(is_item, F.col("at_items") + F.col("rank") + 1).otherwise(F.col("at_gaps") - F.col("rank"))
-    # A range has at most one piece and one gap at a level, so a level holds no more rows than there are ranges, twice.
-    order = Window.partitionBy("level").orderBy("part", F.col("kind").desc())
+    # In a range lone gaps come before lone pieces. It has at most one of each at a level, so a level holds no more rows than there are ranges, twice.
+    order = Window.partitionBy("level").orderBy("part", "kind")
     seen = alone.withColumn("level", level).withColumns({c: f.over(order) for c, f in (("next", F.lead("kind")), ("next_bin", F.lead("bin")), ("next_room", F.lead("room")), ("last", F.lag("kind")))})
     matched = is_item & (F.col("next") == "gap")
     kept = seen.where(F.coalesce(is_item | (F.col("last") != "item"), F.lit(True)))
