@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from catalog import tables as t
 from catalog.changes import stored_regions
-from catalog.registry import query
+from catalog.registry import ORACLES, query
 from gridloam.functions.geometry import decode_geometry
 from gridloam.operators.tables import upsert_table
 from gridloam.plans.loads import (
@@ -22,8 +22,10 @@ from gridloam.plans.loads import (
     load_feasibility,
     osm_rows,
 )
+from gridloam.plans.stored_load import store_feasibility, store_rows
 from gridloam.session import fresh_path
 from gridloam.sources.geojson import parse_properties, read_feature_lines, write_features
+from gridloam.sources.stored import publish, read_published
 
 RUN_AT = datetime(2026, 5, 5, tzinfo=timezone.utc)
 
@@ -52,13 +54,20 @@ def geojson_round_trip(spark, sf_dir):
   'unknown' AS status, CASE WHEN c_custkey % 5 <> 0 THEN c_acctbal END AS power_capacity_mw, c_custkey::DOUBLE AS h100_equivalent, c_custkey % 9 <> 0 AS has_geometry,
   '2026-05-04' AS source_version, 'CC-BY-4.0' AS license, c_mktsegment AS raw_country FROM customer""")
 def frontier_load(spark, sf_dir):
+    return shown_frontier(frontier_batch(spark, sf_dir))
+
+
+def frontier_batch(spark, sf_dir):
     k = F.col("c_custkey")
     source = located_customers(spark, sf_dir).select(
         "geometry", F.concat(F.lit(" "), "c_name").alias("Name"), F.lit("  ").alias("Owner"), F.col("c_mktsegment").alias("Country"),
         F.when(k % 5 != 0, F.col("c_acctbal").cast("string")).otherwise("n/a").alias("Current power (MW)"),
         k.cast("double").alias("Current H100 equivalents"), F.lit(None).cast("string").alias("citation"),
     )
-    rows = frontier_rows(through_geojson(source, FRONTIER_PROPERTIES), "2026-05-04", F.lit(RUN_AT))
+    return frontier_rows(through_geojson(source, FRONTIER_PROPERTIES), "2026-05-04", F.lit(RUN_AT))
+
+
+def shown_frontier(rows):
     return rows.select(
         "source_id", "source", "name", "owner", "country", "status", "power_capacity_mw", "h100_equivalent", "has_geometry",
         F.col("source_version").cast("string").alias("source_version"), "license", F.variant_get("raw_attributes", "$.Country", "string").alias("raw_country"),
@@ -69,6 +78,10 @@ def frontier_load(spark, sf_dir):
   c_name AS name, CASE c_custkey % 3 WHEN 0 THEN 'operational' WHEN 1 THEN 'planned' ELSE 'unknown' END AS status, CASE WHEN c_custkey % 5 <> 0 THEN c_acctbal END AS power_capacity_mw,
   c_custkey::DOUBLE AS h100_equivalent, 1e18::DOUBLE AS ops_total, c_custkey % 9 <> 0 AS has_geometry FROM customer""")
 def clusters_load(spark, sf_dir):
+    return shown_clusters(cluster_batch(spark, sf_dir))
+
+
+def cluster_batch(spark, sf_dir):
     k = F.col("c_custkey")
     source = located_customers(spark, sf_dir).select(
         "geometry", k.alias("position"), F.col("c_name").alias("Name"), F.lit(None).cast("string").alias("Owner"), F.col("c_mktsegment").alias("Country"),
@@ -77,7 +90,10 @@ def clusters_load(spark, sf_dir):
         F.lit(None).cast("string").alias("citation"),
     )
     features = through_geojson(source, ["position", *CLUSTER_PROPERTIES], index_property="position")
-    rows = cluster_rows(features, "2026-05-04", F.lit(RUN_AT))
+    return cluster_rows(features, "2026-05-04", F.lit(RUN_AT))
+
+
+def shown_clusters(rows):
     return rows.select("source_id", "name", "status", "power_capacity_mw", "h100_equivalent", "ops_total", "has_geometry")
 
 
@@ -86,6 +102,12 @@ def clusters_load(spark, sf_dir):
 FROM (SELECT *, p_partkey % 10 >= 5 AS later FROM part) WHERE p_partkey % 4 <> 3 AND p_partkey % 9 <> 0""")
 def osm_load(spark, sf_dir):
     """Two snapshots of one table: the second overwrites the rows it has, version included."""
+    first, second = (rows for rows, _ in osm_batches(spark, sf_dir))
+    merged = upsert_table("osm", first.drop("row_idx"), second)
+    return merged.select("source_id", "name", "operator", F.col("source_version").cast("string").alias("source_version"), "license")
+
+
+def osm_batches(spark, sf_dir):
     def snapshot(parts, operator, day):
         k = F.col("p_partkey")
         x, y = t.place("p_partkey")
@@ -93,13 +115,10 @@ def osm_load(spark, sf_dir):
             F.when(k % 9 != 0, F.struct(x.alias("x"), y.alias("y"))).alias("geometry"), F.col("p_name").alias("name"), F.col(operator).alias("operator"),
             F.when(k % 4 != 3, F.concat(F.lit("w"), k)).alias("full_id"), F.when(k % 4 == 0, "way").alias("osm_type"), F.when(k % 4 == 0, k.cast("string")).alias("osm_id"),
         )
-        return osm_rows(through_geojson(source, OSM_PROPERTIES), day, F.lit(RUN_AT))[0]
+        return osm_rows(through_geojson(source, OSM_PROPERTIES), day, F.lit(RUN_AT))
 
     parts = t.table(spark, sf_dir, "part")
-    first = snapshot(parts, "p_type", "2026-04-01").drop("row_idx")
-    second = snapshot(parts.where("p_partkey % 10 >= 5"), "p_brand", "2026-05-01")
-    merged = upsert_table("osm", first, second)
-    return merged.select("source_id", "name", "operator", F.col("source_version").cast("string").alias("source_version"), "license")
+    return snapshot(parts, "p_type", "2026-04-01"), snapshot(parts.where("p_partkey % 10 >= 5"), "p_brand", "2026-05-01")
 
 
 @query("""SELECT sha256('["US","2","' || n_name || '"]') AS region_id, n_nationkey / 4::DOUBLE AS value,
@@ -107,6 +126,10 @@ def osm_load(spark, sf_dir):
   n AS q_projects, total AS q_total_mw, 1 AS sub_critical, 1 AS updated_month FROM nation JOIN (SELECT c_nationkey, count(*)::INTEGER AS n, sum(c_acctbal::DECIMAL(18,2))::DOUBLE AS total FROM customer GROUP BY 1) ON c_nationkey = n_nationkey""")
 def feasibility_load(spark, sf_dir):
     """Region shapes upserted and index values appended from one set of features."""
+    return shown_feasibility(*load_feasibility(feasibility_batch(spark, sf_dir), stored_regions(spark, sf_dir), "v1.0", RUN_AT))
+
+
+def feasibility_batch(spark, sf_dir):
     n = F.col("n_nationkey")
     sums = t.table(spark, sf_dir, "customer").groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(
         F.count(F.lit(1)).alias("q_projects"), F.sum(F.col("c_acctbal").cast("decimal(18,2)")).cast("double").alias("q_total_mw")
@@ -120,9 +143,48 @@ def feasibility_load(spark, sf_dir):
     }
     rows = shapes.join(sums, "n_nationkey")
     rows = rows.withColumns(known).withColumns({p: F.lit(0.0) for p in FEASIBILITY_PROPERTIES if p not in rows.columns and p not in known})
-    features = feasibility_features(through_geojson(rows, FEASIBILITY_PROPERTIES, "multipolygon"))
-    regions, values = load_feasibility(features, stored_regions(spark, sf_dir), "v1.0", RUN_AT)
+    return feasibility_features(through_geojson(rows, FEASIBILITY_PROPERTIES, "multipolygon"))
+
+
+def shown_feasibility(regions, values):
     updated = regions.select(F.col("id").alias("region_id"), F.month("created_at").alias("updated_month"))
     return values.join(updated, "region_id").select(
         "region_id", "value", "category", "components.is_dc_hotspot", "components.queue.q_projects", "components.queue.q_total_mw", "components.substations.sub_critical", "updated_month"
     )
+
+
+@query(ORACLES["frontier_load"])
+def stored_frontier(spark, sf_dir):
+    """Read, checked, upserted, published and read back, twice: the second run changes nothing."""
+    path = fresh_path(spark, "frontier")
+    for _ in range(2):
+        store_rows("frontier", path, frontier_batch(spark, sf_dir))
+    return shown_frontier(read_published(spark, path))
+
+
+@query(ORACLES["clusters_load"])
+def stored_clusters(spark, sf_dir):
+    """As `stored_frontier`, with every row twice in the batch."""
+    path, rows = fresh_path(spark, "clusters"), cluster_batch(spark, sf_dir)
+    for batch in (rows, rows.unionByName(rows)):
+        store_rows("clusters", path, batch)
+    return shown_clusters(read_published(spark, path))
+
+
+@query(ORACLES["osm_load"])
+def stored_osm(spark, sf_dir):
+    path = fresh_path(spark, "osm")
+    for rows, rejected in osm_batches(spark, sf_dir):
+        store_rows("osm", path, rows, rejected)
+    return read_published(spark, path).select("source_id", "name", "operator", F.col("source_version").cast("string").alias("source_version"), "license")
+
+
+@query(ORACLES["feasibility_load"])
+def stored_feasibility(spark, sf_dir):
+    """Regions and an index history published, the history partitioned by a version that looks like a number."""
+    regions, history = fresh_path(spark, "regions"), fresh_path(spark, "history")
+    publish(stored_regions(spark, sf_dir), regions)
+    versions = spark.createDataFrame([("1.0",)], "version string")
+    store_feasibility(feasibility_batch(spark, sf_dir), regions, history, versions, "1.0", RUN_AT)
+    values = read_published(spark, history).where("methodology_version = '1.0'")
+    return shown_feasibility(read_published(spark, regions), values)

@@ -23,7 +23,7 @@ from gridloam.functions.text import (
     with_measure_text,
 )
 from gridloam.operators.filters import map_columns, with_has_geometry
-from gridloam.operators.tables import resolve_region_id, snapshot_rows, upsert_regions
+from gridloam.operators.tables import TABLE_RULES, resolve_region_id, snapshot_rows, upsert_regions
 from gridloam.sources.geojson import absent_properties, parse_properties
 
 # --- fixed values: property names of the sources
@@ -180,6 +180,9 @@ def load_feasibility(features: DataFrame, regions: DataFrame, version: str, at:
     """(regions after the upsert, index rows to append) for one set of `feasibility_features`."""
     batch = features.select("row_idx", "name", "country_code", "admin_level", "admin_code", "geometry")
     merged = upsert_regions(regions, batch, F.lit(at))
-    values = features.select("country_code", "admin_level", "admin_code", "value", "category", "components")
-    rows = snapshot_rows(resolve_region_id(values, merged), version, at)
+    values = features.select("row_idx", "country_code", "admin_level", "admin_code", "value", "category", "components")
+    # A region with a NULL in its key is found by no key; its id follows from the run and the position, as at the upsert.
+    own = natural_id(*TABLE_RULES["regions"]["keys"], distinguish=(F.lit(""), F.col("row_idx")))
+    resolved = resolve_region_id(values, merged, "left").withColumn("region_id", F.coalesce("region_id", own))
+    rows = snapshot_rows(resolved, version, at)
     return merged, rows.select("id", "region_id", "methodology_version", "computed_at", "value", "category", "components")

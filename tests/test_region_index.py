@@ -223,3 +223,26 @@ def test_point_join_plan(spark):
     for name in ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEvalPython"):
         assert name not in plan
     assert "BroadcastHashJoin" in physical
+
+
+def index_rows(index):
+    return sum(level.entries.count() for level in index.levels), sum(level.entries.selectExpr("coalesce(sum(size(edges) + size(toggles)), 0) as n").first()["n"] for level in index.levels)
+
+
+def test_shared_borders_do_not_blow_up_the_index(spark):
+    sides = [(i, 1, [[ring((0, 0), (4 + i / 64, 0), (4 + i / 64, 3 + i / 32), (0, 3 + i / 32))]]) for i in range(200)]
+    regions = spark.createDataFrame(sides, REGION)
+    index = build_region_index(regions)
+    # 200 regions lie on each other, so a cell inside all of them has 200 rows; what counts is that cutting ends.
+    entries, values = index_rows(index)
+    assert len(index.levels) <= 4 and entries < 1_000_000 and values < 1_000_000
+    points = spark.createDataFrame([(1, {"x": 3.9, "y": 2.9}), (2, {"x": 5.0, "y": 2.0}), (3, {"x": 0.0, "y": 1.0})], "i int, geometry struct<x:double,y:double>")
+    got = {r["i"]: r["region_id"] for r in assign_region(points, index).collect()}
+    assert got == {1: 0, 2: 65, 3: None}
+
+
+def test_index_of_a_long_ring_is_linear(spark):
+    shape = [[ring(*star(random.Random(5), 0, 0, 10.0, 8000))]]
+    index = build_region_index(spark.createDataFrame([(1, 1, shape)], REGION))
+    _, values = index_rows(index)
+    assert values < 80 * 8000
