@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from datetime import datetime, timezone
 
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from catalog import tables as t
 from catalog.changes import stored_regions
 from catalog.registry import ORACLES, query
-from gridloam.functions.geometry import decode_geometry
+from gridloam.functions.geometry import decode_geometry, to_wgs84
 from gridloam.operators.tables import upsert_table
 from gridloam.plans.loads import (
     CLUSTER_PROPERTIES,
@@ -24,7 +25,7 @@ from gridloam.plans.loads import (
 )
 from gridloam.plans.stored_load import store_feasibility, store_rows
 from gridloam.session import fresh_path
-from gridloam.sources.geojson import parse_properties, read_feature_lines, write_features
+from gridloam.sources.geojson import check_collection, feature_json, features_of, parse_properties, read_collection, read_feature_lines, write_features
 from gridloam.sources.stored import publish, read_published
 
 RUN_AT = datetime(2026, 5, 5, tzinfo=timezone.utc)
@@ -188,3 +189,36 @@ def stored_feasibility(spark, sf_dir):
     store_feasibility(feasibility_batch(spark, sf_dir), regions, history, versions, "1.0", RUN_AT)
     values = read_published(spark, history).where("methodology_version = '1.0'")
     return shown_feasibility(read_published(spark, regions), values)
+
+
+@query("""SELECT CASE c_custkey % 10 WHEN 3 THEN 'no JSON' WHEN 7 THEN 'not a Feature' ELSE 'read' END AS outcome, count(*) AS n, min(c_custkey) AS first FROM customer GROUP BY 1""")
+def rejected_lines(spark, sf_dir):
+    """Lines that are no features come back with a reason; the others are read."""
+    k = F.col("c_custkey")
+    rows = t.customer_points(spark, sf_dir).select(k, feature_json("point", ["c_custkey"]).alias("line"))
+    broken = F.when(k % 10 == 3, F.concat(F.substring("line", 1, 20), k)).when(k % 10 == 7, F.concat(F.lit('{"type": "Nothing", "k": '), k, F.lit("}"))).otherwise(F.col("line"))
+    path = fresh_path(spark, "lines")
+    rows.select(broken.alias("value")).write.text(path)
+    good, bad = read_feature_lines(spark, path, "c_custkey", rejects=True)
+    told = good.select(F.lit("read").alias("outcome"), F.col("row_idx").alias("k")).unionByName(bad.select(F.col("reason").alias("outcome"), F.regexp_extract("line", r"(\d+)\}?$", 1).cast("bigint").alias("k")))
+    return told.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"), F.min("k").alias("first"))
+
+
+@query("""SELECT n_nationkey, round(-80 + ((n_nationkey * 37) % 81) / 4::DOUBLE, 6) AS x, round(30 + ((n_nationkey * 53) % 79) / 4::DOUBLE, 6) AS y FROM nation""")
+def mixed_coordinate_systems(spark, sf_dir):
+    """One document per region, every other one in web coordinates and naming them; each keeps its own system."""
+    x, y = t.place("n_nationkey")
+    web = F.col("n_regionkey") % 2 == 1
+    east, north = x * (20037508.342789244 / 180), F.log(F.tan((y + 90) * math.pi / 360)) * 6378137.0
+    point = F.struct(F.when(web, east).otherwise(x).alias("x"), F.when(web, north).otherwise(y).alias("y"))
+    rows = t.table(spark, sf_dir, "nation").select("n_regionkey", "n_nationkey", point.alias("geometry"))
+    lines = rows.select("n_regionkey", feature_json("point", ["n_nationkey"]).alias("line"))
+    crs = F.when(web, '"crs": {"type": "name", "properties": {"name": "urn:ogc:def:crs:EPSG::3857"}}, ').otherwise("")
+    documents = lines.groupBy("n_regionkey").agg(F.array_join(F.collect_list("line"), ", ").alias("features"))
+    path = fresh_path(spark, "documents")
+    documents.select("n_regionkey", F.concat(F.lit('{"type": "FeatureCollection", '), crs, F.lit('"features": ['), "features", F.lit("]}")).alias("value")).write.partitionBy("n_regionkey").text(path)
+    features = features_of(check_collection(read_collection(spark, path)))
+    decoded = decode_geometry("geometry", "point")
+    placed = F.when(F.col("epsg") == 3857, to_wgs84(decoded, "point", 3857)).otherwise(to_wgs84(decoded, "point", 4326))
+    named = parse_properties(features.withColumn("g", placed), ["n_nationkey"])
+    return named.select(F.col("n_nationkey").cast("int").alias("n_nationkey"), F.round("g.x", 6).alias("x"), F.round("g.y", 6).alias("y"))
