@@ -28,8 +28,11 @@ PERCENT = 75
 # Word bytes: all but space, tab, line feed, vertical tab, form feed and carriage return.
 LETTERS = ~byte_set((0x20, 0x20), (0x09, 0x0D))
 # The sketch: so many counters whatever the input, kept in so many slices.
-COUNTER_BITS, SLICE_BITS = 21, 15
+COUNTER_BITS, SLICE_BITS = 22, 16
+# A sketch has at least as many bins, and otherwise a half to a quarter of its set's tokens.
 BINS = 256
+# Neighbours in size are compared first, for the first tokens of each set only; the rest is for the second pass.
+FIRST_TOKENS = 8
 POSTINGS_PER_BUCKET = 500_000
 ORDERS = (np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25), np.uint64(0xD1B54A32D192ED03))
 
@@ -96,7 +99,7 @@ def _levels(rows: DataFrame) -> tuple[np.ndarray, int]:
     for r in partly.groupBy("slice").applyInPandas(summed, schema).collect():
         counts = np.frombuffer(zlib.decompress(r["counts"]), np.int64)
         common = float(np.median(counts))
-        excess = (counts - common) / (6 * np.sqrt(common) + 8)
+        excess = (counts - common) / (4 * np.sqrt(common) + 4)
         levels[r["slice"] * size : (r["slice"] + 1) * size] = np.where(excess > 1, np.minimum(2 + np.log2(np.maximum(excess, 1)), 40), 0).astype(np.uint8)
         total += int(counts.sum())
     return levels, total
@@ -112,7 +115,7 @@ def _postings(shared, buckets: int):
                 length = np.where(size > 0, prefix_length(size), 0)
                 owner = np.repeat(np.arange(len(size)), length)
                 at = np.arange(len(owner)) - np.repeat(np.cumsum(length) - length, length) + np.repeat(start[:-1], length)
-                token, owner_key, owner_size = found[at], key[owner], size[owner]
+                token, owner_key, owner_size, rank = found[at], key[owner], size[owner], at - start[owner]
                 level = shared.value[(token >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)].astype(np.uint64)
                 salt = mixed(token ^ owner_key.view(np.uint64)) & ((np.uint64(1) << level) - np.uint64(1))
                 bucket = (mixed(token + salt * ORDERS[2]) % np.uint64(buckets)).astype(np.int32)
@@ -122,25 +125,28 @@ def _postings(shared, buckets: int):
                 cut = [order[i:j] for i, j in zip(ends, ends[1:])]
                 hot = (level > 0).astype(np.uint8)
                 columns = [pa.array(bucket, pa.int32())]
-                columns += [pa.array([values[c].tobytes() for c in cut], pa.binary()) for values in (token, owner_key, owner_size.astype(np.int32), hot)]
-                yield pa.RecordBatch.from_arrays(columns, ["bucket", "token", "key", "size", "hot"])
+                columns += [pa.array([values[c].tobytes() for c in cut], pa.binary()) for values in (token, owner_key, owner_size.astype(np.int32), rank.astype(np.int32), hot)]
+                yield pa.RecordBatch.from_arrays(columns, ["bucket", "token", "key", "size", "rank", "hot"])
 
     return packed
 
 
 def _shared(group: pd.DataFrame) -> pd.DataFrame:
-    """Of one bucket: the postings whose token others may hold too, each with the nearest in size before it."""
-    token, key, size, hot = (np.concatenate([np.frombuffer(v, t) for v in group[c]]) for c, t in (("token", np.int64), ("key", np.int64), ("size", np.int32), ("hot", np.uint8)))
+    """Of one bucket: the postings whose token others may hold too, each with the nearest in size before it if the token
+    is among the first of both."""
+    kinds = (("token", np.int64), ("key", np.int64), ("size", np.int32), ("rank", np.int32), ("hot", np.uint8))
+    token, key, size, rank, hot = (np.concatenate([np.frombuffer(v, t) for v in group[c]]) for c, t in kinds)
     order = np.lexsort((key, size, token))
-    token, key, size, hot = token[order], key[order], size[order], hot[order]
+    token, key, size, rank, hot = token[order], key[order], size[order], rank[order], hot[order]
     new = np.ones(len(token), bool)
     new[1:] = (token[1:] != token[:-1]) | (key[1:] != key[:-1])
-    token, key, size, hot = token[new], key[new], size[new], hot[new]
+    token, key, size, rank, hot = token[new], key[new], size[new], rank[new], hot[new]
     same = np.zeros(len(token) + 1, bool)
     same[1:-1] = token[1:] == token[:-1]
     kept = same[:-1] | same[1:] | (hot > 0)
-    before = np.where(same[:-1], np.roll(key, 1), key)
-    return pd.DataFrame({"token": token[kept], "key": key[kept], "size": size[kept], "before": before[kept], "size_before": np.roll(size, 1)[kept]})
+    early = np.maximum(rank, np.roll(rank, 1)) < FIRST_TOKENS
+    before = np.where(same[:-1] & early, np.roll(key, 1), key)
+    return pd.DataFrame({"token": token[kept], "key": key[kept], "size": size[kept], "rank": rank[kept], "before": before[kept], "size_before": np.roll(size, 1)[kept]})
 
 
 def _sets_of(docs: DataFrame, members: DataFrame, keys: DataFrame) -> DataFrame:
@@ -183,29 +189,46 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def sketches(found: np.ndarray, start: np.ndarray) -> list[bytes]:
-    """How many tokens of each set fall into each of 256 bins; nothing where a bin holds too many for a byte."""
-    owner = np.repeat(np.arange(len(start) - 1), np.diff(start))
-    bins = np.bincount(owner * BINS + (mixed(found ^ ORDERS[2]) % np.uint64(BINS)).astype(np.int64), minlength=(len(start) - 1) * BINS).reshape(-1, BINS)
-    return [row.astype(np.uint8).tobytes() if row.max() < 256 else b"" for row in bins]
+    """How many tokens of each set fall into each bin; nothing where a bin holds too many for a byte."""
+    out = []
+    stirred = mixed(found ^ ORDERS[2])
+    for i, j in zip(start.tolist(), start[1:].tolist()):
+        bins = max(BINS, 1 << max(j - i, 1).bit_length() >> 2)
+        counts = np.bincount((stirred[i:j] & np.uint64(bins - 1)).astype(np.int64), minlength=bins)
+        out.append(counts.astype(np.uint8).tobytes() if counts.max() < 256 else b"")
+    return out
+
+
+def may_be_similar(a: bytes, b: bytes) -> bool:
+    """Whether two sketches allow their sets to be similar: sets share no more tokens than their bins do."""
+    if not a or not b:
+        return True
+    x, y = (np.frombuffer(v, np.uint8).astype(np.int64) for v in (a, b))
+    bins = min(len(x), len(y))
+    x, y = x.reshape(-1, bins).sum(axis=0), y.reshape(-1, bins).sum(axis=0)
+    common = int(np.minimum(x, y).sum())
+    return 100 * common >= PERCENT * (int(x.sum() + y.sum()) - common)
 
 
 def _possible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs whose sketches allow them to be similar: sets share no more tokens than their bins do."""
-
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            known = (b["a"].map(len) == BINS) & (b["b"].map(len) == BINS)
-            some = b[known]
-            x, y = (np.frombuffer(b"".join(some[c]), np.uint8).reshape(-1, BINS) for c in ("a", "b"))
-            common = np.minimum(x, y).sum(axis=1, dtype=np.int64)
-            fits = 100 * common >= PERCENT * (x.sum(axis=1, dtype=np.int64) + y.sum(axis=1, dtype=np.int64) - common)
-            yield pd.concat([some[fits], b[~known]])[["u", "v"]]
+            yield b.loc[[may_be_similar(*r) for r in zip(b["a"], b["b"])], ["u", "v"]]
 
     left = classes.select(F.col("key").alias("u"), F.col("sketch").alias("a"))
     right = classes.select(F.col("key").alias("v"), F.col("sketch").alias("b"))
     return pairs.join(left, "u").join(right, "v").mapInPandas(check, "u long, v long")
 
 
+def _met_early():
+    """Whether the common token is early enough in the smaller set; of two sets of one size in either."""
+
+    def early(size: str, place: str):
+        return F.col(place) < F.col(size) - F.ceil(F.col(size) * (2 * PERCENT) / (100 + PERCENT)) + 1
+
+    return F.when(F.col("s1") < F.col("s2"), early("s1", "p1")).when(F.col("s1") > F.col("s2"), early("s2", "p2")).otherwise(early("s1", "p1") & early("s2", "p2"))
+
+
 def _near_in_size(a: str, b: str):
     return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
 
@@ -226,8 +249,8 @@ def _linked(docs: DataFrame, id_column: str, text: str) -> DataFrame:
 
     members = written(rows.mapInArrow(classed, f"id {id_type}, row long, n_shingles long, key long, sketch binary"), "members")
     buckets = max(1, -(-total // (4 * POSTINGS_PER_BUCKET)))
-    postings = rows.select("text").mapInArrow(_postings(shared, buckets), "bucket int, token binary, key binary, size binary, hot binary")
-    live = written(postings.groupBy("bucket").applyInPandas(_shared, "token long, key long, size int, before long, size_before int"), "postings")
+    postings = rows.select("text").mapInArrow(_postings(shared, buckets), "bucket int, token binary, key binary, size binary, rank binary, hot binary")
+    live = written(postings.groupBy("bucket").applyInPandas(_shared, "token long, key long, size int, rank int, before long, size_before int"), "postings")
 
     sketched = members.join(live.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.first("sketch").alias("sketch"))
     sketched = written(sketched, "sketches")
@@ -239,12 +262,12 @@ def _linked(docs: DataFrame, id_column: str, text: str) -> DataFrame:
     roots = written(components(links), "roots")
 
     # What is left: pairs that share a token but lie in different components so far.
-    labelled = live.select("token", "key", "size").join(roots.select(F.col("node").alias("key"), "root"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    labelled = live.select("token", "key", "size", "rank").join(roots.select(F.col("node").alias("key"), "root"), "key", "left").withColumn("root", F.coalesce("root", "key"))
     held = labelled.groupBy("token", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("token").agg(F.count(F.lit(1)).alias("roots"), F.max(F.struct("n", "root"))["root"].alias("main"))
     mixed_up = written(labelled.join(held.where("roots > 1"), "token").drop("roots"), "mixed")
-    other = mixed_up.where("root != main").select("token", F.col("key").alias("k1"), F.col("size").alias("s1"), F.col("root").alias("r1"))
-    every = mixed_up.select("token", "main", F.col("key").alias("k2"), F.col("size").alias("s2"), F.col("root").alias("r2"))
-    crossing = other.join(every, "token").where((F.col("r1") != F.col("r2")) & ((F.col("r2") == F.col("main")) | (F.col("k1") < F.col("k2"))) & _near_in_size("s1", "s2"))
+    other = mixed_up.where("root != main").select("token", F.col("key").alias("k1"), F.col("size").alias("s1"), F.col("rank").alias("p1"), F.col("root").alias("r1"))
+    every = mixed_up.select("token", "main", F.col("key").alias("k2"), F.col("size").alias("s2"), F.col("rank").alias("p2"), F.col("root").alias("r2"))
+    crossing = other.join(every, "token").where((F.col("r1") != F.col("r2")) & ((F.col("r2") == F.col("main")) | (F.col("k1") < F.col("k2"))) & _near_in_size("s1", "s2") & _met_early())
     crossed = crossing.select(F.least("k1", "k2").alias("u"), F.greatest("k1", "k2").alias("v")).distinct()
     second = written(_possible(crossed, sketched).join(first, ["u", "v"], "left_anti"), "pairs")
     if second.limit(1).count():
