@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import zlib
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -263,7 +264,17 @@ def resolved(group: list[Suffix], shared: list[int]) -> Iterator[tuple[Suffix, i
     left and `200 - o` to the right. Neighbours by the right side and by the left side give most of them and bounds
     for the rest, which is counted window by window.
     """
-    n = len(group)
+    heads: list[Suffix] = []
+    copies: list[list[Suffix]] = []
+    behind: list[int] = []
+    for s, k in zip(group, shared):
+        if heads and k == SUFFIX:
+            copies[-1].append(s)
+        else:
+            heads.append(s)
+            copies.append([s])
+            behind.append(k)
+    n = len(heads)
     most_right, most_left = [0] * n, [0] * n
     found: list[set[tuple[int, int]]] = [set() for _ in range(n)]
 
@@ -274,27 +285,37 @@ def resolved(group: list[Suffix], shared: list[int]) -> Iterator[tuple[Suffix, i
                 found[k].add((SIDE - right, left))
 
     for i in range(1, n):
-        meet(i - 1, i, *sides(group[i - 1], group[i], shared[i]))
+        meet(i - 1, i, *sides(heads[i - 1], heads[i], behind[i]))
     if n > 2:
-        by_left = sorted(range(n), key=lambda i: (group[i][0][WINDOW:], group[i][0][ANCHOR:WINDOW]))
+        by_left = sorted(range(n), key=lambda i: (heads[i][0][WINDOW:], heads[i][0][ANCHOR:WINDOW]))
         for i, j in zip(by_left, by_left[1:]):
-            a, b = group[i], group[j]
+            a, b = heads[i], heads[j]
             left = min(shared_prefix(a[0][WINDOW:], b[0][WINDOW:], 0), a[3], b[3])
             meet(i, j, min(shared_prefix(a[0][ANCHOR:WINDOW], b[0][ANCHOR:WINDOW], 0), a[4], b[4]), left)
-    open_ = [gaps(found[i], SIDE - most_right[i], most_left[i]) for i in range(n)]
-    wanted = sorted({o for g in open_ for lo, hi in g for o in range(lo, hi + 1)})
-    for o in wanted:
-        seen: dict[bytes, list[int]] = {}
-        for i, s in enumerate(group):
-            if s[3] >= o and s[4] >= SIDE - o:
-                seen.setdefault(s[0][WINDOW : WINDOW + o] + s[0][ANCHOR : WINDOW - o], []).append(i)
-        for same in seen.values():
-            if len(same) > 1:
-                for i in same:
-                    found[i].add((o, o))
-    for s, ranges in zip(group, found):
-        for low, high in ranges:
-            yield s, low, high
+    asked: dict[int, list[int]] = {}
+    for i, (s, own) in enumerate(zip(heads, copies)):
+        if len(own) > 1:
+            # Copies of the whole suffix: every window around them that lies in the text is repeated.
+            found[i] = {(SIDE - s[4], s[3])} if s[3] + s[4] >= SIDE else set()
+            continue
+        for low, high in gaps(found[i], SIDE - most_right[i], most_left[i]):
+            for o in range(low, high + 1):
+                asked.setdefault(o, []).append(i)
+    for o, who in asked.items():
+        seen = Counter(window_of(s, o) for s in heads if s[3] >= o and s[4] >= SIDE - o)
+        for i in who:
+            # A head with copies counts once here; one without needs any other head.
+            if seen[window_of(heads[i], o)] > 1:
+                found[i].add((o, o))
+    for own, ranges in zip(copies, found):
+        for low, high in united([(a, b + 1) for a, b in ranges]):
+            for s in own:
+                yield s, low, high - 1
+
+
+def window_of(s: Suffix, o: int) -> bytes:
+    """What a window that starts `o` bytes left of the anchor holds besides the anchor."""
+    return s[0][WINDOW : WINDOW + o] + s[0][ANCHOR : WINDOW - o]
 
 
 def gaps(ranges: set[tuple[int, int]], low: int, high: int) -> list[tuple[int, int]]:
