@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloam.llm.batches import byte_set, mixed, row_key, slices, text_bytes, windows, words
@@ -233,6 +233,23 @@ def _near_in_size(a: str, b: str):
     return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
 
 
+def _crossing(mixed_up: DataFrame) -> DataFrame:
+    """All pairs of sets of one token in different components, near in size and with the token early enough."""
+    other = mixed_up.where("root != main").select("token", F.col("key").alias("k1"), F.col("size").alias("s1"), F.col("rank").alias("p1"), F.col("root").alias("r1"))
+    every = mixed_up.select("token", "main", F.col("key").alias("k2"), F.col("size").alias("s2"), F.col("rank").alias("p2"), F.col("root").alias("r2"))
+    once = (F.col("r2") == F.col("main")) | (F.col("k1") < F.col("k2"))
+    return other.join(every, "token").where((F.col("r1") != F.col("r2")) & once & _near_in_size("s1", "s2") & _met_early())
+
+
+def _crossing_neighbours(mixed_up: DataFrame) -> DataFrame:
+    """Of those the pairs that stand next to each other in an order of the token's own; dealt over parts, so that no
+    token is one task's work."""
+    order = Window.partitionBy("token", F.pmod("key", F.lit(64))).orderBy(F.xxhash64("key", "token"), "key")
+    before = {f"{c}1": F.lag(name).over(order) for c, name in (("k", "key"), ("s", "size"), ("p", "rank"), ("r", "root"))}
+    pairs = mixed_up.withColumns(before).withColumnsRenamed({"key": "k2", "size": "s2", "rank": "p2", "root": "r2"})
+    return pairs.where((F.col("r1") != F.col("r2")) & _near_in_size("s1", "s2") & _met_early())
+
+
 def _linked(docs: DataFrame, id_column: str, text: str) -> DataFrame:
     """One row per row of `docs`: id, row, n_shingles, root (of its component of classes) and component_id."""
     spark = docs.sparkSession
@@ -261,20 +278,22 @@ def _linked(docs: DataFrame, id_column: str, text: str) -> DataFrame:
     links = written(_verified(first, sets), "links")
     roots = written(components(links), "roots")
 
-    # What is left: pairs that share a token but lie in different components so far.
-    labelled = live.select("token", "key", "size", "rank").join(roots.select(F.col("node").alias("key"), "root"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-    held = labelled.groupBy("token", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("token").agg(F.count(F.lit(1)).alias("roots"), F.max(F.struct("n", "root"))["root"].alias("main"))
-    mixed_up = written(labelled.join(held.where("roots > 1"), "token").drop("roots"), "mixed")
-    other = mixed_up.where("root != main").select("token", F.col("key").alias("k1"), F.col("size").alias("s1"), F.col("rank").alias("p1"), F.col("root").alias("r1"))
-    every = mixed_up.select("token", "main", F.col("key").alias("k2"), F.col("size").alias("s2"), F.col("rank").alias("p2"), F.col("root").alias("r2"))
-    crossing = other.join(every, "token").where((F.col("r1") != F.col("r2")) & ((F.col("r2") == F.col("main")) | (F.col("k1") < F.col("k2"))) & _near_in_size("s1", "s2") & _met_early())
-    crossed = crossing.select(F.least("k1", "k2").alias("u"), F.greatest("k1", "k2").alias("v")).distinct()
-    second = written(_possible(crossed, sketched).join(first, ["u", "v"], "left_anti"), "pairs")
-    if second.limit(1).count():
-        keys = second.select(F.col("u").alias("key")).unionByName(second.select(F.col("v").alias("key"))).distinct()
-        sets = written(_sets_of(named, members, keys), "sets")
-        more = written(_verified(second, sets), "links")
-        roots = written(components(links.unionByName(more)), "roots")
+    # What is left: pairs that share a token but lie in different components so far. First again neighbours only, in
+    # another order and for all tokens, which joins most of a large group at the cost of its size; then every pair.
+    seen = first
+    for last in (False, True):
+        labelled = live.select("token", "key", "size", "rank").join(roots.select(F.col("node").alias("key"), "root"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+        held = labelled.groupBy("token", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("token").agg(F.count(F.lit(1)).alias("roots"), F.max(F.struct("n", "root"))["root"].alias("main"))
+        mixed_up = written(labelled.join(held.where("roots > 1"), "token").drop("roots"), "mixed")
+        crossed = (_crossing(mixed_up) if last else _crossing_neighbours(mixed_up)).select(F.least("k1", "k2").alias("u"), F.greatest("k1", "k2").alias("v")).distinct()
+        fresh = written(_possible(crossed, sketched).join(seen, ["u", "v"], "left_anti"), "pairs")
+        if not fresh.limit(1).count():
+            continue
+        keys = fresh.select(F.col("u").alias("key")).unionByName(fresh.select(F.col("v").alias("key"))).distinct()
+        more = written(_verified(fresh, written(_sets_of(named, members, keys), "sets")), "links")
+        links, seen = links.unionByName(more), seen.unionByName(fresh)
+        if more.limit(1).count():
+            roots = written(components(links), "roots")
 
     classes = members.where("n_shingles > 0").groupBy("key").agg(F.min("id").alias("least"))
     rooted = classes.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
