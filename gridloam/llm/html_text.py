@@ -30,7 +30,12 @@ FENCES = {"li": {"ul", "ol"}, "dt": {"dl"}, "dd": {"dl"}, "td": {"table"}, "th":
 HEAD_ONLY = set("meta link base title style script noscript template".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*+)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+|[^>]*)>|[^<]+|<", re.S)
-HIDING = re.compile(r"(?:^|[\s/])hidden(?=[\s=/]|$)|(?:^|[\s/])style\s*=\s*[\"']?[^\"'>]*(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
+MAY_HIDE = re.compile("hidden|style", re.I)
+# The name of an attribute, and its value in double quotes, single quotes or none.
+ATTRIBUTE = re.compile(r"([^ \t\n\f\r/>][^ \t\n\f\r/>=]*+)(?:[ \t\n\f\r]*+=[ \t\n\f\r]*+(?:\"([^\"]*+)\"?|'([^']*+)'?|([^ \t\n\f\r>]*+)))?")
+# Parts of a style that hold no declarations: comments, strings, arguments.
+NO_DECLARATION = re.compile(r"/\*.*?(?:\*/|\Z)|\"[^\"]*\"|'[^']*'|\([^)]*\)", re.S)
+HIDING = {("display", "none"), ("visibility", "hidden")}
 # Columns are aligned up to this width; wider cells are whole, but nothing is padded to them.
 WIDEST_COLUMN = 60
 DEEPEST_INDENT = 40
@@ -46,6 +51,31 @@ class Node:
             parent.children.append(self)
 
 
+def attributes_of(source: str) -> dict[str, str]:
+    """Attributes by lower-case name; of two with one name the first counts."""
+    found: dict[str, str] = {}
+    for m in ATTRIBUTE.finditer(source):
+        found.setdefault(m[1].lower(), html.unescape(m[2] or m[3] or m[4] or ""))
+    return found
+
+
+def _hides(source: str) -> bool:
+    """Whether the attributes of a tag hide its element: one named `hidden`, or declarations of the one named `style`."""
+    if not MAY_HIDE.search(source):
+        return False
+    found = attributes_of(source)
+    if "hidden" in found:
+        return True
+    style: dict[str, tuple[bool, str]] = {}
+    for declaration in NO_DECLARATION.sub(" ", found.get("style", "")).lower().split(";"):
+        name, _, value = declaration.partition(":")
+        value, mark, _ = value.partition("!")
+        name = name.strip()
+        if bool(mark) >= style.get(name, (False, ""))[0]:
+            style[name] = bool(mark), value.strip()
+    return any((name, value) in HIDING for name, (_, value) in style.items())
+
+
 def parsed(page: str) -> list[Node]:
     """The nodes of a page's tree, parents before children. Unclosed and stray tags are mended as browsers do."""
     nodes = [Node("html", None, False)]
@@ -60,7 +90,7 @@ def parsed(page: str) -> list[Node]:
             top = _closed(top, tag)
         elif tag not in ("html", "body"):
             top = _implied(top, tag, nodes)
-            node = Node(tag, top, tag in HIDDEN or bool(HIDING.search(m[3])))
+            node = Node(tag, top, tag in HIDDEN or _hides(m[3]))
             nodes.append(node)
             if tag in RAW:
                 end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>|\Z", re.I).search(page, at)

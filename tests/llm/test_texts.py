@@ -84,6 +84,28 @@ def test_page_text(page, text):
     assert html_text.text_of(page) == text
 
 
+@pytest.mark.parametrize(
+    ("attributes", "shown"),
+    [
+        (' href="/hidden/page"', True),
+        (' title="the hidden truth"', True),
+        (' class="nav hidden md:block"', True),
+        (" title='x style=display:none'", True),
+        (' data-style="display:none"', True),
+        (' style="backface-visibility:hidden"', True),
+        (' style="display:none;display:block"', True),
+        (" href=/a/hidden", True),
+        (" hidden", False),
+        (" a=b HIDDEN=''", False),
+        (' title="hidden"hidden', False),
+        (" style = 'color:red; Display : None !important; display:block'", False),
+        (" style=visibility:hidden", False),
+    ],
+)
+def test_only_a_hidden_attribute_or_style_hides(attributes, shown):
+    assert html_text.text_of(f"<div{attributes}>in<b>side</b></div>") == "inside" * shown
+
+
 def test_page_text_holds_all_visible_words_in_order():
     rng = random.Random(3)
     tags = "p div ul li b table tr td h2 span ol br section".split()
