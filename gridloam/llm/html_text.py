@@ -16,7 +16,7 @@ from pyspark.sql.types import StringType
 
 # The HTML standard's element groups.
 VOID = set("area base br col embed hr img input link meta source track wbr".split())
-HIDDEN = set("head script style template title noembed noframes datalist iframe object canvas svg math".split())
+HIDDEN = set("head script style template title noembed noframes datalist iframe object canvas".split())
 RAW = set("script style textarea title noframes noembed iframe".split())
 SPACED = set("p h1 h2 h3 h4 h5 h6 ul ol dl table pre blockquote figure".split())
 BLOCK = SPACED | set("html body div section article header footer nav aside main address form fieldset li dt dd tr caption thead tbody tfoot figcaption hr details summary legend option center".split())
@@ -29,6 +29,18 @@ CLOSED_BY = {  # an open element, and the tags whose start ends it
 FENCES = {"li": {"ul", "ol"}, "dt": {"dl"}, "dd": {"dl"}, "td": {"table"}, "th": {"table"}, "tr": {"table"}, "thead": {"table"}, "tbody": {"table"}, "caption": {"table"}, "option": {"select"}}
 HEAD_ONLY = set("meta link base title style script noscript template".split())
 
+# Parts of drawings and formulas that are not shown, and those whose content is HTML again.
+HIDDEN_IN = {
+    "svg": HIDDEN | set("title desc defs metadata symbol clippath mask pattern marker lineargradient radialgradient filter".split()),
+    "math": HIDDEN | set("annotation annotation-xml mphantom".split()),
+}
+HIDDEN_IN["label"] = HIDDEN_IN["svg"]
+HTML_IN = {"svg": set("foreignobject desc title".split()), "label": {"desc", "title"}, "math": set("mi mo mn ms mtext".split())}
+# Start tags that end a drawing or a formula.
+BREAKOUT = set("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
+# Formulas whose parts stand above or beside each other, not in a row.
+APART = set("mfrac mtr mtable".split())
+
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*+)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*+|[^>]*)>|[^<]+|<", re.S)
 MAY_HIDE = re.compile("hidden|style", re.I)
 # The name of an attribute, and its value in double quotes, single quotes or none.
@@ -43,10 +55,12 @@ LINE, SPACE = object(), object()
 
 
 class Node:
-    __slots__ = ("tag", "children", "hidden", "parent")
+    """An element. `space` and `inside` say what it and its content are part of: svg, label (text of an svg), math, or None for HTML."""
 
-    def __init__(self, tag: str, parent: Node | None, hidden: bool) -> None:
-        self.tag, self.parent, self.hidden, self.children = tag, parent, hidden, []
+    __slots__ = ("tag", "children", "hidden", "parent", "space", "inside")
+
+    def __init__(self, tag: str, parent: Node | None, hidden: bool, space: str | None = None, inside: str | None = None) -> None:
+        self.tag, self.parent, self.hidden, self.children, self.space, self.inside = tag, parent, hidden, [], space, inside
         if parent is not None:
             parent.children.append(self)
 
@@ -84,11 +98,25 @@ def parsed(page: str) -> list[Node]:
         at = m.end()
         tag = m[2] and m[2].lower()
         if not tag:
-            if m[0][0] != "<" or m[0] == "<":
-                top.children.append(html.unescape(m[0]))
+            if top.inside and m[0].startswith("<![CDATA["):
+                end = page.find("]]>", m.start())
+                text, at = (page[m.start() + 9 :], len(page)) if end < 0 else (page[m.start() + 9 : end], end + 3)
+            elif m[0][0] != "<" or m[0] == "<":
+                text = html.unescape(m[0])
+            else:
+                continue
+            if top.tag == "head" and text.strip():
+                top = top.parent
+            # A drawing shows the text of its labels only.
+            if top.inside != "svg":
+                top.children.append(text)
         elif m[1]:
             top = _closed(top, tag)
+        elif top.inside and tag not in BREAKOUT or tag in ("svg", "math"):
+            top = _foreign(top, tag, m[3], nodes)
         elif tag not in ("html", "body"):
+            while top.inside:
+                top = top.parent
             top = _implied(top, tag, nodes)
             node = Node(tag, top, tag in HIDDEN or _hides(m[3]))
             nodes.append(node)
@@ -103,6 +131,28 @@ def parsed(page: str) -> list[Node]:
     return nodes
 
 
+def _foreign(top: Node, tag: str, source: str, nodes: list[Node]) -> Node:
+    """Add an element of a drawing or a formula, and give the element that parsing goes on in."""
+    if not top.inside:
+        top = _implied(top, tag, nodes)
+    space = top.inside or tag
+    found = attributes_of(source)
+    hidden = tag in HIDDEN_IN[space] or _hides(source) or space != "math" and any(found.get(k, "").strip().lower() == v for k, v in HIDING)
+    inside = space
+    if tag in HTML_IN[space] or tag == "annotation-xml" and found.get("encoding", "").lower() in ("text/html", "application/xhtml+xml"):
+        inside = None
+    elif space == "svg" and tag == "text":
+        inside = "label"
+    elif tag == "svg":
+        inside = "svg"
+    elif space == "label" and tag == "tspan" and ("x" in found or "y" in found):
+        top.children.append(" ")
+    node = Node(tag, top, hidden, space, inside)
+    nodes.append(node)
+    closed = source.endswith("/") and not any(m.end() == len(source) for m in ATTRIBUTE.finditer(source))
+    return top if closed else node
+
+
 def _closed(top: Node, tag: str) -> Node:
     """Where parsing goes on after an end tag: its nearest open element ends, a stray one changes nothing."""
     at = top
@@ -120,7 +170,7 @@ def _implied(top: Node, tag: str, nodes: list[Node]) -> Node:
     if top.tag == "head" and tag not in HEAD_ONLY:
         top = top.parent
     at = top
-    while at.parent is not None:
+    while at.parent is not None and not at.space:
         if tag in CLOSED_BY.get(at.tag, ()):
             top = at.parent
         if tag in CLOSED_BY and at.tag in FENCES.get(tag, ()) or at.tag in ("table", "ul", "ol", "dl") and at is not top:
@@ -232,6 +282,8 @@ def text_of(page: str | None) -> str:
             inside.append(got)
         if node.tag == "br":
             inside = [LINE]
+        elif node.inside == "label" and node.space == "svg" or node.parent is not None and node.parent.tag in APART and node.space == "math":
+            inside = [" ", inside, " "]
         elif node.tag == "tr":
             is_cell = [isinstance(c, Node) and c.tag in ("td", "th") and not c.hidden for c in node.children]
             cells = [lines_of(p) for p, cell in zip(inside, is_cell) if cell]

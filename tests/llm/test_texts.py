@@ -106,6 +106,25 @@ def test_only_a_hidden_attribute_or_style_hides(attributes, shown):
     assert html_text.text_of(f"<div{attributes}>in<b>side</b></div>") == "inside" * shown
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<p>so <math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac></math> holds", "so x= 1 2 holds"),
+        ("<math><semantics><mi>x</mi><annotation>no</annotation><annotation-xml encoding='text/html'><p>no</p></annotation-xml></semantics></math>y", "xy"),
+        ("<p>a<svg><title>no</title><desc>no</desc><defs><text>no</text></defs><metadata>no</metadata><g><text x=1>Jan</text><text>Feb</text></g></svg>b", "a Jan Feb b"),
+        ("<svg><defs/><path d='M0'/><text><tspan x=0>one</tspan><tspan x=0 dy=9>two</tspan></text></svg>after", "one two after"),
+        ("<svg>no<title>no</svg>yes", "yes"),
+        ("<svg><foreignObject><p>in</p></foreignObject><text><![CDATA[a<b]]></text></svg>", "in\n\na<b"),
+        ("<svg style='display:none'><text>no</text></svg><svg><g display=none><text>no</text></g></svg><svg><defs><p>out", "out"),
+        ("<head><title>T</title>Hello<p>x", "Hello\n\nx"),
+        ("<head> <title>T</title> <meta charset=x> <style>s</style></head>Hello<p>x", "Hello\n\nx"),
+        ("<html><head>\n<script>no</script>\n&lt;Hello", "<Hello"),
+    ],
+)
+def test_formulas_labels_and_text_after_an_open_head_show(page, text):
+    assert html_text.text_of(page) == text
+
+
 def test_page_text_holds_all_visible_words_in_order():
     rng = random.Random(3)
     tags = "p div ul li b table tr td h2 span ol br section".split()
