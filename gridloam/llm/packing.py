@@ -192,6 +192,35 @@ def _opener(capacity: int):
     return opened
 
 
+def _filled(waiting: DataFrame, gaps: DataFrame, least: int, n_waiting: int, capacity: int) -> tuple[list[DataFrame], DataFrame, DataFrame, int]:
+    """Match waiting pieces, none shorter than `least`, with gaps round by round: what was placed, what waits still, the gaps left, and how many wait."""
+    placed = []
+    while n_waiting:
+        fit = gaps.where(F.col("room") >= least)
+        rows = waiting.select(F.lit(0).alias("is_gap"), F.col("item").alias("who"), F.col("length").alias("size")).unionByName(fit.select(F.lit(1).alias("is_gap"), F.col("bin").alias("who"), F.col("room").alias("size")))
+        dealt = _ranges(rows, n_waiting + fit.count(), "size", "is_gap", "who").select("*", F.spark_partition_id().alias("part"))
+        swept = written(_across(written(dealt.mapInPandas(_sweep, SWEPT), "swept")), "round")
+        pairs = swept.where("kind = 'pair'")
+        placed.append(pairs.select("item", "length", "bin", (capacity - F.col("room")).alias("offset")))
+        shrunk = pairs.select("bin", (F.col("room") - F.col("length")).alias("room")).where("room > 0")
+        gaps = gaps.where(F.col("room") < least).unionByName(swept.where("kind = 'gap'").select("bin", "room")).unionByName(shrunk)
+        waiting = swept.where("kind = 'item'").select("item", "length")
+        n_pairs, n_waiting, roomy = swept.agg(F.count_if(F.col("kind") == "pair"), F.count_if(F.col("kind") == "item"), F.max(F.when(F.col("kind") == "pair", F.col("room") - F.col("length")))).first()
+        if not n_pairs or roomy < least:
+            break
+    return placed, waiting, gaps, n_waiting
+
+
+def _bundled(short: DataFrame, n: int, limit: int) -> DataFrame:
+    """Short pieces put together up to `limit`: item, length, bundle and offset in it."""
+    made = _ranges(short, n, "length", "item").mapInPandas(_opener(limit), "item long, length long, bin long, offset long")
+    return written(made.withColumnRenamed("bin", "bundle"), "bundles")
+
+
+def _sums(bundles: DataFrame) -> DataFrame:
+    return bundles.groupBy(F.col("bundle").alias("item")).agg(F.sum("length").alias("length"))
+
+
 def packed(pieces: DataFrame, item: str = "item", length: str = "length", capacity: int = CAPACITY) -> DataFrame:
     """`sequence_id` and `offset` for each piece (`item`: unique long ids; lengths from 1 to `capacity`).
 
@@ -204,44 +233,85 @@ def packed(pieces: DataFrame, item: str = "item", length: str = "length", capaci
     n_short, n_all, longest = (all_items.agg(F.count_if(F.col("length") <= small), F.count(F.lit(1)), F.max("length")).first())
     if longest is not None and longest > capacity:
         raise ValueError(f"a piece of {longest} does not fit into {capacity}")
-    bundles = written(_ranges(short, n_short, "length", "item").mapInPandas(_opener(2 * small), "item long, length long, bin long, offset long"), "bundles")
-    items = all_items.where(F.col("length") > small).unionByName(bundles.groupBy(F.col("bin").alias("item")).agg(F.sum("length").alias("length")))
-    items = written(items, "items")
+    bundles = _bundled(short, n_short, 2 * small)
+    items = written(all_items.where(F.col("length") > small).unionByName(_sums(bundles)), "items")
 
     half = capacity // 2
     big = items.where(F.col("length") > half)
     placed = [big.select("item", "length", F.col("item").alias("bin"), F.lit(0).cast("long").alias("offset"))]
     gaps = big.select(F.col("item").alias("bin"), (capacity - F.col("length")).alias("room")).where("room > 0")
+    alone = []
     edges = [capacity // k for k in range(2, 9)] + [small, 0]
     for upper, lower in zip(edges, edges[1:]):
         waiting = items.where((F.col("length") > lower) & (F.col("length") <= upper))
         least, n_waiting = waiting.agg(F.min("length"), F.count(F.lit(1))).first()
-        while n_waiting:
-            fit = gaps.where(F.col("room") >= least)
-            rows = waiting.select(F.lit(0).alias("is_gap"), F.col("item").alias("who"), F.col("length").alias("size")).unionByName(fit.select(F.lit(1).alias("is_gap"), F.col("bin").alias("who"), F.col("room").alias("size")))
-            dealt = _ranges(rows, n_waiting + fit.count(), "size", "is_gap", "who").select("*", F.spark_partition_id().alias("part"))
-            swept = written(_across(written(dealt.mapInPandas(_sweep, SWEPT), "swept")), "round")
-            pairs = swept.where("kind = 'pair'")
-            placed.append(pairs.select("item", "length", "bin", (capacity - F.col("room")).alias("offset")))
-            shrunk = pairs.select("bin", (F.col("room") - F.col("length")).alias("room")).where("room > 0")
-            gaps = gaps.where(F.col("room") < least).unionByName(swept.where("kind = 'gap'").select("bin", "room")).unionByName(shrunk)
-            waiting = swept.where("kind = 'item'").select("item", "length")
-            n_pairs, n_waiting, roomy = swept.agg(F.count_if(F.col("kind") == "pair"), F.count_if(F.col("kind") == "item"), F.max(F.when(F.col("kind") == "pair", F.col("room") - F.col("length")))).first()
-            if not n_pairs or roomy < least:
-                break
+        pairs, waiting, gaps, n_waiting = _filled(waiting, gaps, least, n_waiting, capacity)
+        placed += pairs
+        if n_waiting and upper <= 2 * small:
+            # Bundles that no gap holds open no sequences yet: their pieces may fit singly.
+            names = bundles.select(F.col("bundle").alias("item")).distinct()
+            alone.append(waiting.join(names, "item", "left_semi").select(F.col("item").alias("bundle")))
+            waiting = written(waiting.join(names, "item", "left_anti"), "waiting")
+            n_waiting = waiting.count()
         if n_waiting:
             opened = written(_ranges(waiting, n_waiting, "length", "item").mapInPandas(_opener(capacity), "item long, length long, bin long, offset long"), "opened")
             placed.append(opened)
             gaps = gaps.unionByName(opened.groupBy("bin").agg((capacity - F.sum("length")).alias("room")).where("room > 0"))
         gaps = written(gaps, "gaps")
+
+    inner = bundles.unionByName(_single(all_items.where(F.col("length") > small)))
+    out = [_housed(inner, placed)]
+    if alone:
+        left = alone[0] if len(alone) == 1 else alone[0].unionByName(alone[1])
+        out += _singly(written(bundles.join(left, "bundle", "left_semi").select("item", "length"), "left"), gaps, small, capacity)
+    whole = out[0]
+    for o in out[1:]:
+        whole = whole.unionByName(o)
+    return whole
+
+
+def _single(items: DataFrame) -> DataFrame:
+    return items.select("item", "length", F.col("item").alias("bundle"), F.lit(0).cast("long").alias("offset"))
+
+
+def _housed(inner: DataFrame, placed: list[DataFrame]) -> DataFrame:
+    """Pieces of the bundles that have been placed."""
     homes = placed[0]
     for p in placed[1:]:
         homes = homes.unionByName(p.select(*homes.columns))
     homes = homes.select(F.col("item").alias("bundle"), F.col("bin").alias("sequence_id"), F.col("offset").alias("base"))
-    inner = bundles.select("item", "length", F.col("bin").alias("bundle"), "offset")
-    single = all_items.where(F.col("length") > small).select("item", "length", F.col("item").alias("bundle"), F.lit(0).cast("long").alias("offset"))
-    joined = inner.unionByName(single).join(homes, "bundle")
-    return joined.select("item", "length", "sequence_id", (F.col("base") + F.col("offset")).alias("offset"))
+    return inner.join(homes, "bundle").select("item", "length", "sequence_id", (F.col("base") + F.col("offset")).alias("offset"))
+
+
+def _singly(left: DataFrame, gaps: DataFrame, small: int, capacity: int) -> list[DataFrame]:
+    """Place short pieces whose bundles fitted nowhere: in ever smaller bundles, at last singly; what no gap holds opens
+    sequences. After each step gaps are smaller than the bundles, so a gap takes a few of the next at most."""
+    out, limit = [], small
+    while True:
+        n, tokens, least = left.agg(F.count(F.lit(1)), F.sum("length"), F.min("length")).first()
+        if not n:
+            return out
+        room = gaps.agg(F.max("room")).first()[0] or 0
+        if room < least or not limit:
+            break
+        # Pieces longer than half the limit stay single; those longer than any gap wait for the end.
+        tiny = left.where(F.col("length") <= limit // 2)
+        made = _bundled(tiny, n, limit)
+        inner = written(made.unionByName(_single(left.where((F.col("length") > limit // 2) & (F.col("length") <= room)))), "inner")
+        units = written(_sums(inner).where(F.col("length") <= room), "units")
+        shortest, n_units = units.agg(F.min("length"), F.count(F.lit(1))).first()
+        limit //= 2
+        if not n_units:
+            continue
+        pairs, _, gaps, _ = _filled(units, gaps, shortest, n_units, capacity)
+        gaps = written(gaps, "gaps")
+        housed = written(_housed(inner, pairs), "housed")
+        out.append(housed)
+        left = written(left.join(housed.select("item"), "item", "left_anti"), "left")
+    # As many ranges as the pieces would have had in bundles, so that few sequences stay open at a range's end.
+    rows = max(tokens // (2 * small), n // 8)
+    opened = written(_ranges(left, rows, "length", "item").mapInPandas(_opener(capacity), "item long, length long, bin long, offset long"), "opened")
+    return [*out, opened.select("item", "length", F.col("bin").alias("sequence_id"), "offset")]
 
 
 def packed_documents(docs: DataFrame, tokenizer_file: str, id_column: str = "doc_id", text: str = "text", capacity: int = CAPACITY) -> DataFrame:

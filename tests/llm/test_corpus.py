@@ -62,6 +62,20 @@ def test_packing_is_valid_and_tight(spark, monkeypatch, range_rows):
         packing.packed(spark.createDataFrame([(1, 1025)], "item long, length long"))
 
 
+@pytest.mark.parametrize(
+    "lengths",
+    [
+        [924] * 200 + [60] * 200,
+        [1000] * 40 + [7] * 130 + [64] * 90 + [1] * 37,
+    ],
+)
+def test_short_pieces_meet_gaps_that_no_bundle_fits(spark, lengths):
+    df = spark.createDataFrame(list(enumerate(lengths)), "item long, length long")
+    rows = packing.packed(df).collect()
+    assert sorted((r["item"], r["length"]) for r in rows) == list(enumerate(lengths))
+    assert check_packing(rows, 1024) <= best_fit_decreasing(lengths, 1024) * 1.02
+
+
 def test_packed_documents(spark, odd_documents):
     import public_tokenizers
     from tokenizers import Tokenizer
