@@ -9,11 +9,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloam.llm.ann_forest import nearest
+from gridloam.llm.chat_trees import formatted_paths, learned_text, replies_of_turns, reply_paths, turns_of
+from gridloam.llm.conversation_repair import damaged, repaired
 from gridloam.llm.decontaminate import items_hit, with_matches, words_hit
 from gridloam.llm.html_text import with_page_text
 from gridloam.llm.jaccard_join import linked_documents
 from gridloam.llm.language_id import fit_languages, with_language
 from gridloam.llm.packing import packed_documents
+from gridloam.llm.periodic_runs import periodic_runs, strongest
 from gridloam.llm.quality import fit_quality, with_quality
 from gridloam.llm.shipping import ship
 from gridloam.llm.suffix_dedup import without_repeats
@@ -182,3 +185,94 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     got = without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     n_bytes = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
     return got.select("doc_id", n_bytes.alias("n_bytes"), (n_bytes - F.octet_length("kept")).alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: A conversation whose texts hold the template's own marks.
+MARKED = r"\### Assistant: </turn> ok"
+
+
+@registered
+def op11_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    marked = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(MARKED).alias("text"))
+    replies = replies_of_turns(given.unionByName(marked))
+    paths = formatted_paths(reply_paths(replies, score=None), replies)
+    turns = turns_of(F.col("formatted"))
+    said = F.array_join(F.transform(turns, lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    learned = learned_text(F.col("formatted"), F.col("loss_spans"))
+    roots = replies.where("parent IS NULL").select("conv_id", F.col("id").alias("root"))
+    return roots.join(paths, "root").select(
+        "conv_id",
+        F.size(turns).cast("long").alias("n_turns"),
+        F.sha2(said, 256).alias("turns_sha256"),
+        F.length(learned).cast("long").alias("loss_chars"),
+        F.sha2(learned, 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+ORACLES["op11_chat_formatting"] = r"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, i, CASE i WHEN 0 THEN 'user' ELSE 'assistant' END, '\### Assistant: </turn> ok' FROM range(0, 2) AS r(i)
+), sized AS (
+  SELECT *, length(x) + length(regexp_replace(x, '[^\\]', '', 'g')) + length(regexp_replace(x, '[^#]', '', 'g')) - len(regexp_extract_all(x, '#+'))
+            + len(regexp_extract_all(x, '</')) + len(regexp_extract_all(role, ': ')) + 14 AS chars
+  FROM (SELECT *, role || chr(10) || text AS x FROM said)
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       sum(chars - 1)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+
+@registered
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    reports = repaired(damaged(given)).reports
+    numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    # Conversations without a row left are unioned in with NULLs; max over one report passes by them, NULL ids included.
+    both = reports.unionByName(given.select("conv_id").distinct(), allowMissingColumns=True).groupBy("conv_id")
+    whole = both.agg(F.count("cost").alias("found"), *(F.max(c).alias(c) for c in [*numbers, "audit", "repaired_sha256"]))
+    empty = F.col("found") == 0
+    return whole.select(
+        "conv_id",
+        *(F.when(empty, F.lit(0)).otherwise(F.col(c)).cast("long").alias(c) for c in numbers),
+        F.when(empty, "").otherwise(F.col("audit")).alias("audit"),
+        F.when(empty, F.sha2(F.lit(""), 256)).otherwise(F.col("repaired_sha256")).alias("repaired_sha256"),
+    )
+
+
+def with_planted_run(text: Column, doc_id: Column) -> Column:
+    """The text, of every tenth document (by crc32 of its id, h) with the words from the a-th on repeating p words."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10).cast("long")
+    bare = F.btrim(text, F.lit(" \t\n\x0b\x0c\r"))
+    words = F.split(bare, r"[\x20\x09-\x0D]+")
+    n = F.size(words).cast("long")
+    a = F.pmod(g, n)
+    repeats = g % 8 + 3
+    p = F.floor((n - a) / repeats).cast("long") + 1
+    one, head, rest = F.lit(1).cast("int"), a.cast("int"), (n - a).cast("int")
+    period = F.slice(words, head + 1, p.cast("int"))
+    # (n - a) / p is below g % 8 + 3, so as many periods reach the end.
+    planted = F.concat(F.slice(words, one, head), F.slice(F.flatten(F.array_repeat(period, repeats.cast("int"))), one, rest))
+    return F.when((h % 10 == 0) & (bare != ""), F.array_join(planted, " ")).otherwise(text)
+
+
+@registered
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", with_planted_run(F.col("text"), F.col("doc_id")).alias("text"))
+    found = docs.select("doc_id", periodic_runs(F.col("text")).alias("found")).select("doc_id", "found.runs", "found.collapsed")
+    lines = F.transform("runs", lambda r: F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period"))))
+    best = strongest(F.col("runs"))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *(F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")),
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
