@@ -174,10 +174,14 @@ def stored_regions(spark, sf_dir):
         [], "id string, name string, country_code string, admin_level int, admin_code string, parent_region_id string, "
         "geometry array<array<array<struct<x:double,y:double>>>>, centroid struct<x:double,y:double>, created_at timestamp, updated_at timestamp"
     )
-    batch = t.nation_areas(spark, sf_dir).select(
+    return written(upsert_regions(empty, region_batch(spark, sf_dir), F.lit(STORED_AT)), "regions")
+
+
+def region_batch(spark, sf_dir):
+    """Nations as a batch of regions."""
+    return t.nation_areas(spark, sf_dir).select(
         F.col("id").alias("row_idx"), "name", F.lit("US").alias("country_code"), F.lit(2).alias("admin_level"), F.col("name").alias("admin_code"), "geometry"
     )
-    return written(upsert_regions(empty, batch, F.lit(STORED_AT)), "regions")
 
 
 @query("""SELECT sha256('["US","2","' || code || '"]') AS id, name, x, y, created, updated FROM (

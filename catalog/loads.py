@@ -8,10 +8,10 @@ from datetime import datetime, timezone
 from pyspark.sql import functions as F
 
 from catalog import tables as t
-from catalog.changes import stored_regions
+from catalog.changes import STORED_AT, region_batch, stored_regions
 from catalog.registry import ORACLES, query
-from gridloam.functions.geometry import decode_geometry, to_wgs84
-from gridloam.operators.tables import upsert_table
+from gridloam.functions.geometry import decode_geometry
+from gridloam.operators.tables import last_wins, upsert_table
 from gridloam.plans.loads import (
     CLUSTER_PROPERTIES,
     FEASIBILITY_PROPERTIES,
@@ -22,11 +22,13 @@ from gridloam.plans.loads import (
     frontier_rows,
     load_feasibility,
     osm_rows,
+    placed,
 )
-from gridloam.plans.stored_load import store_feasibility, store_rows
+from gridloam.plans.stored_load import store_feasibility, store_regions, store_rows
 from gridloam.session import fresh_path
-from gridloam.sources.geojson import check_collection, feature_json, features_of, parse_properties, read_collection, read_feature_lines, write_features
-from gridloam.sources.stored import publish, read_published
+from gridloam.sources.geojson import feature_json, parse_properties, read_feature_lines, write_features
+from gridloam.sources.parted import Store
+from gridloam.sources.split_geojson import read_split_features
 
 RUN_AT = datetime(2026, 5, 5, tzinfo=timezone.utc)
 
@@ -156,39 +158,77 @@ def shown_feasibility(regions, values):
 
 @query(ORACLES["frontier_load"])
 def stored_frontier(spark, sf_dir):
-    """Read, checked, upserted, published and read back, twice: the second run changes nothing."""
-    path = fresh_path(spark, "frontier")
+    """Read, checked, upserted, committed and read back, twice: the second run changes nothing."""
+    store = Store(spark, fresh_path(spark, "store"))
     for _ in range(2):
-        store_rows("frontier", path, frontier_batch(spark, sf_dir))
-    return shown_frontier(read_published(spark, path))
+        store_rows("frontier", store, frontier_batch(spark, sf_dir), buckets=8)
+    return shown_frontier(store.read("frontier"))
 
 
 @query(ORACLES["clusters_load"])
 def stored_clusters(spark, sf_dir):
     """As `stored_frontier`, with every row twice in the batch."""
-    path, rows = fresh_path(spark, "clusters"), cluster_batch(spark, sf_dir)
+    store, rows = Store(spark, fresh_path(spark, "store")), cluster_batch(spark, sf_dir)
     for batch in (rows, rows.unionByName(rows)):
-        store_rows("clusters", path, batch)
-    return shown_clusters(read_published(spark, path))
+        store_rows("clusters", store, batch, buckets=8)
+    return shown_clusters(store.read("clusters"))
 
 
 @query(ORACLES["osm_load"])
 def stored_osm(spark, sf_dir):
-    path = fresh_path(spark, "osm")
+    store = Store(spark, fresh_path(spark, "store"))
     for rows, rejected in osm_batches(spark, sf_dir):
-        store_rows("osm", path, rows, rejected)
-    return read_published(spark, path).select("source_id", "name", "operator", F.col("source_version").cast("string").alias("source_version"), "license")
+        store_rows("osm", store, rows, rejected, buckets=8)
+    return store.read("osm").select("source_id", "name", "operator", F.col("source_version").cast("string").alias("source_version"), "license")
 
 
 @query(ORACLES["feasibility_load"])
 def stored_feasibility(spark, sf_dir):
-    """Regions and an index history published, the history partitioned by a version that looks like a number."""
-    regions, history = fresh_path(spark, "regions"), fresh_path(spark, "history")
-    publish(stored_regions(spark, sf_dir), regions)
+    """Regions, history and current values in one commit, under a version that looks like a number."""
+    store = Store(spark, fresh_path(spark, "store"))
+    store.commit(store_regions(store, region_batch(spark, sf_dir), F.lit(STORED_AT), buckets=8))
     versions = spark.createDataFrame([("1.0",)], "version string")
-    store_feasibility(feasibility_batch(spark, sf_dir), regions, history, versions, "1.0", RUN_AT)
-    values = read_published(spark, history).where("methodology_version = '1.0'")
-    return shown_feasibility(read_published(spark, regions), values)
+    store_feasibility(feasibility_batch(spark, sf_dir), store, versions, "1.0", RUN_AT, buckets=8)
+    values = store.read_between("grid_feasibility", "computed_at", RUN_AT, RUN_AT).where("methodology_version = '1.0'")
+    return shown_feasibility(store.read("regions"), values)
+
+
+@query("""SELECT source_id, CASE WHEN late THEN 'late' ELSE 'first' END AS name, v AS source_version, CASE WHEN late THEN 2 ELSE 1 END AS written_by FROM (
+  SELECT 'c' || c_custkey AS source_id, CASE WHEN c_custkey % 2 = 0 THEN '2026-01-01' ELSE '2026-02-01' END AS v, c_custkey % 100 = 3 AS late FROM customer)""")
+def touched_parts(spark, sf_dir):
+    """One customer in a hundred changes: the parts of the other version, and all buckets without a change, stay as the
+    first load wrote them."""
+    k = F.col("c_custkey")
+    rows = t.table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("c"), k).alias("source_id"), F.when(k % 2 == 0, "2026-01-01").otherwise("2026-02-01").alias("source_version"), F.lit("first").alias("name"), F.lit(1).alias("written_by"), k.alias("row_idx")
+    )
+    store, rule = Store(spark, fresh_path(spark, "store")), {"keys": ["source_id", "source_version"], "replace": ["name", "written_by"], "by": ["source_version"], "buckets": 16}
+    store.commit(store.upsert("sites", rows, **rule))
+    late = rows.where("row_idx % 100 = 3").withColumns({"name": F.lit("late"), "written_by": F.lit(2)})
+    store.commit(store.upsert("sites", late, **rule))
+    return store.read("sites")
+
+
+@query("""SELECT user_id, event_type, event_id, ts, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC) AS n FROM events) WHERE n = 1""")
+def maintained_current(spark, sf_dir):
+    """The latest event per user and type, kept up to date run by run while the runs arrive out of order."""
+    events = t.table(spark, sf_dir, "events").select("user_id", "event_type", "event_id", "ts", "value")
+    store, run = Store(spark, fresh_path(spark, "store")), F.pmod(F.dayofyear("ts"), F.lit(3))
+    for k in (2, 0, 1):
+        batch = events.where(run == k)
+        store.commit(store.append("history", batch, "ts"), store.latest("current", batch, ["user_id", "event_type"], "ts", buckets=8))
+    return store.read("current")
+
+
+@query("""SELECT event_id, ts, value FROM events WHERE ts >= TIMESTAMP '2024-01-05 00:00:00' AND ts <= TIMESTAMP '2024-01-06 00:00:00'""")
+def appended_history(spark, sf_dir):
+    """A history of several appends; a span of time opens only the appends that meet it."""
+    events = t.table(spark, sf_dir, "events").select("event_id", "ts", "value")
+    store, early = Store(spark, fresh_path(spark, "store")), F.col("ts") < F.lit(datetime(2024, 1, 10, tzinfo=timezone.utc))
+    for batch in (events.where(~early), events.where(early)):
+        store.commit(store.append("history", batch, "ts"))
+    return store.read_between("history", "ts", datetime(2024, 1, 5, tzinfo=timezone.utc), datetime(2024, 1, 6, tzinfo=timezone.utc))
 
 
 @query("""SELECT CASE c_custkey % 10 WHEN 3 THEN 'no JSON' WHEN 7 THEN 'not a Feature' ELSE 'read' END AS outcome, count(*) AS n, min(c_custkey) AS first FROM customer GROUP BY 1""")
@@ -204,21 +244,98 @@ def rejected_lines(spark, sf_dir):
     return told.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"), F.min("k").alias("first"))
 
 
-@query("""SELECT n_nationkey, round(-80 + ((n_nationkey * 37) % 81) / 4::DOUBLE, 6) AS x, round(30 + ((n_nationkey * 53) % 79) / 4::DOUBLE, 6) AS y FROM nation""")
+def web(x, y):
+    """Coordinates in metres of the web projection."""
+    return F.struct((x * (20037508.342789244 / 180)).alias("x"), (F.log(F.tan((y + 90) * math.pi / 360)) * 6378137.0).alias("y"))
+
+
+WEB_CRS = '"crs": {"type": "name", "properties": {"name": "urn:ogc:def:crs:EPSG::3857"}}, '
+
+
+@query("""SELECT c_custkey, c_custkey % 64 AS document, round(-80 + ((c_custkey * 37) % 81) / 4::DOUBLE, 6) AS x, round(30 + ((c_custkey * 53) % 79) / 4::DOUBLE, 6) AS y FROM customer""")
 def mixed_coordinate_systems(spark, sf_dir):
-    """One document per region, every other one in web coordinates and naming them; each keeps its own system."""
-    x, y = t.place("n_nationkey")
-    web = F.col("n_regionkey") % 2 == 1
-    east, north = x * (20037508.342789244 / 180), F.log(F.tan((y + 90) * math.pi / 360)) * 6378137.0
-    point = F.struct(F.when(web, east).otherwise(x).alias("x"), F.when(web, north).otherwise(y).alias("y"))
-    rows = t.table(spark, sf_dir, "nation").select("n_regionkey", "n_nationkey", point.alias("geometry"))
-    lines = rows.select("n_regionkey", feature_json("point", ["n_nationkey"]).alias("line"))
-    crs = F.when(web, '"crs": {"type": "name", "properties": {"name": "urn:ogc:def:crs:EPSG::3857"}}, ').otherwise("")
-    documents = lines.groupBy("n_regionkey").agg(F.array_join(F.collect_list("line"), ", ").alias("features"))
+    """Documents of customers, every other one in web coordinates and naming them; each keeps its own system. A document
+    is written line by line, by as many tasks as there are rows for, and read by as many."""
+    x, y = t.place("c_custkey")
+    in_web = F.col("c_custkey") % 2 == 1
+    place = F.when(in_web, web(x, y)).otherwise(F.struct(x.alias("x"), y.alias("y")))
+    rows = t.table(spark, sf_dir, "customer").select((F.col("c_custkey") % 64).alias("document"), "c_custkey", place.alias("geometry"))
+    path = write_documents(spark, rows, ["c_custkey", "document"], F.when(F.col("document") % 2 == 1, WEB_CRS).otherwise(""))
+    features = read_split_features(spark, path)
+    named = parse_properties(features.withColumn("g", placed(features, "point", None)), ["c_custkey", "document"])
+    return named.select(F.col("c_custkey").cast("long").alias("c_custkey"), F.col("document").cast("long").alias("document"), F.round("g.x", 6).alias("x"), F.round("g.y", 6).alias("y"))
+
+
+def write_documents(spark, rows, properties, crs):
+    """One FeatureCollection per value of `document`, each written by one task, line by line, in the order of the first
+    property; the number of documents decides how large one gets."""
+    first = F.struct(F.lit(0).alias("part"), F.lit(None).cast("long").alias("at"))
+    k = F.col(properties[0]).cast("long")
+    lines = rows.select("document", F.struct(F.lit(1).alias("part"), k.alias("at")).alias("o"), F.concat(F.lit(","), feature_json("point", properties)).alias("value"))
+    heads = rows.select("document").distinct().select("document", crs.alias("crs"))
+    frame = heads.select(
+        "document",
+        F.inline(F.array(
+            F.struct(first.alias("o"), F.concat(F.lit('{"type": "FeatureCollection", '), "crs", F.lit('"features": [')).alias("value")),
+            F.struct(F.struct(F.lit(2).alias("part"), F.lit(None).cast("long").alias("at")).alias("o"), F.lit("]}").alias("value")),
+        )),
+    )
+    least = lines.groupBy("document").agg(F.min("o").alias("least"))
+    bare = lines.join(least, "document").select("document", "o", F.when(F.col("o") == F.col("least"), F.substr("value", F.lit(2))).otherwise(F.col("value")).alias("value"))
     path = fresh_path(spark, "documents")
-    documents.select("n_regionkey", F.concat(F.lit('{"type": "FeatureCollection", '), crs, F.lit('"features": ['), "features", F.lit("]}")).alias("value")).write.partitionBy("n_regionkey").text(path)
-    features = features_of(check_collection(read_collection(spark, path)))
-    decoded = decode_geometry("geometry", "point")
-    placed = F.when(F.col("epsg") == 3857, to_wgs84(decoded, "point", 3857)).otherwise(to_wgs84(decoded, "point", 4326))
-    named = parse_properties(features.withColumn("g", placed), ["n_nationkey"])
-    return named.select(F.col("n_nationkey").cast("int").alias("n_nationkey"), F.round("g.x", 6).alias("x"), F.round("g.y", 6).alias("y"))
+    whole = bare.unionByName(frame).repartition("document").sortWithinPartitions("document", "o")
+    whole.select("document", "value").write.partitionBy("document").text(path)
+    return path
+
+
+# Braces, quotes, backslashes and the key of the features' array inside a text.
+TRICKY = '}{"features": [{"\\}\\"]}'
+
+
+@query("""SELECT row_number() OVER (ORDER BY c_custkey) - 1 AS row_idx, c_custkey, c_name || chr(10) || '}{"features": [{"\\}\\"]}' || repeat('"', (c_custkey % 3)::INTEGER) AS name,
+  -80 + ((c_custkey * 37) % 81) / 4::DOUBLE AS x, 30 + ((c_custkey * 53) % 79) / 4::DOUBLE AS y, 4326 AS epsg FROM customer""")
+def split_document(spark, sf_dir):
+    """One document with a feature per customer, read by many tasks: every feature whole and at its place."""
+    k = F.col("c_custkey")
+    names = F.concat("c_name", F.lit("\n"), F.lit(TRICKY), F.repeat(F.lit('"'), (k % 3).cast("int")))
+    rows = t.customer_points(spark, sf_dir).select(F.lit(0).alias("document"), k, names.alias("name"), "geometry")
+    path = write_documents(spark, rows, ["c_custkey", "name"], F.lit('"crs": {"type": "name", "properties": {"name": "urn:ogc:def:crs:OGC:1.3:CRS84"}}, '))
+    # So that the document is cut at any size; at full size Spark's own splits do.
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 20))
+        features = read_split_features(spark, path)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    named = parse_properties(features, ["c_custkey", "name"]).withColumn("g", decode_geometry("geometry", "point"))
+    return named.select("row_idx", F.col("c_custkey").cast("long").alias("c_custkey"), "name", "g.x", "g.y", "epsg")
+
+
+@query("""SELECT p_partkey % 50 AS k, arg_max(p_partkey, i) AS p_partkey, max(i) AS row_idx
+FROM (SELECT p_partkey, row_number() OVER (ORDER BY p_partkey % 3, p_partkey) - 1 AS i FROM part) GROUP BY 1""")
+def last_over_files(spark, sf_dir):
+    """Lines in three folders of files of unequal size: the last line of a key wins, in the order of the paths."""
+    k = F.col("p_partkey")
+    path = fresh_path(spark, "ordered")
+    rows = t.table(spark, sf_dir, "part").withColumn("geometry", F.struct(F.lit(0.0).alias("x"), F.lit(0.0).alias("y")))
+    # The first folder's lines are the longest, so its splits are the largest and are read first.
+    lines = rows.select((k % 3).alias("folder"), k, feature_json("point", ["p_partkey"]).alias("line"))
+    padded = lines.select("folder", "p_partkey", F.concat("line", F.repeat(F.lit(" "), F.when(F.col("folder") == 0, 300).otherwise(0))).alias("value"))
+    padded.repartition("folder").sortWithinPartitions("folder", "p_partkey").select("folder", "value").write.partitionBy("folder").text(path)
+    features = parse_properties(read_feature_lines(spark, path), ["p_partkey"]).select("row_idx", F.col("p_partkey").cast("long").alias("p_partkey"))
+    return last_wins(features.withColumn("k", F.col("p_partkey") % 50), ["k"], "row_idx").select("k", "p_partkey", "row_idx")
+
+
+@query("""SELECT CASE WHEN p_partkey % 4 = 0 THEN 'way/' || p_partkey ELSE 'w' || p_partkey END AS source_id, round(-80 + ((p_partkey * 37) % 81) / 4::DOUBLE, 6) AS x,
+  round(30 + ((p_partkey * 53) % 79) / 4::DOUBLE, 6) AS y FROM part WHERE p_partkey % 4 <> 3""")
+def web_load(spark, sf_dir):
+    """A load of documents that name the web projection: places are stored in degrees."""
+    k = F.col("p_partkey")
+    x, y = t.place("p_partkey")
+    rows = t.table(spark, sf_dir, "part").select(
+        (k % 4).alias("document"), web(x, y).alias("geometry"), k.alias("position"), F.col("p_name").alias("name"), F.when(k % 4 != 3, F.concat(F.lit("w"), k)).alias("full_id"),
+        F.when(k % 4 == 0, "way").alias("osm_type"), F.when(k % 4 == 0, k.cast("string")).alias("osm_id"),
+    )
+    path = write_documents(spark, rows, ["position", "name", "full_id", "osm_type", "osm_id"], F.lit(WEB_CRS))
+    loaded, _ = osm_rows(read_split_features(spark, path), "2026-05-01", F.lit(RUN_AT))
+    return loaded.select("source_id", F.round("geometry.x", 6).alias("x"), F.round("geometry.y", 6).alias("y"))

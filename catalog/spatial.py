@@ -5,18 +5,22 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog import tables as t
-from catalog.registry import query
+from catalog.registry import ORACLES, query
 from gridloam.functions.geometry import EARTH_RADIUS_M, centroid, intersects, point, to_wgs84, within
-from gridloam.operators.clustering import cluster_expansion_zoom, cluster_points
-from gridloam.operators.filters import line_region_bridge, lines_in_region
+from gridloam.operators.clustering import cluster_expansion_zoom, cluster_pyramid
+from gridloam.operators.filters import line_region_bridge
 from gridloam.operators.rollups import plant_capacity
 from gridloam.operators.spatial_join import (
     assign_region,
     assign_regions_array,
     fill_region,
     line_region_pairs,
+    lines_meeting,
     overlay_regions,
 )
+from gridloam.plans.stored_index import load_region_index, store_region_index, update_region_index
+from gridloam.session import fresh_path
+from gridloam.sources.parted import Store
 
 POINTS = """
 p AS (SELECT c_custkey AS k, -80 + ((c_custkey * 37) % 81) / 4::DOUBLE AS x, 30 + ((c_custkey * 53) % 79) / 4::DOUBLE AS y,
@@ -65,6 +69,18 @@ def area_of_point(spark, sf_dir):
     return assign_region(points, t.supplier_areas(spark, sf_dir), region_col="area_id").select("c_custkey", "area_id")
 
 
+@query(f"""WITH {POINTS}, {SERVICE}, moved AS (SELECT id, x1 + (id % 10 = 0)::INTEGER AS x1, x2 + (id % 10 = 0)::INTEGER AS x2, y1, y2 FROM s)
+SELECT p.k AS c_custkey, min(m.id) AS area_id FROM p LEFT JOIN moved m ON x > x1 AND x < x2 AND y > y1 AND y < y2 GROUP BY p.k""")
+def area_by_stored_index(spark, sf_dir):
+    """An index of all areas kept in a store; after a tenth of them move, only those are cut again."""
+    store, areas = Store(spark, fresh_path(spark, "store")), t.supplier_areas(spark, sf_dir)
+    store_region_index(store, areas, buckets=8)
+    east = F.transform("geometry", lambda p: F.transform(p, lambda r: F.transform(r, lambda v: F.struct((v["x"] + 1).alias("x"), v["y"].alias("y")))))
+    update_region_index(store, areas.withColumn("geometry", F.when(F.col("id") % 10 == 0, east).otherwise(F.col("geometry"))))
+    points = t.customer_points(spark, sf_dir).select("c_custkey", "geometry")
+    return assign_region(points, load_region_index(store), region_col="area_id").select("c_custkey", "area_id")
+
+
 @query(f"""WITH {POINTS}, {DIAMONDS}, {RECTANGLES}, {BEST}
 SELECT p.k AS c_custkey, CASE WHEN p.k % 3 = 0 THEN 2000 + c_nationkey WHEN p.k % 7 <> 0 THEN best.id END::BIGINT AS region_id
 FROM p LEFT JOIN best ON p.k = best.k""")
@@ -99,9 +115,17 @@ def lines_region_array(spark, sf_dir):
 
 @query(f"WITH {POINTS}, {DIAMONDS}, {RECTANGLES}, {LINES} SELECT k AS c_custkey FROM met WHERE id = 2007")
 def region_lines(spark, sf_dir):
-    """Lines crossing one region, by array membership."""
-    filled = assign_regions_array(t.customer_lines(spark, sf_dir), t.areas(spark, sf_dir), key_col="c_custkey")
-    return lines_in_region(filled, 2007).select("c_custkey")
+    """Lines crossing one region: those whose box meets the region's, tested."""
+    return lines_meeting(t.customer_lines(spark, sf_dir), t.areas(spark, sf_dir), 2007, key_col="c_custkey")
+
+
+@query(ORACLES["region_lines"])
+def stored_region_lines(spark, sf_dir):
+    """The same from a stored bridge, sorted by region: only row groups that may hold the region are read."""
+    store = Store(spark, fresh_path(spark, "store"))
+    pairs = line_region_pairs(t.customer_lines(spark, sf_dir), t.areas(spark, sf_dir), key_col="c_custkey")
+    store.commit(store.append_sorted("line_regions", pairs, ["region_id", "c_custkey"]))
+    return store.read("line_regions").where("region_id = 2007").select("c_custkey")
 
 
 @query(f"WITH {POINTS}, {DIAMONDS}, {RECTANGLES}, {LINES} SELECT id::BIGINT AS region_id, count(*) AS n_lines FROM met GROUP BY id")
@@ -176,14 +200,9 @@ SELECT zoom, n AS point_count, round(CASE WHEN n = 1 THEN x ELSE ax * 360 - 180
        round(CASE WHEN n = 1 THEN y ELSE degrees(2 * atan(exp((0.5 - ay) * 2 * pi()))) - 90 END, 6) AS y,
        CASE WHEN n = 1 THEN seg END AS c_mktsegment FROM g""")
 def clustered_points(spark, sf_dir):
-    """Clusters of 50 pixels at zooms 2 to 7, clustered up to zoom 6."""
-    points, out = shifted_points(spark, sf_dir), None
-    for zoom in range(2, 8):
-        at_zoom = cluster_points(points, zoom, 50, 6, ["c_mktsegment"]).select(
-            F.lit(zoom).alias("zoom"), "point_count", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"), "c_mktsegment"
-        )
-        out = at_zoom if out is None else out.unionByName(at_zoom)
-    return out
+    """Clusters of 50 pixels at zooms 2 to 7, clustered up to zoom 6; zooms 2 to 6 from one reading of the points."""
+    pyramid = cluster_pyramid(shifted_points(spark, sf_dir), list(range(2, 8)), 50, 6, ["c_mktsegment"])
+    return pyramid.select("zoom", "point_count", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"), "c_mktsegment")
 
 
 @query(f"""WITH {POINTS}, {PIXELS}, c AS (

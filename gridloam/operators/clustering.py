@@ -11,8 +11,9 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-TILE_PX = 512
+from gridloam.session import written
 
+TILE_PX = 512
 
 
 def mercator_x(lon: Column) -> Column:
@@ -89,6 +90,54 @@ def cluster_points(
     return out.select("point_count", "x", "y", *attributes)
 
 
+def cluster_pyramid(
+    points: DataFrame,
+    zooms: list[int],
+    radius_px: float,
+    max_zoom: int,
+    attributes: list[str] = (),
+    geometry_col: str = "geometry",
+) -> DataFrame:
+    """`cluster_points` at several zooms, with `zoom`, from one reading of the points.
+
+    Points are put into the cells of the finest zoom asked for, at most `max_zoom`, once; a cell keeps their number,
+    their sums and one member. Cells nest, so each coarser zoom is made from the cells of the one below it, of which
+    there are ever fewer. Above `max_zoom` the points themselves are the answer and are read once more.
+    """
+    wanted, x, y = list(attributes), F.col(f"{geometry_col}.x"), F.col(f"{geometry_col}.y")
+    clustered, out = sorted((z for z in zooms if z <= max_zoom), reverse=True), None
+    if clustered:
+        finest = clustered[0]
+        level = (
+            _placed(points, geometry_col)
+            .groupBy(_pixel_cell(F.col("_mx"), finest, radius_px).alias("cell_x"), _pixel_cell(F.col("_my"), finest, radius_px).alias("cell_y"))
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("_mx").alias("sx"), F.sum("_my").alias("sy"), F.any_value(F.struct(x.alias("x"), y.alias("y"), *wanted)).alias("one"))
+        )
+        for zoom in range(finest, clustered[-1] - 1, -1):
+            if zoom < finest:
+                # Rounding down twice is rounding down once: a cell of this zoom is four of the one below.
+                level = level.groupBy(F.shiftright("cell_x", 1).alias("cell_x"), F.shiftright("cell_y", 1).alias("cell_y")).agg(
+                    F.sum("n").alias("n"), F.sum("sx").alias("sx"), F.sum("sy").alias("sy"), F.any_value("one").alias("one")
+                )
+            level = written(level, "clusters")
+            if zoom in clustered:
+                lone = F.col("n") == 1
+                shown = level.select(
+                    F.lit(zoom).alias("zoom"),
+                    F.col("n").alias("point_count"),
+                    F.when(lone, F.col("one.x")).otherwise(F.col("sx") / F.col("n") * 360.0 - 180.0).alias("x"),
+                    F.when(lone, F.col("one.y")).otherwise(latitude(F.col("sy") / F.col("n"))).alias("y"),
+                    *[F.when(lone, F.col(f"one.{a}")).alias(a) for a in wanted],
+                )
+                out = shown if out is None else out.unionByName(shown)
+    above = [z for z in zooms if z > max_zoom]
+    if above:
+        located = points.where(F.col(geometry_col).isNotNull())
+        alone = located.select(F.explode(F.array(*map(F.lit, above))).alias("zoom"), F.lit(1).cast("bigint").alias("point_count"), x.alias("x"), y.alias("y"), *wanted)
+        out = alone if out is None else out.unionByName(alone)
+    return out
+
+
 def cluster_expansion_zoom(points: DataFrame, zoom: int, radius_px: float, max_zoom: int, geometry_col: str = "geometry") -> DataFrame:
     """Per cluster at a zoom, the smallest zoom at which it falls apart.
 

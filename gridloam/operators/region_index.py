@@ -36,6 +36,9 @@ FINEST = 2.0**-40
 # Cell lists up to this estimated size are broadcast to the points; larger ones are joined by shuffle.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
+# What an entry weighs, in bytes.
+ENTRY_WEIGHT = "64 + size(edges) * 48 + size(toggles) * 8"
+
 _EDGE = ("x1", "y1", "x2", "y2")
 _BOUNDS = ("c_from", "c_to", "r_from", "r_to")
 
@@ -48,6 +51,7 @@ class Level:
     entries: DataFrame  # gid, lvl, c, r, edges, toggles
     bytes: int  # measured weight of the entries
     refined: DataFrame | None = None  # c, r of the cells that continue at the next level
+    best: DataFrame | None = None  # c, r and candidates as `best_candidates` gives them, where they are stored
 
 
 @dataclass
@@ -183,6 +187,45 @@ def grid_size(area: float, edges: int, regions: int, cells_per_edge: float = 8)
     return 2.0 ** round(math.log2(wanted))
 
 
+def with_shape(regions: DataFrame, id_col: str, level_col: str, geometry_col: str) -> DataFrame:
+    """`region_id, lvl, shape, geometry` of regions that have one; equal shapes share `shape`."""
+    return regions.where(F.col(geometry_col).isNotNull()).select(
+        F.col(id_col).alias("region_id"),
+        F.col(level_col).alias("lvl"),
+        F.sha2(F.to_json(F.struct(geometry_col)), 256).alias("shape"),
+        F.col(geometry_col).alias("geometry"),
+    )
+
+
+def distinct_shapes(named: DataFrame) -> DataFrame:
+    """Each shape of a level once, under the smallest id that has it, with its box."""
+    shapes = named.groupBy("lvl", "shape").agg(
+        F.min("region_id").alias("gid"), F.count(F.lit(1)).alias("copies"), F.any_value("geometry").alias("geometry")
+    )
+    return with_box(shapes, "geometry")
+
+
+def cut(shapes: DataFrame, sizes: list[float], refined: list[DataFrame | None]) -> DataFrame:
+    """`depth, gid, lvl, c, r, edges, toggles` of shapes cut along the grids of an index there is already: at each depth
+    what falls into cells that are cut on goes to the next."""
+    current = explode_edges(shapes, "geometry").selectExpr(
+        "gid", "lvl", *_EDGE,
+        f"{cell_of('box_x1', sizes[0])} as c_from", f"{cell_of('box_x2', sizes[0])} as c_to",
+        f"{cell_of('box_y1', sizes[0])} as r_from", f"{cell_of('box_y2', sizes[0])} as r_to",
+    )
+    inherited, out = None, None
+    for depth, (size, cells) in enumerate(zip(sizes, refined)):
+        rows = _by_row(current, size)
+        local, toggles = _local(rows), _toggles(rows, inherited, size)
+        if cells is not None:
+            current = written(_children(local.join(cells, ["c", "r"], "left_semi")), "cell-edges")
+            inherited = written(_children(toggles.join(cells, ["c", "r"], "left_semi")), "cell-toggles")
+            local, toggles = local.join(cells, ["c", "r"], "left_anti"), toggles.join(cells, ["c", "r"], "left_anti")
+        entries = _entries(local, toggles).withColumn("depth", F.lit(depth))
+        out = entries if out is None else out.unionByName(entries)
+    return out
+
+
 def build_region_index(
     regions: DataFrame,
     id_col: str = "id",
@@ -198,17 +241,9 @@ def build_region_index(
 
     Regions repeating the same shape at the same level are indexed once and listed in `members`.
     """
-    named = regions.where(F.col(geometry_col).isNotNull()).select(
-        F.col(id_col).alias("region_id"),
-        F.col(level_col).alias("lvl"),
-        F.sha2(F.to_json(F.struct(geometry_col)), 256).alias("shape"),
-        F.col(geometry_col).alias("geometry"),
-    )
+    named = with_shape(regions, id_col, level_col, geometry_col)
     kept: list[DataFrame] = []
-    shapes = named.groupBy("lvl", "shape").agg(
-        F.min("region_id").alias("gid"), F.count(F.lit(1)).alias("copies"), F.any_value("geometry").alias("geometry")
-    )
-    shapes = _keep(with_box(shapes, "geometry"), kept)
+    shapes = _keep(distinct_shapes(named), kept)
     # One row of totals: the only thing about the regions the driver learns.
     totals = shapes.agg(
         F.sum((F.col("box_x2") - F.col("box_x1")) * (F.col("box_y2") - F.col("box_y1"))).alias("area"),
@@ -258,8 +293,7 @@ def build_region_index(
 
 def _level(size: float, entries: DataFrame, refined: DataFrame | None, kept: list[DataFrame]) -> Level:
     entries = _keep(entries, kept)
-    weight = F.lit(64) + F.size("edges") * 48 + F.size("toggles") * 8
-    measured = entries.agg(F.coalesce(F.sum(weight), F.lit(0)).alias("bytes")).first()["bytes"]
+    measured = entries.agg(F.coalesce(F.sum(F.expr(ENTRY_WEIGHT)), F.lit(0)).alias("bytes")).first()["bytes"]
     return Level(size, entries, measured, refined)
 
 

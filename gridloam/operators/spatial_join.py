@@ -17,6 +17,7 @@ from gridloam.operators.region_index import (
     cell_of,
     contains,
     explode_edges,
+    with_box,
 )
 from gridloam.operators.skew import lookup_join
 
@@ -51,7 +52,7 @@ def assign_region(
     out, found = points, []
     for depth, level in enumerate(index.levels):
         name = f"_candidates_{depth}"
-        cells = best_candidates(level.entries).withColumnRenamed("candidates", name)
+        cells = (level.best if level.best is not None else best_candidates(level.entries)).withColumnRenamed("candidates", name)
         cell = (f"{cell_of(x, level.size)} as _c", f"{cell_of(y, level.size)} as _r")
         out = _on_cell(out.selectExpr("*", *cell), cells, level.bytes, "left", points.selectExpr(*cell)).drop("_c", "_r")
         found.append(name)
@@ -147,6 +148,30 @@ def line_region_pairs(
     return _named(_hits(moving, index), index).withColumnRenamed("key", key_col)
 
 
+def lines_meeting(
+    lines: DataFrame,
+    regions: DataFrame,
+    region_id,
+    geometry_col: str = "geometry",
+    key_col: str = "id",
+    id_col: str = "id",
+    level_col: str = "admin_level",
+) -> DataFrame:
+    """Keys of the lines that meet one region. The lines whose box misses the region's never come to a join, and only
+    that region is indexed."""
+    region = with_box(regions.where((F.col(id_col) == region_id) & F.col(geometry_col).isNotNull()), geometry_col)
+    box = region.agg(F.min("box_x1").alias("x1"), F.max("box_x2").alias("x2"), F.min("box_y1").alias("y1"), F.max("box_y2").alias("y2")).first()
+    if box["x1"] is None:
+        return lines.select(key_col).limit(0)
+
+    def reach(axis: str) -> Column:
+        values = F.transform(geometry_col, lambda v: v[axis])
+        return (F.array_max(values) >= box[f"{axis}1"]) & (F.array_min(values) <= box[f"{axis}2"])
+
+    near = lines.where(reach("x") & reach("y"))
+    return line_region_pairs(near, region, key_col, geometry_col, id_col, level_col).select(key_col)
+
+
 def assign_regions_array(
     lines: DataFrame,
     regions: DataFrame | RegionIndex,

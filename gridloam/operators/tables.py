@@ -90,6 +90,36 @@ def upsert(
     return combined.unionByName(loose)
 
 
+def merged_once(target: DataFrame | None, batch: DataFrame, keys: list[str], replace: list[str], keep: list[str], order: list[str]) -> DataFrame:
+    """As `upsert`, reading the target once, with `_stored` and `_arrived` saying where each row came from.
+
+    One full outer join; rows with a NULL in the key match nothing and are spread by a hash of themselves. Without a
+    target all rows are new.
+    """
+    columns = [*keys, *replace, *keep]
+    lacking = [o for o in order if o not in batch.columns]
+    if lacking:
+        raise ValueError(f"the batch lacks the columns that say which row of a key is the last: {lacking}")
+    absent = _key_is_null(keys)
+    new = _latest(batch.where(~absent), keys, order).unionByName(batch.where(absent))
+    if target is None:
+        flat = [(F.col(c) if c in batch.columns else F.lit(None)).alias(c) for c in columns]
+        return new.select(*flat, F.lit(False).alias("_stored"), F.lit(True).alias("_arrived"))
+    types = {f.name: f.dataType for f in target.schema.fields}
+    new = new.select(*((F.col(c) if c in batch.columns else F.lit(None)).cast(types[c]).alias(c) for c in columns))
+    salt = F.when(absent, F.xxhash64(*keys, F.monotonically_increasing_id())).otherwise(F.lit(0))
+
+    def side(df: DataFrame, name: str) -> DataFrame:
+        rest = F.struct(*(c for c in columns if c not in keys))
+        return df.select(*keys, salt.alias("_salt"), rest.alias(name))
+
+    both = side(target, "_old").join(side(new, "_new"), [*keys, "_salt"], "full")
+    stored, arrived = F.col("_old").isNotNull(), F.col("_new").isNotNull()
+    from_batch = {c: arrived if c in replace else arrived & ~stored for c in columns if c not in keys}
+    values = [F.when(rule, F.col(f"_new.{c}")).otherwise(F.col(f"_old.{c}")).alias(c) for c, rule in from_batch.items()]
+    return both.select(*keys, *values, stored.alias("_stored"), arrived.alias("_arrived")).select(*columns, "_stored", "_arrived")
+
+
 # --- fixed values: key, replaced and kept columns of the stored tables
 TABLE_RULES = {
     "regions": {
@@ -125,13 +155,10 @@ def upsert_table(name: str, target: DataFrame, batch: DataFrame, **options) -> D
     return upsert(target, batch, **TABLE_RULES[name], **options)
 
 
-def upsert_regions(target: DataFrame, batch: DataFrame, at: Column, run_id: str = "", **options) -> DataFrame:
-    """Regions by (country, level, code): replaces name and geometry and works the centroid out again.
-
-    `batch` needs name, country_code, admin_level, admin_code, geometry and row_idx.
-    """
+def region_rows(batch: DataFrame, at: Column, run_id: str = "") -> DataFrame:
+    """Regions as stored, without their parent. Where a part of the key is NULL the id follows from run and position."""
     keys = TABLE_RULES["regions"]["keys"]
-    rows = batch.withColumns(
+    return batch.withColumns(
         {
             "id": natural_id(*keys, distinguish=(F.lit(run_id), F.col("row_idx"))),
             "centroid": centroid("geometry"),
@@ -139,7 +166,14 @@ def upsert_regions(target: DataFrame, batch: DataFrame, at: Column, run_id: str
             "updated_at": at,
         }
     )
-    return upsert_table("regions", target, rows, **options)
+
+
+def upsert_regions(target: DataFrame, batch: DataFrame, at: Column, run_id: str = "", **options) -> DataFrame:
+    """Regions by (country, level, code): replaces name and geometry and works the centroid out again.
+
+    `batch` needs name, country_code, admin_level, admin_code, geometry and row_idx.
+    """
+    return upsert_table("regions", target, region_rows(batch, at, run_id), **options)
 
 
 def resolve_region_id(rows: DataFrame, regions: DataFrame, how: str = "inner") -> DataFrame:

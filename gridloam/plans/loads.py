@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridloam.functions import formula
@@ -44,8 +44,15 @@ FRONTIER_SOURCE, CLUSTER_SOURCE, OSM_SOURCE = "epoch_ai_frontier", "epoch_ai_gpu
 EPOCH_LICENSE, OSM_LICENSE = "CC-BY-4.0", "ODbL"
 
 
-def _point(epsg: int | None):
-    return to_wgs84(decode_geometry("geometry", "point"), "point", epsg)
+def placed(features: DataFrame, kind: str, epsg: int | None) -> Column:
+    """The geometry in 4326. What the caller names counts first, then the code each feature brings along in a column
+    `epsg`; a feature without either is in 4326 already, and one in any other system fails the run."""
+    decoded = decode_geometry("geometry", kind)
+    if epsg is not None or "epsg" not in features.columns:
+        return to_wgs84(decoded, kind, epsg)
+    code = F.coalesce("epsg", F.lit(4326))
+    refused = F.raise_error(F.concat(F.lit("no conversion to EPSG:4326 from EPSG:"), code)).cast("void")
+    return F.when(code == 4326, decoded).when(code == 3857, to_wgs84(decoded, kind, 3857)).otherwise(refused)
 
 
 def _text(name: str):
@@ -71,7 +78,7 @@ def frontier_rows(features: DataFrame, source_version: str, at: datetime, epsg:
             "status": normalize_status(_text("Status")) if use_status else F.lit("unknown"),
             "power_capacity_mw": _number("Current power (MW)"),
             "h100_equivalent": _number("Current H100 equivalents"),
-            "geometry": _point(epsg),
+            "geometry": placed(features, "point", epsg),
             "citation": _text("citation"),
             "raw_attributes": raw_attributes_json("properties"),
         },
@@ -107,7 +114,7 @@ def cluster_rows(features: DataFrame, source_version: str, at: datetime, epsg: i
             "power_capacity_mw": "power",
             "h100_equivalent": "h100",
             "ops_total": _number("Max OP/s"),
-            "geometry": _point(epsg),
+            "geometry": placed(features, "point", epsg),
             "citation": _text("citation"),
             "raw_attributes": raw_attributes_json("properties"),
         },
@@ -133,7 +140,7 @@ def osm_rows(features: DataFrame, snapshot_date: str, at: datetime, epsg: int |
             "source_id": osm_id("osm_type", "osm_id", "full_id"),
             "name": falsy_to_null("name"),
             "operator": falsy_to_null("operator"),
-            "geometry": _point(epsg),
+            "geometry": placed(features, "point", epsg),
             "raw_tags": raw_attributes_json("properties"),
         },
         {
@@ -167,7 +174,7 @@ def feasibility_features(features: DataFrame, epsg: int | None = None, country:
             "row_idx": "row_idx",
             "name": F.col("county_name"),
             "admin_code": F.col("fips"),
-            "geometry": to_wgs84(decode_geometry("geometry", "multipolygon"), "multipolygon", epsg),
+            "geometry": placed(features, "multipolygon", epsg),
             "value": strict_double("feasibility_ratio", "feasibility_ratio"),
             "category": formula.canonical_category("feasibility_category"),
             "components": components,

@@ -1,17 +1,19 @@
-"""Whole loads into stored tables: check, upsert or append, publish. A load that breaks a rule leaves the table as it was."""
+"""Whole loads into stored tables: check, upsert or append, commit. A load that breaks a rule leaves every table as it was."""
 
 from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gridloam.operators.quality import check_domain, check_unique, domain_rules
-from gridloam.operators.tables import SNAPSHOT_KEYS, TABLE_RULES, append_snapshot, upsert_table
-from gridloam.plans.loads import load_feasibility
+from gridloam.operators.tables import SNAPSHOT_KEYS, TABLE_RULES, check_reference, region_rows, resolve_region_id, snapshot_rows
 from gridloam.session import written
-from gridloam.sources.stored import publish, read_published
+from gridloam.sources.parted import Change, Store
+
+#: Versions of these tables live side by side, so a load of one leaves the others' parts alone.
+LAID_OUT_BY = {"clusters": ["source_version"], "frontier": ["source_version"], "osm": []}
 
 
 def _checked(rows: DataFrame, table: str) -> DataFrame:
@@ -23,49 +25,60 @@ def _checked(rows: DataFrame, table: str) -> DataFrame:
     return rows
 
 
-def _unique(table: str, keys: list[str]):
-    def check(rows: DataFrame) -> None:
-        if not check_unique(rows, keys).isEmpty():
-            raise ValueError(f"{table}: a key is held twice")
+def _unique(keys: dict[str, list[str]]):
+    def check(change: Change) -> None:
+        if not check_unique(change.rows, keys[change.table]).isEmpty():
+            raise ValueError(f"{change.table}: a key is held twice")
 
     return check
 
 
-def _current(spark, path: str, schema) -> DataFrame:
-    try:
-        return read_published(spark, path)
-    except FileNotFoundError:
-        return spark.createDataFrame([], schema)
-
-
-def store_rows(name: str, path: str, batch: DataFrame, rejected: DataFrame | None = None) -> dict[str, int]:
-    """Upsert a batch of `osm`, `clusters` or `frontier` rows into the table at `path` and publish it.
+def store_rows(name: str, store: Store, batch: DataFrame, rejected: DataFrame | None = None, buckets: int = 64) -> dict[str, int]:
+    """Upsert a batch of `osm`, `clusters` or `frontier` rows into the table of that name and commit it.
 
-    Returns the number of rows read, written (one per key) and rejected, and of rows now stored.
+    Returns the number of rows read, written (one per key) and rejected, and of rows now stored. Only the parts of the
+    table that the batch's keys fall into are read and written.
     """
-    spark = batch.sparkSession
-    # The batch is checked, counted and joined: written, its source is read once.
-    batch = written(batch, f"{name}-batch")
-    rows = _checked(batch, f"datacenters_{name}")
-    keys = TABLE_RULES[name]["keys"]
-    target = _current(spark, path, rows.drop("row_idx").schema)
-    publish(upsert_table(name, target, rows), path, _unique(name, keys))
+    read = Observation()
+    # The batch is written once, counted as it passes; what follows reads the copy.
+    rows = _checked(written(batch.observe(read, F.count(F.lit(1)).alias("n")), f"{name}-batch"), f"datacenters_{name}")
+    rules = TABLE_RULES[name]
+    change = store.upsert(name, rows, **rules, by=LAID_OUT_BY[name], buckets=buckets)
+    store.commit(change, check=_unique({name: rules["keys"]}))
     lost = rejected.count() if rejected is not None else 0
-    seen = rows.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(*keys).alias("keys")).first()
-    return {"read": seen["n"] + lost, "written": seen["keys"], "rejected": lost, "stored": read_published(spark, path).count()}
+    return {"read": read.get["n"] + lost, "written": change.counts["batch"], "rejected": lost, "stored": store.count(name)}
+
+
+def store_regions(store: Store, batch: DataFrame, at, run_id: str = "", buckets: int = 64) -> Change:
+    """The change that upserts regions; see `operators.tables.upsert_regions`."""
+    rules = TABLE_RULES["regions"]
+    rows = region_rows(batch, at, run_id).withColumn("parent_region_id", F.lit(None).cast("string"))
+    return store.upsert("regions", _checked(rows, "regions"), **rules, buckets=buckets)
 
 
-def store_feasibility(features: DataFrame, regions_path: str, history_path: str, versions: DataFrame, version: str, at: datetime) -> dict[str, int]:
-    """Upsert the regions of a feature set and append its index values to the published history.
+def store_feasibility(features: DataFrame, store: Store, versions: DataFrame, version: str, at: datetime, buckets: int = 64) -> dict[str, int]:
+    """Upsert the regions of a feature set, append its index values to the history and bring the current values up to
+    date, in one commit: a failure on the way, such as a value of an unknown category, a key held twice or an unregistered
+    version, leaves regions, history and current values as they were.
 
-    Values of an unknown category, a key held twice, or an unregistered version fail the run before anything is published.
+    The history grows by the batch alone, and only the parts of regions and current values that the batch falls into are
+    read and written.
     """
-    spark = features.sparkSession
     features = written(features, "features")
-    regions, values = load_feasibility(features, read_published(spark, regions_path), version, at)
-    regions, values = written(_checked(regions, "regions"), "regions"), written(values, "values")
-    history = _current(spark, history_path, values.schema)
-    fresh = append_snapshot(history, _checked(values, "grid_feasibility"), versions)
-    publish(regions, regions_path, _unique("regions", TABLE_RULES["regions"]["keys"]))
-    publish(history.unionByName(fresh), history_path, _unique("grid_feasibility", SNAPSHOT_KEYS), ("methodology_version",))
-    return {"regions": regions.count(), "appended": fresh.count()}
+    regions = store_regions(store, features.select("row_idx", "name", "country_code", "admin_level", "admin_code", "geometry"), F.lit(at), buckets=buckets)
+    values = features.select("row_idx", "country_code", "admin_level", "admin_code", "value", "category", "components")
+    # Every value's region came with it, so it is among the parts just written.
+    keyed = resolve_region_id(values, regions.rows, "inner")
+    stamped = snapshot_rows(keyed, version, at).select("id", "region_id", "methodology_version", "computed_at", "value", "category", "components")
+    fresh = _checked(written(stamped, "values"), "grid_feasibility")
+    if not check_reference(fresh, "methodology_version", versions, "version").isEmpty():
+        raise ValueError("snapshot names an unregistered methodology version")
+    if store.has("grid_feasibility"):
+        clash = store.clashes("grid_feasibility", fresh, SNAPSHOT_KEYS, "computed_at").first()
+        if clash is not None:
+            raise ValueError(f"snapshot already stored: {clash.asDict()}")
+    history = store.append("grid_feasibility", fresh, "computed_at")
+    current = store.latest("current_feasibility", fresh, ["region_id", "methodology_version"], "computed_at", buckets=buckets)
+    keys = {"regions": TABLE_RULES["regions"]["keys"], "grid_feasibility": SNAPSHOT_KEYS, "current_feasibility": SNAPSHOT_KEYS}
+    store.commit(regions, history, current, check=_unique(keys))
+    return {"regions": store.count("regions"), "appended": fresh.count()}

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridloam.functions.geometry import encode_geometry
+from gridloam.sources.order import numbered, row_numbers
 
 log = logging.getLogger(__name__)
 
@@ -19,8 +20,8 @@ _COLLECTION = f"type string, crs struct<properties:struct<name:string>>, feature
 
 
 def read_collection(spark: SparkSession, path: str) -> DataFrame:
-    """One row per FeatureCollection document. A document is read by one task; large inputs should come
-    as one feature per line instead, see `read_feature_lines`."""
+    """One row per FeatureCollection document. A document is read by one task; for large ones see
+    `split_geojson.read_split_features`, and `read_feature_lines` for one feature per line."""
     return spark.read.schema(_COLLECTION).option("multiLine", True).json(path)
 
 
@@ -31,7 +32,7 @@ def read_features(spark: SparkSession, path: str, expected: int | None = None) -
 
 def features_of(collection: DataFrame) -> DataFrame:
     """The features of each document with their position in it and the EPSG code the document names, if any."""
-    exploded = collection.select(_epsg(F.col("crs.properties.name")).alias("epsg"), F.posexplode("features").alias("row_idx", "f"))
+    exploded = collection.select(epsg_code(F.col("crs.properties.name")).alias("epsg"), F.posexplode("features").alias("row_idx", "f"))
     return exploded.select(F.col("row_idx").cast("bigint").alias("row_idx"), "f.geometry", "f.properties", "epsg")
 
 
@@ -39,8 +40,8 @@ def read_feature_lines(spark: SparkSession, path: str, index_property: str | Non
     """One row per feature from files with one feature per line, split over many tasks.
 
     `row_idx` says which of two rows came later. It is the property named, which every feature must have as a whole
-    number. Where none is named it is derived from the file's name and the line's place among those its task read,
-    which orders the lines of one file as they stand as long as the file is read in the same splits.
+    number. Where none is named it counts the lines that are not blank, from 0 through the files in the order of their
+    paths; the lines are then written once, so that all that follows sees them in the same splits.
 
     A line that is no feature fails the run when it is reached, and so does an input without lines. With `rejects`
     such lines are returned instead, as a second frame of `line` and `reason`; blank lines are neither.
@@ -48,11 +49,11 @@ def read_feature_lines(spark: SparkSession, path: str, index_property: str | Non
     lines = spark.read.text(path).where("trim(value) <> ''")
     if lines.isEmpty():
         raise ValueError("input contains no features")
-    parsed = lines.select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("place"), F.from_json("value", _LINE).alias("f"))
     if index_property is None:
-        index = F.col("place")
+        lines, index = row_numbers(numbered(lines, "lines")), F.col("row_idx")
     else:
         index = F.get_json_object("f.properties", f"$['{index_property}']").try_cast("bigint")
+    parsed = lines.withColumn("f", F.from_json("value", _LINE))
     reason = (
         F.when(F.try_parse_json("value").isNull(), "no JSON")
         .when(F.coalesce(F.col("f.type"), F.lit("")) != "Feature", "not a Feature")
@@ -82,7 +83,7 @@ def check_collection(collection: DataFrame, expected: int | None = None) -> Data
     return collection
 
 
-def _epsg(name):
+def epsg_code(name):
     """EPSG code of a coordinate system's name. CRS84 is 4326 with the same axis order; an odd name fails the run."""
     code = F.regexp_extract(name, r":(\d+)$", 1).try_cast("int")
     known = F.when(F.upper(name).endswith("CRS84"), F.lit(4326)).otherwise(code)
@@ -94,7 +95,7 @@ def epsg_of(collection: DataFrame) -> int | None:
 
     Documents with different codes, or some with one and some without, are refused: `features_of` keeps the code of each.
     """
-    rows = collection.select(_epsg(F.col("crs.properties.name")).alias("epsg")).distinct().limit(2).collect()
+    rows = collection.select(epsg_code(F.col("crs.properties.name")).alias("epsg")).distinct().limit(2).collect()
     if len(rows) > 1:
         raise ValueError("documents with different coordinate systems must be read apart")
     return rows[0]["epsg"] if rows else None
