@@ -39,7 +39,10 @@ def _doubled(messages: DataFrame) -> list[DataFrame]:
     the last of them, `dist` their number, `total` the sum of their scores, `anc` the message after them, NULL past the
     root. In the last frame only messages on or below a cycle of answers still have one."""
     known = messages.select(F.col("id").alias("_known"))
-    own = messages.join(known, (F.col("parent") == F.col("_known")) & (F.col("parent") != F.col("id")), "left")
+    answers = F.col("parent").isNotNull() & (F.col("parent") != F.col("id"))
+    # Messages that answer nothing stay out of the joins, so that no NULL is a hot key.
+    own = messages.where(answers).join(known, F.col("parent") == F.col("_known"), "left")
+    own = own.unionByName(messages.where(~answers).withColumn("_known", F.lit(None).cast(messages.schema["id"].dataType)))
     first = own.select("id", F.col("_known").alias("anc"), F.col("id").alias("top"), F.lit(1).cast("long").alias("dist"), F.col("score").alias("total"))
     frames, before = [written(first, "replies")], -1
     while True:
@@ -49,7 +52,6 @@ def _doubled(messages: DataFrame) -> list[DataFrame]:
             return frames
         before = open_rows
         up = now.select(F.col("id").alias("_id"), F.col("anc").alias("_anc"), F.col("top").alias("_top"), F.col("dist").alias("_dist"), F.col("total").alias("_total"))
-        # Roots and what has reached one stay out of the join, so that their NULLs are no hot key.
         moved = now.where("anc IS NOT NULL").join(up, F.col("anc") == F.col("_id"))
         moved = moved.select("id", F.col("_anc").alias("anc"), F.col("_top").alias("top"), (F.col("dist") + F.col("_dist")).alias("dist"), (F.col("total") + F.col("_total")).alias("total"))
         frames.append(written(now.where("anc IS NULL").unionByName(moved), "replies"))
