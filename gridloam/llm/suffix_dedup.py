@@ -13,6 +13,7 @@ import zlib
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, VariantType
 
 from gridloam.llm.batches import mixed, slices, text_bytes
-from gridloam.operators.skew import fits_broadcast
+from gridloam.operators.skew import fits_broadcast, lookup_join
 from gridloam.session import written
 
 WINDOW = 400
@@ -36,6 +37,7 @@ RUN_SUFFIXES = 30_000
 SAMPLE_PER_RANGE = 20
 POSTINGS_PER_BUCKET = 500_000
 SLICE_BYTES = 2 << 20
+BLOCK_BYTES = 256 << 10
 STEP = np.uint64(0xC2B2AE3D27D4EB4F)
 STEP_BACK = np.uint64(pow(int(STEP), -1, 1 << 64))
 BYTES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -65,7 +67,20 @@ def _sliding(values: np.ndarray, width: int, best: np.ufunc, last: np.uint64) ->
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places in `data` of the anchors of all windows that lie inside one text, and their hashes."""
+    """Places in `data` of the anchors of all windows that lie inside one text, and their hashes. Worked out in blocks
+    that overlap by a window, so that memory is bounded however long a text is."""
+    places, found = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    for begin in range(0, len(data) - WINDOW + 1, BLOCK_BYTES):
+        block = data[begin : begin + BLOCK_BYTES + WINDOW - 1]
+        at, hashes = _block_anchors(block, np.clip(offsets - begin, 0, len(block)))
+        places.append(at + begin)
+        found.append(hashes)
+    at, first = np.unique(np.concatenate(places), return_index=True)
+    return at, np.concatenate(found)[first]
+
+
+def _block_anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As `anchors`, of one block."""
     n = len(data)
     if n < WINDOW:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
@@ -302,7 +317,8 @@ def resolved(group: list[Suffix], shared: list[int]) -> Iterator[tuple[Suffix, i
             for o in range(low, high + 1):
                 asked.setdefault(o, []).append(i)
     for o, who in asked.items():
-        seen = Counter(window_of(s, o) for s in heads if s[3] >= o and s[4] >= SIDE - o)
+        # No head agrees with another further than with its neighbours, so few can hold a repeated window here.
+        seen = Counter(window_of(s, o) for s, right, left in zip(heads, most_right, most_left) if left >= o and right >= SIDE - o)
         for i in who:
             # A head with copies counts once here; one without needs any other head.
             if seen[window_of(heads[i], o)] > 1:
@@ -391,9 +407,13 @@ def _near(s: Suffix, right: int, left: int, most: int) -> tuple:
     return ("near", s[1], s[2], SIDE - right if fits else 1, left if fits else 0, most, None)
 
 
-def _bounds(sample: list[Suffix], parts: int) -> list[Suffix]:
-    sample = sorted(set(sample))
-    return sorted({sample[len(sample) * k // parts] for k in range(1, parts)}) if sample else []
+def _bounds(sample: DataFrame, parts: int) -> list[Suffix]:
+    """Suffixes that part a sample into about `parts` ranges of like size. The sample is sorted by Spark, and only every
+    so many of it comes to the driver."""
+    ordered = sample.distinct().orderBy("suffix", "text_key", "place").withColumn("nth", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
+    some = ordered.where(F.col("nth") % SAMPLE_PER_RANGE == SAMPLE_PER_RANGE // 2).collect()
+    picked = sorted((bytes(r["suffix"]), r["text_key"], r["place"], r["a"], r["b"]) for r in some)
+    return sorted({picked[len(picked) * k // parts] for k in range(1, parts)}) if picked else []
 
 
 def _over_ranges(passed: DataFrame, parts: int) -> DataFrame:
@@ -428,38 +448,39 @@ def _over_ranges(passed: DataFrame, parts: int) -> DataFrame:
             for key, place, right, r1, most_left, r2 in b[["text_key", "place", "right", "right_ranges", "left", "left_ranges"]].itertuples(index=False, name=None):
                 ranges = {(r["a"], r["b"]) for rs in (r1, r2) if rs is not None for r in rs}
                 right, most_left = (0 if v is None or v != v else int(v) for v in (right, most_left))
-                out += [(key, place, lo, hi, False) for lo, hi in ranges]
-                out += [(key, place, lo, hi, True) for lo, hi in gaps(ranges, SIDE - right, most_left)]
-            yield pd.DataFrame(out, columns=["text_key", "place", "low", "high", "open"])
-
-    judged = written(both.mapInPandas(judge, "text_key long, place long, low int, high int, open boolean"), "judged")
-    cover = judged.where("NOT open").select("text_key", (F.col("place") - F.col("high")).alias("start"), (F.col("place") - F.col("low") + WINDOW).alias("end"))
-    anchored = suffixes.withColumn("anchor", F.sha2(F.expr(f"substring(suffix, 1, {ANCHOR})"), 256))
-    asked = judged.where("open").join(anchored.select("text_key", "place", "anchor"), ["text_key", "place"]).groupBy("anchor").agg(F.min("low").alias("low"), F.max("high").alias("high"))
-    if not asked.limit(1).count():
+                out += [(key, place, lo, hi, "cover") for lo, hi in ranges]
+                out += [(key, place, lo, hi, "open") for lo, hi in gaps(ranges, SIDE - right, most_left)]
+                if SIDE - right <= most_left:
+                    out.append((key, place, SIDE - right, most_left, "fits"))
+            yield pd.DataFrame(out, columns=["text_key", "place", "low", "high", "kind"])
+
+    judged = written(both.mapInPandas(judge, "text_key long, place long, low int, high int, kind string"), "judged")
+    cover = judged.where("kind = 'cover'").select("text_key", (F.col("place") - F.col("high")).alias("start"), (F.col("place") - F.col("low") + WINDOW).alias("end"))
+    anchored = suffixes.select("text_key", "place", "suffix", F.md5(F.expr(f"substring(suffix, 1, {ANCHOR})")).alias("anchor"))
+    # The windows asked for, at most 201 of an anchor, and only from suffixes that agree with a neighbour that far.
+    asked = judged.where("kind = 'open'").join(anchored.select("text_key", "place", "anchor"), ["text_key", "place"]).select("anchor", F.explode(F.sequence("low", "high")).alias("o")).distinct()
+    asked = written(asked.groupBy("anchor").agg(F.collect_set("o").alias("asked")), "asked")
+    if asked.isEmpty():
         return cover
-    span = anchored.join(asked, "anchor").select("*", F.greatest(F.col("low"), SIDE - F.col("b")).cast("int").alias("first"), F.least("high", "a").cast("int").alias("last")).where("first <= last")
-    opened = span.withColumn("o", F.explode(F.sequence("first", "last")))
-    windows = opened.mapInPandas(_windows, "suffix binary, text_key long, place long, a long, b long")
-
-    def twice(bounds: list[Suffix]):
-        def found(group: pd.DataFrame) -> pd.DataFrame:
-            out, before = [], None
-            for k, s, _ in in_order(group, bounds, WINDOW):
-                if before is not None and k == WINDOW:
-                    out += [(x[1], x[2], x[2] + WINDOW) for x in (before, s)]
-                before = s
-            return pd.DataFrame(out, columns=["text_key", "start", "end"])
-
-        return found
-
-    return cover.unionByName(_resorted(windows, parts, twice, "text_key long, start long, end long", WINDOW))
+    fits = judged.where("kind = 'fits'").join(anchored, ["text_key", "place"])
+    wanted = F.filter("asked", lambda o: o.between(F.col("low"), F.col("high")))
+    spread = lookup_join(fits, asked, ["anchor"], "inner").select("suffix", "text_key", "place", wanted.alias("wanted")).where(F.size("wanted") > 0)
+    windows = spread.repartition("text_key", "place").mapInPandas(_windows, "window binary, text_key long, start long")
+    windows = written(windows.distinct(), "windows")
+    twice = windows.groupBy("window").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("window")
+    held = lookup_join(windows, twice, ["window"], "left_semi")
+    return cover.unionByName(held.select("text_key", "start", (F.col("start") + WINDOW).alias("end")))
 
 
 def _windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """128-bit hashes of the wanted windows around each suffix's anchor, and where they start."""
     for b in batches:
-        keys = [s[WINDOW : WINDOW + o][::-1] + s[: WINDOW - o] for s, o in zip(b["suffix"], b["o"])]
-        yield pd.DataFrame({"suffix": keys, "text_key": b["text_key"], "place": b["place"] - b["o"], "a": 0, "b": 0})
+        out = [
+            (blake2b(s[WINDOW : WINDOW + o][::-1] + s[: WINDOW - o], digest_size=16).digest(), key, place - o)
+            for s, key, place, wanted in zip(map(bytes, b["suffix"]), b["text_key"], b["place"], b["wanted"])
+            for o in map(int, wanted)
+        ]
+        yield pd.DataFrame(out, columns=["window", "text_key", "start"])
 
 
 def _resorted(rows: DataFrame, parts: int, handle, schema: str, length: int) -> DataFrame:
@@ -468,8 +489,7 @@ def _resorted(rows: DataFrame, parts: int, handle, schema: str, length: int) ->
     if parts > 1:
         n = max(rows.count(), 1)
         share = SAMPLE_PER_RANGE * parts / n
-        sample = rows.where(F.pmod(F.xxhash64("text_key", "place"), F.lit(1 << 20)) < F.lit(share * (1 << 20))).collect()
-        bounds = _bounds([(bytes(r["suffix"]), r["text_key"], r["place"], r["a"], r["b"]) for r in sample], parts)
+        bounds = _bounds(rows.where(F.pmod(F.xxhash64("text_key", "place"), F.lit(1 << 20)) < F.lit(share * (1 << 20))), parts)
 
     def runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         suffixes = ((bytes(s), *ids) for b in batches for s, *ids in b[["suffix", "text_key", "place", "a", "b"]].itertuples(index=False, name=None))
@@ -513,8 +533,7 @@ def repeated_stretches(docs: DataFrame, text: str = "text", *, range_suffixes: i
     if parts > 1:
         share = SAMPLE_PER_RANGE * parts / n
         some = grouped(candidates.where(F.pmod(F.xxhash64("text_key", "place"), F.lit(1 << 20)) < F.lit(share * (1 << 20))))
-        taken = with_text(some).mapInArrow(_plain, "suffix binary, text_key long, place long, a long, b long").distinct().collect()
-        bounds = _bounds([(bytes(r["suffix"]), r["text_key"], r["place"], r["a"], r["b"]) for r in taken], parts)
+        bounds = _bounds(with_text(some).mapInArrow(_plain, "suffix binary, text_key long, place long, a long, b long"), parts)
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [c.split()[0] for c in BLOB.split(", ")]

@@ -134,6 +134,35 @@ def test_repeats_match_brute_force(spark, seed, range_suffixes):
         assert (n, n - len(r["kept"]), len(r["spans"]), hashlib.sha256(r["kept"]).hexdigest()) == want[r["i"]], r["i"]
 
 
+def test_anchors_do_not_depend_on_blocks(monkeypatch):
+    rng = np.random.default_rng(1)
+    data = rng.integers(97, 101, 20_000).astype(np.uint8)
+    offsets = np.array([0, 300, 300, 9_000, 9_450, 20_000])
+    whole = suffix_dedup.anchors(data, offsets)
+    for size in (1, 37, 400, 5_000):
+        monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", size)
+        assert all((a == b).all() for a, b in zip(whole, suffix_dedup.anchors(data, offsets)))
+
+
+@pytest.mark.parametrize("range_suffixes", [15, 40])
+def test_a_hot_line_over_several_ranges(spark, range_suffixes):
+    """Texts round one line, whose surroundings agree in part: windows around it that no two neighbours settle."""
+    rng = random.Random(range_suffixes)
+    line = "".join(rng.choices("abcdefgh", k=300))
+    left = ["".join(rng.choices("ijkl", k=200)) for _ in range(4)]
+    right = ["".join(rng.choices("mnop", k=200)) for _ in range(4)]
+    texts = []
+    for i in range(150):
+        k, m = rng.randrange(20, 130), rng.randrange(20, 130)
+        texts.append("".join(rng.choices("qrst", k=40)) + rng.choice(left)[-k:] + line + rng.choice(right)[:m] + "".join(rng.choices("uvwx", k=40)))
+    texts += texts[:20]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = suffix_dedup.without_repeats(df, range_suffixes=range_suffixes).orderBy("doc_id").collect()
+    want = plain_repeats(texts)
+    for r, (n, gone, spans, kept) in zip(got, want):
+        assert (sum(s["end"] - s["start"] for s in r["spans"]), len(r["spans"]), hashlib.sha256(bytes(r["kept"])).hexdigest()) == (gone, spans, kept)
+
+
 def test_repeats_in_odd_rows(spark, odd_documents):
     rows = suffix_dedup.without_repeats(odd_documents).collect()
     want = dict(zip([(r["doc_id"], r["text"]) for r in rows], plain_repeats([r["text"] for r in rows])))
