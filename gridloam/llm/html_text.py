@@ -27,6 +27,11 @@ CLOSED_BY = {  # an open element, and the tags whose start ends it
     "tr": {"tr", "tbody", "tfoot", "thead"}, "thead": {"tbody", "tfoot"}, "tbody": {"tbody", "tfoot"}, "caption": {"tr", "tbody", "thead", "tfoot"},
 }
 FENCES = {"li": {"ul", "ol"}, "dt": {"dl"}, "dd": {"dl"}, "td": {"table"}, "th": {"table"}, "tr": {"table"}, "thead": {"table"}, "tbody": {"table"}, "caption": {"table"}, "option": {"select"}}
+LISTS, CELLS = ("table", "ul", "ol", "dl"), ("table", "td", "th")
+# End tags that reach out of a table cell.
+ENDS_CELLS = set("table tr tbody thead tfoot div html body".split())
+# For a start tag that ends open elements: those, and the elements at which looking for them stops.
+MATTERS = {tag: {t for t, by in CLOSED_BY.items() if tag in by} | {*LISTS} | FENCES.get(tag, set()) for tag in set().union(*CLOSED_BY.values())}
 HEAD_ONLY = set("meta link base title style script noscript template".split())
 
 # Parts of drawings and formulas that are not shown, and those whose content is HTML again.
@@ -57,10 +62,11 @@ LINE, SPACE = object(), object()
 class Node:
     """An element. `space` and `inside` say what it and its content are part of: svg, label (text of an svg), math, or None for HTML."""
 
-    __slots__ = ("tag", "children", "hidden", "parent", "space", "inside")
+    __slots__ = ("tag", "children", "hidden", "parent", "space", "inside", "depth")
 
     def __init__(self, tag: str, parent: Node | None, hidden: bool, space: str | None = None, inside: str | None = None) -> None:
         self.tag, self.parent, self.hidden, self.children, self.space, self.inside = tag, parent, hidden, [], space, inside
+        self.depth = 0 if parent is None else parent.depth + 1
         if parent is not None:
             parent.children.append(self)
 
@@ -90,51 +96,113 @@ def _hides(source: str) -> bool:
     return any((name, value) in HIDING for name, (_, value) in style.items())
 
 
+class Tree:
+    """A page's tree while it is built: its nodes, the element parsing is in, and the open elements by tag, so that none
+    is looked at but those a tag has to do with. An element is opened once and ended once, at any depth."""
+
+    def __init__(self) -> None:
+        self.nodes = [Node("html", None, False)]
+        self.top = self.nodes[0]
+        self.open: dict[str, list[Node]] = {}
+        self.foreign: list[Node] = []
+
+    def add(self, node: Node, enter: bool) -> None:
+        self.nodes.append(node)
+        if enter:
+            self.top = node
+            self.open.setdefault(node.tag, []).append(node)
+            if node.space:
+                self.foreign.append(node)
+
+    def leave_to(self, top: Node) -> None:
+        """Parsing goes on in `top`, an open element; all inside it end."""
+        while self.top is not top:
+            self.open[self.top.tag].pop()
+            if self.top.space:
+                self.foreign.pop()
+            self.top = self.top.parent
+
+    def up(self) -> None:
+        if self.top.parent is not None:
+            self.leave_to(self.top.parent)
+
+    def close(self, tag: str) -> None:
+        """An end tag: its nearest open element ends, a stray one changes nothing."""
+        if not (own := self.open.get(tag)):
+            return
+        node = own[-1]
+        if tag not in ENDS_CELLS and any(s[-1].depth > node.depth for t in CELLS if (s := self.open.get(t))):
+            return
+        self.leave_to(node.parent)
+
+    def imply(self, tag: str) -> None:
+        """End and supply what a start tag implies."""
+        if self.top.tag == "head" and tag not in HEAD_ONLY:
+            self.up()
+        # The open elements that matter to this tag, from the inside; each is passed once, unless it is a fence.
+        stacks = {t: len(s) for t in MATTERS.get(tag, ()) if (s := self.open.get(t))}
+        limit = self.foreign[-1].depth if self.foreign else 0
+        top = self.top
+        while stacks:
+            t = max(stacks, key=lambda t: self.open[t][stacks[t] - 1].depth)
+            at = self.open[t][stacks[t] - 1]
+            if at.depth <= limit:
+                break
+            stacks[t] -= 1
+            if not stacks[t]:
+                del stacks[t]
+            if tag in CLOSED_BY.get(at.tag, ()):
+                top = at.parent
+            if tag in CLOSED_BY and at.tag in FENCES.get(tag, ()) or at.tag in LISTS and at is not top:
+                break
+        self.leave_to(top)
+        if tag in ("td", "th") and top.tag in ("table", "tbody", "thead", "tfoot"):
+            self.add(Node("tr", top, False), True)
+
+
 def parsed(page: str) -> list[Node]:
     """The nodes of a page's tree, parents before children. Unclosed and stray tags are mended as browsers do."""
-    nodes = [Node("html", None, False)]
-    top, at = nodes[0], 0
+    tree, at = Tree(), 0
     while m := TOKEN.match(page, at):
         at = m.end()
         tag = m[2] and m[2].lower()
         if not tag:
-            if top.inside and m[0].startswith("<![CDATA["):
+            if tree.top.inside and m[0].startswith("<![CDATA["):
                 end = page.find("]]>", m.start())
                 text, at = (page[m.start() + 9 :], len(page)) if end < 0 else (page[m.start() + 9 : end], end + 3)
             elif m[0][0] != "<" or m[0] == "<":
                 text = html.unescape(m[0])
             else:
                 continue
-            if top.tag == "head" and text.strip():
-                top = top.parent
+            if tree.top.tag == "head" and text.strip():
+                tree.up()
             # A drawing shows the text of its labels only.
-            if top.inside != "svg":
-                top.children.append(text)
+            if tree.top.inside != "svg":
+                tree.top.children.append(text)
         elif m[1]:
-            top = _closed(top, tag)
-        elif top.inside and tag not in BREAKOUT or tag in ("svg", "math"):
-            top = _foreign(top, tag, m[3], nodes)
+            tree.close(tag)
+        elif tree.top.inside and tag not in BREAKOUT or tag in ("svg", "math"):
+            _foreign(tree, tag, m[3])
         elif tag not in ("html", "body"):
-            while top.inside:
-                top = top.parent
-            top = _implied(top, tag, nodes)
-            node = Node(tag, top, tag in HIDDEN or _hides(m[3]))
-            nodes.append(node)
+            while tree.top.inside:
+                tree.up()
+            tree.imply(tag)
+            node = Node(tag, tree.top, tag in HIDDEN or _hides(m[3]))
+            tree.add(node, tag not in RAW and tag not in VOID)
             if tag in RAW:
                 end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>|\Z", re.I).search(page, at)
                 node.children.append(html.unescape(page[at : end.start()]) if tag == "textarea" else page[at : end.start()])
                 at = end.end()
-            elif tag not in VOID:
-                top = node
-        elif top.tag == "head":
-            top = top.parent
-    return nodes
+        elif tree.top.tag == "head":
+            tree.up()
+    return tree.nodes
 
 
-def _foreign(top: Node, tag: str, source: str, nodes: list[Node]) -> Node:
-    """Add an element of a drawing or a formula, and give the element that parsing goes on in."""
-    if not top.inside:
-        top = _implied(top, tag, nodes)
+def _foreign(tree: Tree, tag: str, source: str) -> None:
+    """Add an element of a drawing or a formula, and go on in it unless it is closed at once."""
+    if not tree.top.inside:
+        tree.imply(tag)
+    top = tree.top
     space = top.inside or tag
     found = attributes_of(source)
     hidden = tag in HIDDEN_IN[space] or _hides(source) or space != "math" and any(found.get(k, "").strip().lower() == v for k, v in HIDING)
@@ -147,39 +215,8 @@ def _foreign(top: Node, tag: str, source: str, nodes: list[Node]) -> Node:
         inside = "svg"
     elif space == "label" and tag == "tspan" and ("x" in found or "y" in found):
         top.children.append(" ")
-    node = Node(tag, top, hidden, space, inside)
-    nodes.append(node)
     closed = source.endswith("/") and not any(m.end() == len(source) for m in ATTRIBUTE.finditer(source))
-    return top if closed else node
-
-
-def _closed(top: Node, tag: str) -> Node:
-    """Where parsing goes on after an end tag: its nearest open element ends, a stray one changes nothing."""
-    at = top
-    while at.parent is not None:
-        if at.tag == tag:
-            return at.parent
-        if at.tag in ("table", "td", "th") and tag not in ("table", "tr", "tbody", "thead", "tfoot", "div", "html", "body"):
-            return top
-        at = at.parent
-    return top
-
-
-def _implied(top: Node, tag: str, nodes: list[Node]) -> Node:
-    """The element a start tag opens in, after ending and supplying what HTML implies."""
-    if top.tag == "head" and tag not in HEAD_ONLY:
-        top = top.parent
-    at = top
-    while at.parent is not None and not at.space:
-        if tag in CLOSED_BY.get(at.tag, ()):
-            top = at.parent
-        if tag in CLOSED_BY and at.tag in FENCES.get(tag, ()) or at.tag in ("table", "ul", "ol", "dl") and at is not top:
-            break
-        at = at.parent
-    if tag in ("td", "th") and top.tag in ("table", "tbody", "thead", "tfoot"):
-        top = Node("tr", top, False)
-        nodes.append(top)
-    return top
+    tree.add(Node(tag, top, hidden, space, inside), not closed)
 
 
 def lines_of(pieces: list) -> list[str]:
