@@ -14,6 +14,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridloam.operators.skew import lookup_join
+from gridloam.session import written
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Rules are given as a list on the driver; with this many their index (some 200 bytes a rule) still fits a broadcast.
 MOST_RULES = 200_000
@@ -111,8 +114,9 @@ def judged(urls: DataFrame, path_rules: list[Rule], pattern_rules: list[Rule] =
     fitting = candidates.where(F.expr("regexp_like(CASE WHEN by_path THEN place ELSE low END, pattern)"))
     by_path = F.when(F.col("by_path"), F.struct(F.length("rule").alias("n"), "rule", "rule_verdict"))
     found = fitting.groupBy("url").agg(F.max(by_path).alias("_llm_best"), F.max(F.when(~F.col("by_path"), F.col("rule_verdict"))).alias("_llm_method"))
-    found = found.select(F.col("url").alias("_llm_url"), "_llm_best", "_llm_method")
+    found = written(found.select(F.col("url").alias("_llm_url"), "_llm_best", "_llm_method"), "url-verdicts")
     host, path = host_and_path(F.col(f"`{url}`"))
-    joined = urls.withColumns({"host": host, "path": path}).join(found, F.col(f"`{url}`") == F.col("_llm_url"), "left")
+    # Rows without a URL and copies of a frequent one are dealt over many tasks, or meet the verdicts where they are.
+    joined = lookup_join(urls.withColumns({"host": host, "path": path, "_llm_url": F.col(f"`{url}`")}), found, ["_llm_url"], "left")
     out = joined.withColumns({"rule": F.col("_llm_best.rule"), "verdict": F.coalesce(F.col("_llm_best.rule_verdict"), F.col("_llm_method"), F.lit("allow"))})
     return out.drop("_llm_url", "_llm_best", "_llm_method")
