@@ -38,6 +38,7 @@ SAMPLE_PER_RANGE = 20
 POSTINGS_PER_BUCKET = 500_000
 SLICE_BYTES = 2 << 20
 BLOCK_BYTES = 256 << 10
+WINDOWS_AT_ONCE = 20_000
 STEP = np.uint64(0xC2B2AE3D27D4EB4F)
 STEP_BACK = np.uint64(pow(int(STEP), -1, 1 << 64))
 BYTES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
@@ -465,7 +466,7 @@ def _over_ranges(passed: DataFrame, parts: int) -> DataFrame:
     fits = judged.where("kind = 'fits'").join(anchored, ["text_key", "place"])
     wanted = F.filter("asked", lambda o: o.between(F.col("low"), F.col("high")))
     spread = lookup_join(fits, asked, ["anchor"], "inner").select("suffix", "text_key", "place", wanted.alias("wanted")).where(F.size("wanted") > 0)
-    windows = spread.repartition("text_key", "place").mapInPandas(_windows, "window binary, text_key long, start long")
+    windows = spread.repartition(parts, "text_key", "place").mapInPandas(_windows, "window binary, text_key long, start long")
     windows = written(windows.distinct(), "windows")
     twice = windows.groupBy("window").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("window")
     held = lookup_join(windows, twice, ["window"], "left_semi")
@@ -473,14 +474,15 @@ def _over_ranges(passed: DataFrame, parts: int) -> DataFrame:
 
 
 def _windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """128-bit hashes of the wanted windows around each suffix's anchor, and where they start."""
+    """128-bit hashes of the wanted windows around each suffix's anchor, and where they start; a bounded number at a time."""
+    names, out = ["window", "text_key", "start"], []
     for b in batches:
-        out = [
-            (blake2b(s[WINDOW : WINDOW + o][::-1] + s[: WINDOW - o], digest_size=16).digest(), key, place - o)
-            for s, key, place, wanted in zip(map(bytes, b["suffix"]), b["text_key"], b["place"], b["wanted"])
-            for o in map(int, wanted)
-        ]
-        yield pd.DataFrame(out, columns=["window", "text_key", "start"])
+        for s, key, place, wanted in zip(map(bytes, b["suffix"]), b["text_key"], b["place"], b["wanted"]):
+            out += [(blake2b(s[WINDOW : WINDOW + o][::-1] + s[: WINDOW - o], digest_size=16).digest(), key, place - o) for o in wanted.tolist()]
+            if len(out) >= WINDOWS_AT_ONCE:
+                yield pd.DataFrame(out, columns=names)
+                out = []
+    yield pd.DataFrame(out, columns=names)
 
 
 def _resorted(rows: DataFrame, parts: int, handle, schema: str, length: int) -> DataFrame:
