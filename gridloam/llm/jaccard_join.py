@@ -2,7 +2,8 @@
 
 Under any one order of all tokens, two sets that are similar enough share a token among the first few of each. The
 first order puts tokens that many documents hold last (frequencies come from a counting sketch over all documents)
-and gives the candidate pairs; two further orders must agree before the sets themselves are compared. Documents
+and gives the candidate pairs. Every set carries its first tokens under two further orders along; a pair that does not
+meet under both of them as well is dropped before any set is fetched. Documents
 with equal sets are one class, and pairs within a component already found are not compared again, so that a group of n
 copies costs n, not n * n; no link between different components is left out.
 """
@@ -32,7 +33,7 @@ COUNTER_BITS, SLICE_BITS = 22, 16
 # A sketch has at least as many bins, and otherwise a half to a quarter of its set's tokens.
 BINS = 256
 # Neighbours in size are compared first, for the first tokens of each set only; the rest is for the second pass.
-FIRST_TOKENS = 8
+FIRST_TOKENS = 4
 POSTINGS_PER_BUCKET = 500_000
 ORDERS = (np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25), np.uint64(0xD1B54A32D192ED03))
 
@@ -166,14 +167,27 @@ def _sets_of(docs: DataFrame, members: DataFrame, keys: DataFrame) -> DataFrame:
     return texts.mapInArrow(made, "key long, tokens binary")
 
 
+def first_tokens(found: np.ndarray, start: np.ndarray) -> list[bytes]:
+    """The first tokens of each set under the second and then the third order, sorted, 32 bits of each."""
+    out = []
+    stirred = mixed(found ^ ORDERS[1])
+    for i, j in zip(start.tolist(), start[1:].tolist()):
+        p = int(prefix_length(np.int64(j - i))) if j > i else 0
+        orders = (stirred[i:j], mixed(stirred[i:j] ^ ORDERS[2])) if p else ()
+        out.append(b"".join(np.sort(np.partition(x, p - 1)[:p] >> np.uint64(32)).astype(np.uint32).tobytes() for x in orders))
+    return out
+
+
+def meet_under_all(a: bytes, b: bytes) -> bool:
+    """Whether two sets' first tokens meet under the second and under the third order. 32 bits may make them seem to."""
+    x, y = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
+    p, q = len(x) // 2, len(y) // 2
+    return all(not set(x[i].tolist()).isdisjoint(y[j].tolist()) for i, j in ((slice(0, p), slice(0, q)), (slice(p, None), slice(q, None))))
+
+
 def similar(a: bytes, b: bytes) -> bool:
-    """Whether two sets are similar: tokens shared by the prefixes of the second and third order, then all counted."""
+    """Whether two whole sets are similar."""
     x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
-    p, q = prefix_length(len(x)), prefix_length(len(y))
-    if set(x[:p].tolist()).isdisjoint(y[:q].tolist()):
-        return False
-    if set(np.partition(mixed(x ^ ORDERS[2]), p - 1)[:p].tolist()).isdisjoint(np.partition(mixed(y ^ ORDERS[2]), q - 1)[:q].tolist()):
-        return False
     common = len(np.intersect1d(x, y, assume_unique=True))
     return 100 * common >= PERCENT * (len(x) + len(y) - common)
 
@@ -211,12 +225,14 @@ def may_be_similar(a: bytes, b: bytes) -> bool:
 
 
 def _possible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Of candidate pairs those that meet under all orders, and whose sketches allow them to be similar."""
+
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield b.loc[[may_be_similar(*r) for r in zip(b["a"], b["b"])], ["u", "v"]]
+            yield b.loc[[meet_under_all(x, y) and may_be_similar(s, t) for x, y, s, t in zip(b["fa"], b["fb"], b["a"], b["b"])], ["u", "v"]]
 
-    left = classes.select(F.col("key").alias("u"), F.col("sketch").alias("a"))
-    right = classes.select(F.col("key").alias("v"), F.col("sketch").alias("b"))
+    left = classes.select(F.col("key").alias("u"), F.col("sketch").alias("a"), F.col("firsts").alias("fa"))
+    right = classes.select(F.col("key").alias("v"), F.col("sketch").alias("b"), F.col("firsts").alias("fb"))
     return pairs.join(left, "u").join(right, "v").mapInPandas(check, "u long, v long")
 
 
@@ -262,14 +278,14 @@ def _linked(docs: DataFrame, id_column: str, text: str) -> DataFrame:
         for whole in batches:
             for b in slices(whole, "text"):
                 found, start, size, key = ordered_sets(b.column("text"), shared.value)
-                yield pa.RecordBatch.from_arrays([b.column("id"), b.column("row"), pa.array(size, pa.int64()), pa.array(key, pa.int64()), pa.array(sketches(found, start), pa.binary())], ["id", "row", "n_shingles", "key", "sketch"])
+                yield pa.RecordBatch.from_arrays([b.column("id"), b.column("row"), pa.array(size, pa.int64()), pa.array(key, pa.int64()), pa.array(sketches(found, start), pa.binary()), pa.array(first_tokens(found, start), pa.binary())], ["id", "row", "n_shingles", "key", "sketch", "firsts"])
 
-    members = written(rows.mapInArrow(classed, f"id {id_type}, row long, n_shingles long, key long, sketch binary"), "members")
+    members = written(rows.mapInArrow(classed, f"id {id_type}, row long, n_shingles long, key long, sketch binary, firsts binary"), "members")
     buckets = max(1, -(-total // (4 * POSTINGS_PER_BUCKET)))
     postings = rows.select("text").mapInArrow(_postings(shared, buckets), "bucket int, token binary, key binary, size binary, rank binary, hot binary")
     live = written(postings.groupBy("bucket").applyInPandas(_shared, "token long, key long, size int, rank int, before long, size_before int"), "postings")
 
-    sketched = members.join(live.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.first("sketch").alias("sketch"))
+    sketched = members.join(live.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.first("sketch").alias("sketch"), F.first("firsts").alias("firsts"))
     sketched = written(sketched, "sketches")
     near = live.where("before != key").where(_near_in_size("size", "size_before"))
     first = written(_possible(near.select(F.least("key", "before").alias("u"), F.greatest("key", "before").alias("v")).distinct(), sketched), "pairs")
