@@ -13,7 +13,7 @@ from gridloam.llm.quality import fit_quality, quality_of
 from gridloam.llm.queries import BPE_VOCABULARY, QUALITY_THRESHOLD, held_out, table
 from gridloam.llm.shipping import ship
 from gridloam.llm.suffix_dedup import with_repeats_cut
-from gridloam.session import written
+from gridloam.session import fresh_path, remove, scratch
 
 #: No single SQL statement can express training, suffix sorting and packing; tests hold each stage against brute force.
 ORACLE_SQL = None
@@ -60,8 +60,16 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`, each result written to the shared folder and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over `documents`, each result written to the shared folder and read again. What a stage has written on
+    its way is removed with the end of the stage, and its input, where an earlier stage wrote it, too; the last stage's
+    stays, for its rows are made when they are asked for."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
+        path = fresh_path(spark, name)
+        with scratch(spark):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
+        if before is not None:
+            remove(spark, before)
+        docs, before = spark.read.schema(out.schema).parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)

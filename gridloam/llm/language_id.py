@@ -18,9 +18,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-LETTERS = re.compile(r"[^\W\d_]+")
+# What counts as part of a number only, such as a superscript or a fraction, is no letter.
+NUMBERS = "".join(c for c in map(chr, range(0x110000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+LETTERS = re.compile(rf"[^\W\d_{NUMBERS}]+")
 UNKNOWN = "und"
 LONGEST_PIECE = 5
+# How much of an item's frequency is the language's own; the rest is that in all languages together.
+OWN_SHARE = 0.9
 # Words whose backed-off vectors one task keeps before it starts anew.
 KEPT_WORDS = 300_000
 
@@ -66,38 +70,45 @@ def _most_frequent(counts: DataFrame, kept: int) -> DataFrame:
 
 
 def _by_language(counts: list, languages: list[str]) -> dict[str, np.ndarray]:
-    """Smoothed log frequencies, an item of one language having a floor in the others."""
+    """Log frequencies by language, each mixed with a tenth of the frequency in all together: an item that a language
+    lacks has the same floor in every such language, however much text each was learned from."""
     place = {lang: i for i, lang in enumerate(languages)}
     table: dict[str, np.ndarray] = {}
     for r in counts:
         table.setdefault(r["item"], np.zeros(len(languages)))[place[r["lang"]]] += r["n"]
     total = np.sum(list(table.values()), axis=0) if table else np.zeros(len(languages))
-    floor = np.log(total + len(table) + 1)
-    return {item: np.log(n + 1) - floor for item, n in table.items()}
+    every = max(total.sum(), 1.0)
+    return {item: np.log(OWN_SHARE * n / np.maximum(total, 1.0) + (1 - OWN_SHARE) * n.sum() / every) for item, n in table.items()}
 
 
-def fit_languages(texts: DataFrame, text: str = "text", lang: str = "lang", *, sample_per_language: int = 4000, words_kept: int = 40_000, pieces_kept: int = 40_000, most_languages: int = 200) -> LanguageModel:
+def fit_languages(texts: DataFrame, text: str = "text", lang: str = "lang", *, sample_per_language: int = 4000, words_kept: int = 40_000, pieces_kept: int = 40_000, most_items: int = 16_000_000) -> LanguageModel:
     """Learn from the rows whose text and language are known.
 
-    The model is fitted on a sample of about `sample_per_language` rows of each of the `most_languages` most frequent
-    languages, chosen by a hash of the text, and keeps `words_kept` words and `pieces_kept` pieces of each: these
-    bound it whatever the input. An empty input gives a model without languages, which answers `und`.
+    The model is fitted on about `sample_per_language` different texts of each language, chosen by a hash of the text,
+    each counted once; a language with fewer has all of them counted. It keeps `words_kept` words and `pieces_kept`
+    pieces of each language, fewer where the languages are so many that together they would pass `most_items`; these
+    bound it whatever the input, and no language is left out that has a letter in its sample. How frequent a language is
+    follows from all rows. An empty input gives a model without languages, which answers `und`.
     """
     rows = texts.select(F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages).collect()}
-    languages = sorted(sizes)
-    if not languages:
+    hashed = F.xxhash64("text")
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.count_distinct(hashed).alias("different")).collect()
+    if not sizes:
         return LanguageModel([], {}, {}, np.zeros(0))
-    share = F.coalesce(*(F.when(F.col("lang") == k, F.lit(sample_per_language / n)) for k, n in sizes.items()), F.lit(0.0))
-    chosen = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share * (1 << 20))
+    each = max(1, most_items // (2 * len(sizes)))
+    shares = rows.sparkSession.createDataFrame([(r["lang"], sample_per_language / r["different"] * (1 << 20)) for r in sizes], "lang string, share double")
+    chosen = rows.join(F.broadcast(shares), "lang").where(F.pmod(hashed, F.lit(1 << 20)) < F.col("share")).select("lang", "text").distinct()
     schema = "lang string, item string, n long"
-    known = _most_frequent(chosen.mapInPandas(_counted, schema), words_kept).persist()
+    known = _most_frequent(chosen.mapInPandas(_counted, schema), min(words_kept, each)).persist()
     try:
-        pieces = _most_frequent(known.mapInPandas(_cut, schema), pieces_kept).collect()
+        pieces = _most_frequent(known.mapInPandas(_cut, schema), min(pieces_kept, each)).collect()
         known_rows = known.collect()
     finally:
         known.unpersist()
-    prior = np.log(np.array([sizes[k] for k in languages], float) / sum(sizes.values()))
+    heard = {r["lang"] for r in known_rows}
+    count = {r["lang"]: r["n"] for r in sizes if r["lang"] in heard}
+    languages = sorted(count)
+    prior = np.log(np.array([count[k] for k in languages], float) / max(sum(count.values()), 1))
     return LanguageModel(languages, _by_language(known_rows, languages), _by_language(pieces, languages), prior)
 
 

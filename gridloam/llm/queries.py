@@ -141,8 +141,7 @@ WITH doc AS (
   FROM benchmark
 ), probe AS (
   SELECT item_id, n, array_to_string(w[i + 1 : i + n], ' ') AS win
-  FROM (SELECT item_id, w, least(10, len(w)) AS n FROM item WHERE len(w) > 0), range(0, 1000) AS r(i)
-  WHERE i + n <= len(w)
+  FROM (SELECT item_id, w, least(10, len(w)) AS n, unnest(range(0, len(w) - least(10, len(w)) + 1)) AS i FROM item WHERE len(w) > 0)
 ), sizes AS (SELECT DISTINCT n FROM probe
 ), place AS (
   SELECT doc_id, w, unnest(range(0, len(w))) AS i FROM doc WHERE len(w) > 0

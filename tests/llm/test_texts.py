@@ -1,15 +1,17 @@
 """Language, quality, HTML, URL filters and token counts."""
 
+import math
 import random
 import re
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from gridloam.llm import html_text, queries
-from gridloam.llm.language_id import fit_languages, with_language
-from gridloam.llm.quality import fit_quality, with_quality
+from gridloam.llm.language_id import fit_languages, identified, with_language
+from gridloam.llm.quality import fit_quality, trained, with_quality
 from gridloam.llm.token_count import Vocabulary, with_token_count
 from gridloam.llm.url_filter import judged, path_rule, pattern_rule
 
@@ -43,6 +45,68 @@ def test_unknown_words_back_off_to_pieces(spark):
     assert [r["lang_pred"] for r in got.collect()] == ["de", "en", "de"]
 
 
+def test_languages_of_unequal_size(spark):
+    """3,000 texts against 3 over one alphabet: rare and new words do not go to the small language for being unknown."""
+    rng = random.Random(1)
+    word = lambda letters: "".join(rng.choices(letters, k=rng.randint(3, 8)))
+    rows = [(" ".join(word("abcdefgh") for _ in range(20)), "large") for _ in range(3000)]
+    rows += [(" ".join(word("efghijkl") for _ in range(20)), "small") for _ in range(3)]
+    model = fit_languages(spark.createDataFrame(rows, "text string, lang string"))
+    kept = {}
+    for letters, lang, least in (("abcdefgh", "large", 98), ("ijkl", "small", 90)):
+        new = [" ".join(word(letters) for _ in range(10)) for _ in range(100)]
+        assert sum(identified(model, t, kept)[0] == lang for t in new) >= least
+    assert all(identified(model, t, kept)[0] == lang for t, lang in rows[:300] + rows[-3:])
+
+
+def test_every_language_is_learned(spark):
+    rows = [("one and only text", "copied")] * 10_000 + [(f"wort{chr(97 + i % 26)} {i}", "many") for i in range(6000)] + [("²", "mute")] + [(f"x{chr(97 + i // 26)}{chr(97 + i % 26)}", f"l{i}") for i in range(300)]
+    model = fit_languages(spark.createDataFrame(rows, "text string, lang string"))
+    assert len(model.languages) == 302 and "mute" not in model.languages
+    assert identified(model, "one text only", {})[0] == "copied"
+    assert identified(model, "xkq", {})[0] == "l276"
+    assert identified(model, "² ½ Ⅳ 7", {}) == ("und", 0.0)
+
+
+def test_language_model_equals_a_plain_one(spark):
+    rows = [("ab ab cd", "x"), ("cd ef", "y"), ("cd ef", "y")]
+    model = fit_languages(spark.createDataFrame(rows, "text string, lang string"))
+    n = {"x": {"ab": 2, "cd": 1}, "y": {"cd": 1, "ef": 1}}
+    for word in ("ab", "cd", "ef"):
+        every = sum(c.get(word, 0) for c in n.values()) / 5
+        want = [math.log(0.9 * n[k].get(word, 0) / sum(n[k].values()) + 0.1 * every) for k in "xy"]
+        assert model.known[word] == pytest.approx(want)
+    assert model.prior == pytest.approx([math.log(1 / 3), math.log(2 / 3)])
+    total = model.prior + 2 * model.known["ab"] + model.known["ef"]
+    lang, score = identified(model, "AB ab ef", {})
+    assert (lang, score) == ("xy"[int(total.argmax())], pytest.approx(1 / sum(math.exp(t - max(total)) for t in total)))
+
+
+def test_quality_trains_as_a_plain_loop_does():
+    """Follow the regularised leader, place by place, against `trained`."""
+    rng = np.random.default_rng(3)
+    rows = [(rng.choice(16, 5, replace=False), rng.random(5), int(rng.integers(2))) for _ in range(400)]
+    alpha, beta, l1, l2 = 0.3, 1.0, 0.02, 0.1
+    z, n = [0.0] * 17, [0.0] * 17
+
+    def weight(i):
+        return 0.0 if abs(z[i]) <= l1 else -(z[i] - math.copysign(l1, z[i])) / ((beta + math.sqrt(n[i])) / alpha + l2)
+
+    for _ in range(60):
+        for place, value, label in rows:
+            at = [*map(int, place), 16]
+            x = [*value, 1.0]
+            w = [weight(i) for i in at]
+            p = 1 / (1 + math.exp(-sum(a * b for a, b in zip(w, x))))
+            for i, v, wi in zip(at, x, w):
+                g = (p - label) * v
+                sigma = (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / alpha
+                z[i] += g - sigma * wi
+                n[i] += g * g
+    got, bias = trained(rows, 4, 60, alpha, beta, l1, l2)
+    assert got == pytest.approx([weight(i) for i in range(16)]) and bias == pytest.approx(weight(16))
+
+
 def test_quality_of_held_out_documents(spark):
     got = queries.QUERIES["op6_quality"](spark, SF)
     labels = spark.read.parquet(f"{SF}/labels.parquet")
