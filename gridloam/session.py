@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -51,9 +53,31 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+_inner: list[str] = []
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder; no two calls share one."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path below the shared folder, or below that of the innermost `scratch`; no two calls share one."""
+    return f"{_inner[-1] if _inner else shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library has written, wherever the shared folder is."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession, name: str = "scratch") -> Iterator[str]:
+    """What is written to new paths inside goes below one folder, removed at the end. Results to keep are written to a
+    path taken before."""
+    folder = fresh_path(spark, name)
+    _inner.append(folder)
+    try:
+        yield folder
+    finally:
+        _inner.remove(folder)
+        remove(spark, folder)
 
 
 def written(df, name: str):
