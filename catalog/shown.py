@@ -114,3 +114,10 @@ def labels_and_colours(spark, sf_dir):
         display.category_colour(category).alias("colour"), display.status_label(status).alias("status_label"), display.status_colour(status).alias("status_colour"),
         display.precision_weight(precision).alias("weight"), display.bubble_size(count, "osm").alias("osm_size"), display.bubble_size(count, "clusters").alias("cluster_size"),
     )
+
+
+@query("""SELECT o_orderkey, CASE WHEN n >= 10000 THEN floor((n + 500) / 1000)::BIGINT || 'k' WHEN n >= 1000 THEN replace(printf('%.1f', floor((n + 50) / 100) / 10), '.0', '') || 'k' ELSE n::VARCHAR END AS shown
+FROM (SELECT o_orderkey, (o_orderkey * 37) % 25000 AS n FROM orders)""")
+def bubble_counts(spark, sf_dir):
+    k = F.col("o_orderkey")
+    return t.table(spark, sf_dir, "orders").select("o_orderkey", display.abbreviated_count((k * 37) % 25000).alias("shown"))

@@ -89,3 +89,13 @@ def bubble_size(count, layer: str) -> Column:
     for start, size in steps[1:-1]:
         out = out.when(c >= start, size)
     return out.otherwise(steps[-1][1])
+
+
+def abbreviated_count(count) -> Column:
+    """The number in a bubble: whole below a thousand, thousands with one decimal below ten thousand, then whole ones."""
+    c = _col(count).cast("bigint")
+    tenths = F.floor((c + 50) / 100).cast("bigint")
+    decimal = F.when(tenths % 10 == 0, "").otherwise(F.concat(F.lit("."), (tenths % 10).cast("string")))
+    thousands = F.floor((c + 500) / 1000).cast("bigint").cast("string")
+    short = F.concat(F.floor(tenths / 10).cast("bigint").cast("string"), decimal, F.lit("k"))
+    return F.when(c >= 10_000, F.concat(thousands, F.lit("k"))).when(c >= 1000, short).otherwise(c.cast("string"))

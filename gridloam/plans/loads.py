@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gridloam.functions import formula
@@ -15,6 +15,7 @@ from gridloam.functions.text import (
     entity_id,
     entity_id_indexed,
     falsy_to_null,
+    is_unrecognised_status,
     natural_id,
     normalize_status,
     osm_id,
@@ -63,6 +64,12 @@ def _number(name: str):
     return to_double(F.col(f"`{name}`"))
 
 
+def with_status_count(features: DataFrame, name: str = "Status") -> tuple[DataFrame, Observation]:
+    """The features, and how many give a status that has no canonical form, known once their rows have been written."""
+    seen, given = Observation(), F.get_json_object("properties", f"$['{name}']")
+    return features.observe(seen, F.count_if(is_unrecognised_status(given)).alias("unrecognised")), seen
+
+
 def frontier_rows(features: DataFrame, source_version: str, at: datetime, epsg: int | None = None, use_status: bool = False) -> DataFrame:
     """Frontier sites. The source carries no status, so all are `unknown` unless `use_status` reads one."""
     names = FRONTIER_PROPERTIES + (["Status"] if use_status else [])
@@ -187,9 +194,14 @@ def load_feasibility(features: DataFrame, regions: DataFrame, version: str, at:
     """(regions after the upsert, index rows to append) for one set of `feasibility_features`."""
     batch = features.select("row_idx", "name", "country_code", "admin_level", "admin_code", "geometry")
     merged = upsert_regions(regions, batch, F.lit(at))
+    return merged, index_values(features, merged, version, at)
+
+
+def index_values(features: DataFrame, regions: DataFrame, version: str, at: datetime) -> DataFrame:
+    """The index rows of a set of `feasibility_features`, with the ids of their regions, which came with them."""
     values = features.select("row_idx", "country_code", "admin_level", "admin_code", "value", "category", "components")
     # A region with a NULL in its key is found by no key; its id follows from the run and the position, as at the upsert.
     own = natural_id(*TABLE_RULES["regions"]["keys"], distinguish=(F.lit(""), F.col("row_idx")))
-    resolved = resolve_region_id(values, merged, "left").withColumn("region_id", F.coalesce("region_id", own))
+    resolved = resolve_region_id(values, regions, "left").withColumn("region_id", F.coalesce("region_id", own))
     rows = snapshot_rows(resolved, version, at)
-    return merged, rows.select("id", "region_id", "methodology_version", "computed_at", "value", "category", "components")
+    return rows.select("id", "region_id", "methodology_version", "computed_at", "value", "category", "components")

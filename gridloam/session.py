@@ -11,15 +11,16 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+PARTITION_BYTES = 200_000_000
+FEWEST_PARTITIONS, UNKNOWN_INPUT, MOST_PARTITIONS = 200, 5_000, 100_000
 
-def build_session(app: str = "gridloam", master: str | None = None, shuffle_partitions: int | None = None, initial_partitions: int = 100_000) -> SparkSession:
+
+def build_session(app: str = "gridloam", master: str | None = None, shuffle_partitions: int | None = None, input_bytes: int | None = None) -> SparkSession:
     """A session with the settings the operators are written for.
 
     On a cluster leave `master` and `shuffle_partitions` unset: spark-submit names the master and adaptive
-    execution sizes the shuffles.
-
-    Adaptive execution only merges shuffle partitions, so it starts from `initial_partitions`, enough for some 200 MB
-    each at 20 TB of shuffled data.
+    execution sizes the shuffles. It only merges shuffle partitions, so it starts from enough of them for some 200 MB
+    each of `input_bytes`, the size of the largest input; from `UNKNOWN_INPUT` partitions if that is not given.
     """
     builder = (
         SparkSession.builder.appName(app)
@@ -33,10 +34,17 @@ def build_session(app: str = "gridloam", master: str | None = None, shuffle_part
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     elif not (master or "").startswith("local"):
-        builder = builder.config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(initial_partitions))
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(initial_partitions(input_bytes)))
     return builder.getOrCreate()
 
 
+def initial_partitions(input_bytes: int | None) -> int:
+    """Shuffle partitions to start from: one for 200 MB, within bounds that keep the bookkeeping small."""
+    if input_bytes is None:
+        return UNKNOWN_INPUT
+    return min(max(-(-input_bytes // PARTITION_BYTES), FEWEST_PARTITIONS), MOST_PARTITIONS)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, named by `spark.checkpoint.dir`.
 

@@ -141,17 +141,19 @@ class Store:
     def _bucketed(self, table: str, rows: DataFrame, keys: list[str], buckets: int) -> DataFrame:
         return rows.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
 
-    def upsert(self, table: str, batch: DataFrame, keys: list[str], replace: list[str], keep: list[str] = (), order: list[str] = ("row_idx",), by: list[str] = (), buckets: int = BUCKETS) -> Change:
+    def upsert(self, table: str, batch: DataFrame, keys: list[str], replace: list[str], keep: list[str] = (), order: list[str] = ("row_idx",), by: list[str] = (), buckets: int = BUCKETS, accept: Callable[[DataFrame], None] | None = None) -> Change:
         """`operators.tables.upsert` of a batch: only the parts its keys fall into are read, once, and written.
 
         `by` names key columns to lay parts out by, so that versions living side by side are apart; both it and the
-        number of buckets stay as the table's first change had them. Counts: `batch` (rows that arrived, one per key) and
-        `new`.
+        number of buckets stay as the table's first change had them. The batch is read once, into a copy that `accept` may
+        refuse. Counts: `batch` (rows that arrived, one per key) and `new`.
         """
         by, keys = list(by), list(keys)
         if set(by) - set(keys):
             raise ValueError(f"parts can be laid out by key columns only: {sorted(set(by) - set(keys))}")
         arriving = written(self._bucketed(table, batch, keys, buckets), f"{table}-arriving")
+        if accept is not None:
+            accept(arriving)
         _, target = self._touched(table, arriving, by)
         columns = [*keys, *replace, *keep]
         if target is not None:

@@ -181,3 +181,9 @@ def test_labels(spark):
     assert column(spark, ["low_feasibility", "odd"], display.category_short_label, "string") == ["Low", "odd"]
     assert column(spark, ["planned", None, "odd"], display.status_label, "string") == ["Planned", "Status unknown", "odd"]
     assert column(spark, ["city", None], display.precision_weight, "string") == [0.85, 0.85]
+
+
+def test_counts_in_bubbles(spark):
+    counts = [0, 999, 1000, 1049, 1050, 1250, 9949, 9999, 10_000, 10_499, 10_500, 1_234_567, None]
+    want = ["0", "999", "1k", "1k", "1.1k", "1.3k", "9.9k", "10k", "10k", "10k", "11k", "1235k", None]
+    assert column(spark, counts, display.abbreviated_count, "long") == want

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from gridloam.operators.clustering import cluster_points, cluster_pyramid
 from gridloam.operators.history import current_snapshot
 from gridloam.operators.tables import merged_once, upsert
-from gridloam.plans.loads import FEASIBILITY_PROPERTIES, feasibility_features, osm_rows
+from gridloam.plans.loads import FEASIBILITY_PROPERTIES, cluster_rows, feasibility_features, osm_rows, with_status_count
 from gridloam.plans.stored_load import store_feasibility, store_rows
 from gridloam.session import fresh_path
 from gridloam.sources.geojson import read_feature_lines, read_features
@@ -188,8 +188,12 @@ def test_regions_history_and_current_values_change_together(spark):
     with pytest.raises(Exception):
         store_feasibility(features(spark, ["a bad"], "no such category"), store, versions, "1", at[2], buckets=2)
     assert state() == before
+    # A region without a code is a region all the same, and its value goes with it.
+    nameless = features(spark, ["e one"]).withColumn("admin_code", F.lit(None).cast("string"))
+    assert store_feasibility(nameless, store, versions, "1", at[2], buckets=2) == {"regions": 4, "appended": 1}
+    assert store.read("grid_feasibility").join(store.read("regions").select(F.col("id").alias("region_id")), "region_id").count() == 5
     runs = {p["folder"] for p in store.parts("grid_feasibility")}
-    assert len(runs) == 2 and len({re.search("_run=[^/]+", f)[0] for f in runs}) == 2
+    assert len(runs) == 3 and len({re.search("_run=[^/]+", f)[0] for f in runs}) == 3
 
 
 def test_store_rows_counts(spark):
@@ -203,6 +207,10 @@ def test_store_rows_counts(spark):
     assert store.version() == 1
     with pytest.raises(FileNotFoundError):
         store.read("nothing")
+    bags = [(i, None, json.dumps({"Name": f"c{i}", "Status": status})) for i, status in enumerate(["Existing", "odd", "", None, "unheard of"])]
+    features, statuses = with_status_count(spark.createDataFrame(bags, "row_idx long, geometry struct<type:string,coordinates:string>, properties string"))
+    clusters = cluster_rows(features, "2026-05-01", F.lit(datetime(2026, 5, 1)))
+    assert store_rows("clusters", store, clusters, statuses=statuses, buckets=2) == {"read": 5, "written": 5, "rejected": 0, "stored": 5, "unrecognised": 2}
 
 
 def test_pyramid_equals_single_zooms_and_reads_points_once(spark):
