@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,10 +18,13 @@ from gridloam.operators.region_index import (
     build_region_index,
     cell_of,
     contains,
+    distinct_shapes,
     explode_edges,
     with_box,
+    with_shape,
 )
 from gridloam.operators.skew import lookup_join
+from gridloam.session import written
 
 
 def _index(regions: DataFrame | RegionIndex, id_col: str = "id", level_col: str = "admin_level") -> RegionIndex:
@@ -207,22 +212,30 @@ def overlay_regions(
     """(a_id, b_id) for every pair of regions that share a point.
 
     Two regions meet when their boundaries do, or when one holds a whole part of the other, in which case
-    it holds the first vertex of that part.
+    it holds the first vertex of that part. Both sides share one grid, whose index is built once; pairs are those of
+    different shapes until they are made distinct, and only then repeated for regions of one shape.
     """
-    def bare(df: DataFrame, key: str) -> DataFrame:
-        return df.where(F.col(geometry_col).isNotNull()).select(F.col(key).alias("key"), F.col(geometry_col).alias("geometry"))
+    sides = [with_shape(df.withColumn("_side", F.lit(k)), key, "_side", geometry_col) for k, (df, key) in enumerate(((a, a_id), (b, b_id)))]
+    tagged = [side.withColumn("region_id", F.concat_ws(":", "lvl", "region_id")) for side in sides]
+    shapes = distinct_shapes(tagged[0].unionByName(tagged[1])).select("gid", "lvl", "shape", "geometry")
+    shapes = written(shapes, "shapes")
+    index = build_region_index(shapes, "gid", "lvl")
 
-    def index(df: DataFrame) -> RegionIndex:
-        return build_region_index(df.withColumn("admin_level", F.lit(1)), "key")
+    def held(k: int) -> RegionIndex:
+        levels = [replace(level, entries=level.entries.where(F.col("lvl") == k)) for level in index.levels]
+        return replace(index, levels=levels)
 
-    left, right = bare(a, a_id), bare(b, b_id)
-    index_a, index_b = index(left), index(right)
+    left, right = (shapes.where(F.col("lvl") == k).select(F.col("gid").alias("key"), "geometry") for k in (0, 1))
     boundary = explode_edges(left, "geometry")
     corner = F.get(F.get("part", F.lit(0)), F.lit(0))
     corners = right.select("key", F.explode("geometry").alias("part")).select(
         "key", corner["x"].alias("x1"), corner["y"].alias("y1"), corner["x"].alias("x2"), corner["y"].alias("y2"),
         F.lit(True).alias("anchor"),
     )
-    a_meets_b = _named(_hits(boundary, index_b), index_b).select(F.col("key").alias("a_id"), F.col("region_id").alias("b_id"))
-    b_inside_a = _named(_hits(corners, index_a), index_a).select(F.col("region_id").alias("a_id"), F.col("key").alias("b_id"))
-    return a_meets_b.unionByName(b_inside_a).distinct()
+    a_meets_b = _hits(boundary, held(1)).select(F.col("key").alias("a_gid"), F.col("gid").alias("b_gid"))
+    b_inside_a = _hits(corners, held(0)).select(F.col("gid").alias("a_gid"), F.col("key").alias("b_gid"))
+    out = a_meets_b.unionByName(b_inside_a).distinct()
+    for side, gid, name in zip(sides, ("a_gid", "b_gid"), ("a_id", "b_id")):
+        named = side.join(shapes.select("lvl", "shape", F.col("gid").alias(gid)), ["lvl", "shape"]).select(gid, F.col("region_id").alias(name))
+        out = lookup_join(out, named, [gid], "inner")
+    return out.select("a_id", "b_id")
