@@ -463,7 +463,9 @@ def _over_ranges(passed: DataFrame, parts: int) -> DataFrame:
     asked = written(asked.groupBy("anchor").agg(F.collect_set("o").alias("asked")), "asked")
     if asked.isEmpty():
         return cover
-    fits = judged.where("kind = 'fits'").join(anchored, ["text_key", "place"])
+    # One of several equal suffixes stands for all: neighbours have settled them, they only show others what is repeated.
+    fits = judged.where("kind = 'fits'").join(anchored, ["text_key", "place"]).groupBy("anchor", F.md5("suffix").alias("copy"))
+    fits = fits.agg(F.min(F.struct("text_key", "place", "low", "high", "suffix")).alias("one")).select("anchor", "one.*")
     wanted = F.filter("asked", lambda o: o.between(F.col("low"), F.col("high")))
     spread = lookup_join(fits, asked, ["anchor"], "inner").select("suffix", "text_key", "place", wanted.alias("wanted")).where(F.size("wanted") > 0)
     windows = spread.repartition(parts, "text_key", "place").mapInPandas(_windows, "window binary, text_key long, start long")
