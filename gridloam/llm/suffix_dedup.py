@@ -32,8 +32,8 @@ SIDE = WINDOW - ANCHOR
 SUFFIX = ANCHOR + 2 * SIDE
 #: Stands behind the end of a text; no UTF-8 text holds it.
 PAD = b"\xff"
-RANGE_SUFFIXES = 50_000
-RUN_SUFFIXES = 30_000
+RANGE_SUFFIXES = 20_000
+RUN_SUFFIXES = 15_000
 SAMPLE_PER_RANGE = 20
 POSTINGS_PER_BUCKET = 500_000
 SLICE_BYTES = 2 << 20
