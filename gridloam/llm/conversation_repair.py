@@ -8,7 +8,7 @@ q; its weight is the pair (cost, audit). A deduction puts one edit before an ite
 then by how few rows they cover, then by audit: every deduction adds cost or covers one row more, and a letter put
 before two audits keeps their order, so the functions are monotone and superior and an item popped first is final.
 
-Rows are cut into blocks of `BLOCK`, so no conversation has to meet in one task. Of a block the agenda finds the
+Rows are cut into blocks of 2^`BLOCK_BITS`, so no conversation has to meet in one task. Of a block the agenda finds the
 lightest derivation between each pair of states; over blocks a second agenda has deductions with two antecedents, a
 block and the item behind it. A state and an edit's letter name the next state, and every audit of a block ends with
 the letter of its last row, so of two audits of a block none begins the other: comparing blocks one by one compares

@@ -33,7 +33,9 @@ COUNTER_BITS, SLICE_BITS = 22, 16
 # A sketch has at least as many bins, and otherwise a half to a quarter of its set's tokens.
 BINS = 256
 # Neighbours in size are compared first, for the first tokens of each set only; the rest is for the second pass.
-FIRST_TOKENS = 4
+FIRST_TOKENS = 8
+# Passes over neighbours, each in orders of its own, before what is left is compared pair by pair.
+NEIGHBOUR_PASSES = 3
 POSTINGS_PER_BUCKET = 500_000
 ORDERS = (np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25), np.uint64(0xD1B54A32D192ED03))
 
@@ -257,10 +259,10 @@ def _crossing(mixed_up: DataFrame) -> DataFrame:
     return other.join(every, "token").where((F.col("r1") != F.col("r2")) & once & _near_in_size("s1", "s2") & _met_early())
 
 
-def _crossing_neighbours(mixed_up: DataFrame) -> DataFrame:
-    """Of those the pairs that stand next to each other in an order of the token's own; dealt over parts, so that no
-    token is one task's work."""
-    order = Window.partitionBy("token", F.pmod("key", F.lit(64))).orderBy(F.xxhash64("key", "token"), "key")
+def _crossing_neighbours(mixed_up: DataFrame, step: int) -> DataFrame:
+    """Of those the pairs that stand next to each other in an order of the token's own; dealt over parts, other ones at
+    each step, so that no token is one task's work and sets apart in one step may meet in the next."""
+    order = Window.partitionBy("token", F.pmod(F.xxhash64("key", F.lit(step)), F.lit(64))).orderBy(F.xxhash64("key", "token", F.lit(step)), "key")
     before = {f"{c}1": F.lag(name).over(order) for c, name in (("k", "key"), ("s", "size"), ("p", "rank"), ("r", "root"))}
     pairs = mixed_up.withColumns(before).withColumnsRenamed({"key": "k2", "size": "s2", "rank": "p2", "root": "r2"})
     return pairs.where((F.col("r1") != F.col("r2")) & _near_in_size("s1", "s2") & _met_early())
@@ -295,21 +297,26 @@ def _linked(docs: DataFrame, id_column: str, text: str) -> DataFrame:
     roots = written(components(links), "roots")
 
     # What is left: pairs that share a token but lie in different components so far. First again neighbours only, in
-    # another order and for all tokens, which joins most of a large group at the cost of its size; then every pair.
-    seen = first
-    for last in (False, True):
+    # other orders and for all tokens, which joins a large group at the cost of its size; then every pair.
+    seen, step, last = first, 0, False
+    while True:
         labelled = live.select("token", "key", "size", "rank").join(roots.select(F.col("node").alias("key"), "root"), "key", "left").withColumn("root", F.coalesce("root", "key"))
         held = labelled.groupBy("token", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("token").agg(F.count(F.lit(1)).alias("roots"), F.max(F.struct("n", "root"))["root"].alias("main"))
         mixed_up = written(labelled.join(held.where("roots > 1"), "token").drop("roots"), "mixed")
-        crossed = (_crossing(mixed_up) if last else _crossing_neighbours(mixed_up)).select(F.least("k1", "k2").alias("u"), F.greatest("k1", "k2").alias("v")).distinct()
+        crossed = (_crossing(mixed_up) if last else _crossing_neighbours(mixed_up, step)).select(F.least("k1", "k2").alias("u"), F.greatest("k1", "k2").alias("v")).distinct()
         fresh = written(_possible(crossed, sketched).join(seen, ["u", "v"], "left_anti"), "pairs")
-        if not fresh.limit(1).count():
-            continue
-        keys = fresh.select(F.col("u").alias("key")).unionByName(fresh.select(F.col("v").alias("key"))).distinct()
-        more = written(_verified(fresh, written(_sets_of(named, members, keys), "sets")), "links")
-        links, seen = links.unionByName(more), seen.unionByName(fresh)
-        if more.limit(1).count():
+        joined = False
+        if fresh.limit(1).count():
+            keys = fresh.select(F.col("u").alias("key")).unionByName(fresh.select(F.col("v").alias("key"))).distinct()
+            more = written(_verified(fresh, written(_sets_of(named, members, keys), "sets")), "links")
+            links, seen = links.unionByName(more), seen.unionByName(fresh)
+            joined = bool(more.limit(1).count())
+        if joined:
             roots = written(components(links), "roots")
+        if last:
+            break
+        step += 1
+        last = not joined or step == NEIGHBOUR_PASSES
 
     classes = members.where("n_shingles > 0").groupBy("key").agg(F.min("id").alias("least"))
     rooted = classes.join(roots.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
