@@ -11,8 +11,11 @@ without edges is a cell lying entirely inside the region. Pairs that cannot cont
 
 Cells holding more than `MAX_CELL_EDGES` edges are cut again into 8 x 8 smaller ones for as long as that thins
 them out. A smaller cell that keeps nearly all of the larger one's edges, as along a border that many regions share,
-is left as it is: cutting cannot part edges that lie on each other. So the index grows with the edges, however
-unevenly they are spread. Cell sides are powers of two, which makes cell membership exact in floating point.
+is left as it is: cutting cannot part edges that lie on each other. So is a cell that most of its edges only pass
+through: cutting would repeat them in every smaller cell on their way. Regions filling a cell that is cut stay with
+it and are not repeated below. So all edges in cells that are cut are at most as many as edges have ends, and the index
+grows with the edges, however unevenly they are spread and however deep regions lie on each other. Cell sides are
+powers of two, which makes cell membership exact in floating point.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ import math
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from gridloam.functions.geometry import orientation, ring_edges
@@ -48,7 +51,7 @@ class Level:
     """One grid resolution of the index."""
 
     size: float
-    entries: DataFrame  # gid, lvl, c, r, edges, toggles
+    entries: DataFrame  # gid, lvl, c, r, edges, toggles; of cells that continue only the regions filling them
     bytes: int  # measured weight of the entries
     refined: DataFrame | None = None  # c, r of the cells that continue at the next level
     best: DataFrame | None = None  # c, r and candidates as `best_candidates` gives them, where they are stored
@@ -130,6 +133,20 @@ def _local(rows: DataFrame) -> DataFrame:
     return inside.selectExpr("*", "explode(sequence(greatest(l0, c_from), least(l1, c_to))) as c").drop("l0", "l1", *_BOUNDS)
 
 
+def _ends(size: float) -> str:
+    """SQL for the number of ends of an edge that lie in its cell."""
+    return " + ".join(f"cast({cell_of(x, size)} = c and {cell_of(y, size)} = r as int)" for x, y in (("x1", "y1"), ("x2", "y2")))
+
+
+def _split(local: DataFrame, toggles: DataFrame, cells: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Edges and toggles that stay, then those that go on to the next level: all in the given cells but the toggles of
+    regions without edges there, which fill the cell."""
+    inside = local.join(cells, ["c", "r"], "left_semi")
+    partial = inside.select("gid", "lvl", "c", "r").distinct().withColumn("_on", F.lit(True))
+    marked = toggles.join(partial, ["gid", "lvl", "c", "r"], "left")
+    return local.join(cells, ["c", "r"], "left_anti"), marked.where("_on is null").drop("_on"), inside, marked.where("_on").drop("_on")
+
+
 def _odd(df: DataFrame, *keys: str) -> DataFrame:
     """Keys that occur an odd number of times; pairs cancel already in the map-side partial count."""
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n % 2 = 1").drop("n")
@@ -205,6 +222,18 @@ def distinct_shapes(named: DataFrame) -> DataFrame:
     return with_box(shapes, "geometry")
 
 
+def shape_totals(shapes: DataFrame) -> Row:
+    """One row of totals over distinct shapes: the only thing about the regions the driver learns."""
+    return shapes.agg(
+        F.sum((F.col("box_x2") - F.col("box_x1")) * (F.col("box_y2") - F.col("box_y1"))).alias("area"),
+        F.sum(F.size(F.flatten(F.flatten("geometry")))).alias("vertices"),
+        F.count(F.lit(1)).alias("shapes"),
+        F.sum("copies").alias("regions"),
+        F.min("box_x1").alias("x1"), F.max("box_x2").alias("x2"),
+        F.min("box_y1").alias("y1"), F.max("box_y2").alias("y2"),
+    ).first()
+
+
 def cut(shapes: DataFrame, sizes: list[float], refined: list[DataFrame | None]) -> DataFrame:
     """`depth, gid, lvl, c, r, edges, toggles` of shapes cut along the grids of an index there is already: at each depth
     what falls into cells that are cut on goes to the next."""
@@ -218,9 +247,8 @@ def cut(shapes: DataFrame, sizes: list[float], refined: list[DataFrame | None])
         rows = _by_row(current, size)
         local, toggles = _local(rows), _toggles(rows, inherited, size)
         if cells is not None:
-            current = written(_children(local.join(cells, ["c", "r"], "left_semi")), "cell-edges")
-            inherited = written(_children(toggles.join(cells, ["c", "r"], "left_semi")), "cell-toggles")
-            local, toggles = local.join(cells, ["c", "r"], "left_anti"), toggles.join(cells, ["c", "r"], "left_anti")
+            local, toggles, current, inherited = _split(local, toggles, cells)
+            current, inherited = written(_children(current), "cell-edges"), written(_children(inherited), "cell-toggles")
         entries = _entries(local, toggles).withColumn("depth", F.lit(depth))
         out = entries if out is None else out.unionByName(entries)
     return out
@@ -233,33 +261,29 @@ def build_region_index(
     geometry_col: str = "geometry",
     max_cell_edges: int = MAX_CELL_EDGES,
     cells_per_edge: float = 8,
+    size: float | None = None,
+    probes: DataFrame | None = None,
 ) -> RegionIndex:
     """Index a region table once; it then serves any number of point, line and overlay joins.
 
     More `cells_per_edge` make a larger index in which more points fall into cells filled by one region
     and need no boundary test: worth it when points outnumber boundary edges by far.
 
-    Regions repeating the same shape at the same level are indexed once and listed in `members`.
+    Regions repeating the same shape at the same level are indexed once and listed in `members`. `size` is the side of
+    the first cells, where it is settled elsewhere. With `probes`, the points x, y it is made for, only their cells are kept.
     """
     named = with_shape(regions, id_col, level_col, geometry_col)
     kept: list[DataFrame] = []
     shapes = _keep(distinct_shapes(named), kept)
-    # One row of totals: the only thing about the regions the driver learns.
-    totals = shapes.agg(
-        F.sum((F.col("box_x2") - F.col("box_x1")) * (F.col("box_y2") - F.col("box_y1"))).alias("area"),
-        F.sum(F.size(F.flatten(F.flatten("geometry")))).alias("vertices"),
-        F.count(F.lit(1)).alias("shapes"),
-        F.sum("copies").alias("regions"),
-        F.min("box_x1").alias("x1"), F.max("box_x2").alias("x2"),
-        F.min("box_y1").alias("y1"), F.max("box_y2").alias("y2"),
-    ).first()
+    totals = shape_totals(shapes)
     members = None
     if totals["shapes"] and totals["regions"] > totals["shapes"]:
         firsts = shapes.select("lvl", "shape", "gid")
         members = named.select("region_id", "lvl", "shape").join(firsts, ["lvl", "shape"]).select("gid", "region_id")
     bounds = (totals["x1"], totals["x2"], totals["y1"], totals["y2"]) if totals["shapes"] else None
 
-    size = grid_size(totals["area"], totals["vertices"], totals["shapes"], cells_per_edge) if totals["shapes"] else 1.0
+    if size is None:
+        size = grid_size(totals["area"], totals["vertices"], totals["shapes"], cells_per_edge) if totals["shapes"] else 1.0
     current = explode_edges(shapes, "geometry").selectExpr(
         "gid", "lvl", *_EDGE,
         f"{cell_of('box_x1', size)} as c_from", f"{cell_of('box_x2', size)} as c_to",
@@ -271,22 +295,25 @@ def build_region_index(
     current = current.withColumn("held", F.lit(None).cast("bigint"))
     while True:
         rows = _by_row(current, size)
-        local = _keep(_local(rows), kept)
-        toggles = _toggles(rows, inherited, size)
-        counts = local.groupBy("c", "r").agg(F.count(F.lit(1)).alias("n"), F.max("held").alias("held"))
+        local, toggles = _local(rows), _toggles(rows, inherited, size)
+        if probes is not None:
+            wanted = probes.selectExpr(f"{cell_of('x', size)} as c", f"{cell_of('y', size)} as r").distinct()
+            local, toggles = local.join(wanted, ["c", "r"], "left_semi"), toggles.join(wanted, ["c", "r"], "left_semi")
+        local = _keep(local, kept)
+        counts = local.groupBy("c", "r").agg(F.count(F.lit(1)).alias("n"), F.max("held").alias("held"), F.expr(f"sum({_ends(size)})").alias("ends"))
         thinned = F.col("held").isNull() | (F.col("n") <= F.col("held") * THINNED)
-        crowded = counts.where((F.col("n") > max_cell_edges) & thinned).select("c", "r", "n")
+        crowded = counts.where((F.col("n") > max_cell_edges) & thinned & (F.col("ends") >= F.col("n"))).select("c", "r", "n")
         if size <= finest * FANOUT or crowded.isEmpty():
             levels.append(_level(size, _entries(local, toggles), None, kept))
             break
         crowded, toggles = _keep(crowded, kept), _keep(toggles, kept)
         cells = crowded.select("c", "r")
-        calm = _entries(local.join(cells, ["c", "r"], "left_anti"), toggles.join(cells, ["c", "r"], "left_anti"))
-        levels.append(_level(size, calm, cells, kept))
+        calm, still, current, inherited = _split(local.drop("held"), toggles, cells)
+        levels.append(_level(size, _entries(calm, still), cells, kept))
         # Each further level starts from stored rows, so plans do not nest level in level.
-        held = local.drop("held").join(crowded.withColumnRenamed("n", "held"), ["c", "r"])
+        held = current.join(crowded.withColumnRenamed("n", "held"), ["c", "r"])
         current = written(_children(held), "cell-edges")
-        inherited = written(_children(toggles.join(cells, ["c", "r"], "left_semi")), "cell-toggles")
+        inherited = written(_children(inherited), "cell-toggles")
         size /= FANOUT
     return RegionIndex(levels, members, bounds, kept)
 

@@ -61,8 +61,11 @@ def assign_region(
         cell = (f"{cell_of(x, level.size)} as _c", f"{cell_of(y, level.size)} as _r")
         out = _on_cell(out.selectExpr("*", *cell), cells, level.bytes, "left", points.selectExpr(*cell)).drop("_c", "_r")
         found.append(name)
+    # A point in a cell that was cut has the candidates of its smaller cell and the best region filling the larger one.
+    none = F.slice(F.coalesce(*found), 1, 0)
+    merged = F.array_sort(F.concat(*(F.coalesce(f, none) for f in found))) if len(found) > 1 else F.col(found[0])
     # The first candidate is the answer for most points; only where it is not are the others looked at.
-    out = out.withColumn("_candidates", F.coalesce(*found)).drop(*[f for f in found if f != "_candidates"])
+    out = out.withColumn("_candidates", merged).drop(*found)
     out = out.withColumn("_first", F.get("_candidates", F.lit(0)))
     others = f"filter(slice(_candidates, 2, size(_candidates)), k -> {contains('k.edges', 'k.toggles', x, y)})"
     hit = f"if({contains('_first.edges', '_first.toggles', x, y)}, _first.rank.gid, get({others}, 0).rank.gid)"

@@ -246,3 +246,44 @@ def test_index_of_a_long_ring_is_linear(spark):
     index = build_region_index(spark.createDataFrame([(1, 1, shape)], REGION))
     _, values = index_rows(index)
     assert values < 80 * 8000
+
+
+def test_regions_deep_on_each_other_are_not_cut_again_and_again(spark):
+    """Twice as many regions on the same ground make an index twice as large."""
+    rng = random.Random(11)
+    places = [(rng.uniform(0, 6), rng.uniform(0, 6), rng.uniform(0.5, 2), rng.uniform(0.5, 2)) for _ in range(1600)]
+    regions = [(i, 1, [[ring((x, y), (x + w, y), (x + w, y + h), (x, y + h))]]) for i, (x, y, w, h) in enumerate(places)]
+    sizes = []
+    for n in (800, 1600):
+        index = build_region_index(spark.createDataFrame(regions[:n], REGION))
+        sizes.append(sum(level.entries.count() for level in index.levels))
+    assert sizes[1] < 2.5 * sizes[0] and sizes[1] < 200 * 1600
+    points = [(i, {"x": rng.uniform(0, 8), "y": rng.uniform(0, 8)}) for i in range(200)]
+    found = assign_region(spark.createDataFrame(points, f"k int, geometry {POINT}"), index).collect()
+    assert {r["k"]: r["region_id"] for r in found} == {k: best(regions, p["x"], p["y"]) for k, p in points}
+
+
+def test_regions_filling_a_cell_that_is_cut_stay_with_it(spark):
+    """Many small regions in one place below many that hold all of it: these are not repeated in every smaller cell."""
+    rng = random.Random(12)
+    small = [(i, 1, [[ring((x := rng.uniform(10, 10.2), y := rng.uniform(10, 10.2)), (x + 0.002, y), (x, y + 0.002))]]) for i in range(300)]
+    large = [(1000 + i, 2 if i == 7 else 1, [[ring((-i - 1, -i - 1), (60 + i, -i - 1), (60 + i, 60 + i), (-i - 1, 60 + i))]]) for i in range(40)]
+    index = build_region_index(spark.createDataFrame(small + large, REGION))
+    assert len(index.levels) > 1
+    deeper = [level.entries.where("gid >= 1000").count() for level in index.levels[1:]]
+    assert deeper == [0] * len(deeper)
+    points = [(i, {"x": 10 + (i % 14) * 0.015, "y": 10 + (i // 14) * 0.015}) for i in range(196)]
+    points += [(500 + i, {"x": s[0][0][0]["x"] + 0.0005, "y": s[0][0][0]["y"] + 0.0005}) for i, (_, _, s) in enumerate(small)]
+    for regions in (small + large, small + [r for r in large if r[1] == 1]):
+        found = assign_region(spark.createDataFrame(points, f"k int, geometry {POINT}"), spark.createDataFrame(regions, REGION)).collect()
+        assert {r["k"]: r["region_id"] for r in found} == {k: best(regions, p["x"], p["y"]) for k, p in points}
+
+
+def test_an_index_for_given_points_keeps_their_cells(spark):
+    """What the overlay needs of its first side: only the cells that hold a first vertex of the second."""
+    regions = spark.createDataFrame(random_regions(13), REGION)
+    probes = spark.createDataFrame([(0.5, 0.5), (3.25, -4.5)], "x double, y double")
+    whole, part = build_region_index(regions), build_region_index(regions, probes=probes)
+    assert part.levels[0].entries.select("c", "r").distinct().count() <= 2 < whole.levels[0].entries.select("c", "r").distinct().count()
+    points = probes.withColumn("geometry", F.struct("x", "y"))
+    assert sorted(assign_region(points, part).collect()) == sorted(assign_region(points, whole).collect())
