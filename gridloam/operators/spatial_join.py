@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +18,8 @@ from gridloam.operators.region_index import (
     contains,
     distinct_shapes,
     explode_edges,
+    grid_size,
+    shape_totals,
     with_box,
     with_shape,
 )
@@ -215,19 +215,16 @@ def overlay_regions(
     """(a_id, b_id) for every pair of regions that share a point.
 
     Two regions meet when their boundaries do, or when one holds a whole part of the other, in which case
-    it holds the first vertex of that part. Both sides share one grid, whose index is built once; pairs are those of
-    different shapes until they are made distinct, and only then repeated for regions of one shape.
+    it holds the first vertex of that part. Both sides have cells of one size, but only `b` is indexed whole: of `a` the
+    cells that hold such a vertex. Pairs are those of different shapes until they are made distinct, and only then
+    repeated for regions of one shape.
     """
     sides = [with_shape(df.withColumn("_side", F.lit(k)), key, "_side", geometry_col) for k, (df, key) in enumerate(((a, a_id), (b, b_id)))]
     tagged = [side.withColumn("region_id", F.concat_ws(":", "lvl", "region_id")) for side in sides]
     shapes = distinct_shapes(tagged[0].unionByName(tagged[1])).select("gid", "lvl", "shape", "geometry")
     shapes = written(shapes, "shapes")
-    index = build_region_index(shapes, "gid", "lvl")
-
-    def held(k: int) -> RegionIndex:
-        levels = [replace(level, entries=level.entries.where(F.col("lvl") == k)) for level in index.levels]
-        return replace(index, levels=levels)
-
+    totals = shape_totals(with_box(shapes.withColumn("copies", F.lit(1)), "geometry"))
+    size = grid_size(totals["area"], totals["vertices"], totals["shapes"]) if totals["shapes"] else 1.0
     left, right = (shapes.where(F.col("lvl") == k).select(F.col("gid").alias("key"), "geometry") for k in (0, 1))
     boundary = explode_edges(left, "geometry")
     corner = F.get(F.get("part", F.lit(0)), F.lit(0))
@@ -235,8 +232,9 @@ def overlay_regions(
         "key", corner["x"].alias("x1"), corner["y"].alias("y1"), corner["x"].alias("x2"), corner["y"].alias("y2"),
         F.lit(True).alias("anchor"),
     )
-    a_meets_b = _hits(boundary, held(1)).select(F.col("key").alias("a_gid"), F.col("gid").alias("b_gid"))
-    b_inside_a = _hits(corners, held(0)).select(F.col("gid").alias("a_gid"), F.col("key").alias("b_gid"))
+    holders = build_region_index(shapes.where("lvl = 0"), "gid", "lvl", size=size, probes=corners.selectExpr("x1 as x", "y1 as y"))
+    a_meets_b = _hits(boundary, build_region_index(shapes.where("lvl = 1"), "gid", "lvl", size=size)).select(F.col("key").alias("a_gid"), F.col("gid").alias("b_gid"))
+    b_inside_a = _hits(corners, holders).select(F.col("gid").alias("a_gid"), F.col("key").alias("b_gid"))
     out = a_meets_b.unionByName(b_inside_a).distinct()
     for side, gid, name in zip(sides, ("a_gid", "b_gid"), ("a_id", "b_id")):
         named = side.join(shapes.select("lvl", "shape", F.col("gid").alias(gid)), ["lvl", "shape"]).select(gid, F.col("region_id").alias(name))
