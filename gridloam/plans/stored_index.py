@@ -19,8 +19,13 @@ _GRID = "depth int, size double, bytes bigint"
 _ENTRIES = ["depth", "gid", "lvl", "c", "r", "edges", "toggles"]
 
 
+# Cells side by side share a bucket, blocks of so many each way, so that a region is in few.
+BLOCK = 16
+
+
 def _bucketed(cells: DataFrame, buckets: int) -> DataFrame:
-    return cells.withColumn("_bucket", F.pmod(F.xxhash64("depth", "c", "r"), F.lit(buckets)).cast("int"))
+    block = F.xxhash64("depth", F.floor(F.col("c") / BLOCK), F.floor(F.col("r") / BLOCK))
+    return cells.withColumn("_bucket", F.pmod(block, F.lit(buckets)).cast("int"))
 
 
 def _best(entries: DataFrame, depths: int) -> DataFrame:
