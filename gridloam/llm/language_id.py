@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 # What counts as part of a number only, such as a superscript or a fraction, is no letter.
 NUMBERS = "".join(c for c in map(chr, range(0x110000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
 LETTERS = re.compile(rf"[^\W\d_{NUMBERS}]+")
+WORDS = re.compile(r"\w+")
 UNKNOWN = "und"
 LONGEST_PIECE = 5
 # How much of an item's frequency is the language's own; the rest is that in all languages together.
@@ -39,6 +40,14 @@ class LanguageModel:
     prior: np.ndarray
 
 
+def runs_of_letters(text: str) -> list[str]:
+    """What `LETTERS` finds in a text. Its long class is slow, so only words that are not all letters are taken apart by it."""
+    words = WORDS.findall(text)
+    if all(map(str.isalpha, words)):
+        return words
+    return [run for word in words for run in ((word,) if word.isalpha() else LETTERS.findall(word))]
+
+
 def pieces_of(word: str, size: int) -> list[str]:
     """Pieces of `size` letters of a word between two marks; a size of 1 leaves the marks out."""
     marked = word if size == 1 else f"<{word}>"
@@ -49,7 +58,7 @@ def _counted(texts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in texts:
         counts: Counter = Counter()
         for lang, text in zip(batch["lang"], batch["text"]):
-            counts.update((lang, w) for w in LETTERS.findall(text.lower()))
+            counts.update((lang, w) for w in runs_of_letters(text.lower()))
         yield pd.DataFrame([(lang, w, n) for (lang, w), n in counts.items()], columns=["lang", "item", "n"])
 
 
@@ -120,21 +129,22 @@ def word_vector(model: LanguageModel, word: str) -> np.ndarray:
     for size in range(min(LONGEST_PIECE, len(word) + 2), 0, -1):
         got = [model.pieces[p] for p in pieces_of(word, size) if p in model.pieces]
         if got:
-            return np.mean(got, axis=0)
+            return np.add.reduce(got) / len(got)
     return np.zeros(len(model.languages))
 
 
 def identified(model: LanguageModel, text: str | None, kept: dict[str, np.ndarray]) -> tuple[str, float]:
     """The language and its probability; `und` and 0 without a letter. Ties go to the first language by name."""
-    counts = Counter(LETTERS.findall(text.lower())) if text else None
+    counts = Counter(runs_of_letters(text.lower())) if text else None
     if not counts or not model.languages:
         return UNKNOWN, 0.0
-    vectors = []
-    for word in counts:
-        v = kept.get(word)
-        if v is None:
-            v = kept[word] = word_vector(model, word)
-        vectors.append(v)
+    vectors = list(map(model.known.get, counts))
+    for i, word in enumerate(counts):
+        if vectors[i] is None:
+            v = kept.get(word)
+            if v is None:
+                v = kept[word] = word_vector(model, word)
+            vectors[i] = v
     total = model.prior + np.fromiter(counts.values(), float, len(counts)) @ np.array(vectors)
     best = int(np.argmax(total))
     return model.languages[best], 1.0 / math.fsum(np.exp(np.minimum(total - total[best], 0.0)))

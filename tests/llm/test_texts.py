@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridloam.llm import html_text, queries
-from gridloam.llm.language_id import fit_languages, identified, with_language
+from gridloam.llm.language_id import LETTERS, fit_languages, identified, runs_of_letters, with_language
 from gridloam.llm.quality import fit_quality, trained, with_quality
 from gridloam.llm.token_count import Vocabulary, with_token_count
 from gridloam.llm.url_filter import judged, path_rule, pattern_rule
@@ -68,6 +68,17 @@ def test_every_language_is_learned(spark):
     assert identified(model, "² ½ Ⅳ 7", {}) == ("und", 0.0)
 
 
+def test_runs_of_letters_equal_the_pattern():
+    every = "".join(map(chr, range(0x110000)))
+    assert runs_of_letters(every) == LETTERS.findall(every)
+    rng = random.Random(3)
+    for _ in range(200):
+        text = "".join(rng.choice("aé²½_ 1中Ⅷ٣-\u0301") for _ in range(rng.randrange(60)))
+        assert runs_of_letters(text) == LETTERS.findall(text)
+    for text in ("", "two words", "x²y _z9 ٣ab"):
+        assert runs_of_letters(text) == LETTERS.findall(text)
+
+
 def test_language_model_equals_a_plain_one(spark):
     rows = [("ab ab cd", "x"), ("cd ef", "y"), ("cd ef", "y")]
     model = fit_languages(spark.createDataFrame(rows, "text string, lang string"))
