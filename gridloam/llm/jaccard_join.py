@@ -1,11 +1,11 @@
 """Similarity join of documents on sets of 5-word shingles, with prefix filters under several token orders.
 
 Under any one order of all tokens, two sets that are similar enough share a token among the first few of each. The
-first order puts tokens that many documents hold last (frequencies come from a counting sketch over all documents)
-and gives the candidate pairs. Every set carries its first tokens under two further orders along; a pair that does not
-meet under both of them as well is dropped before any set is fetched. Documents
-with equal sets are one class, and pairs within a component already found are not compared again, so that a group of n
-copies costs n, not n * n; no link between different components is left out.
+order puts tokens that many documents hold last (frequencies come from a counting sketch over all documents) and gives
+the candidate pairs. Every set has a sketch of one bit for each token or two, and no similar sets differ in more bits
+than in tokens; a pair that does is dropped before any set is fetched. Documents with equal sets are one class, and
+pairs within a component already found are not compared again, so that a group of n copies costs n, not n * n; no link
+between different components is left out.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,12 +31,14 @@ PERCENT = 75
 LETTERS = ~byte_set((0x20, 0x20), (0x09, 0x0D))
 # The sketch: so many counters whatever the input, kept in so many slices.
 COUNTER_BITS, SLICE_BITS = 22, 16
-# A sketch has at least as many bins, and otherwise a half to a quarter of its set's tokens.
-BINS = 256
+# A sketch has at least as many bits, and otherwise one to two for each token of its set.
+BITS = 512
 # Neighbours in size are compared first, for the first tokens of each set only; the rest is for the second pass.
 FIRST_TOKENS = 8
-# Passes over neighbours, each in orders of its own, before what is left is compared pair by pair.
+# Passes over neighbours, each in orders of its own, before what is left is compared pair by pair; none once that is at
+# most so many pairs for each posting left.
 NEIGHBOUR_PASSES = 3
+FEW_PAIRS = 16
 POSTINGS_PER_BUCKET = 500_000
 ORDERS = (np.uint64(0xA24BAED4963EE407), np.uint64(0x9FB21C651E98DF25), np.uint64(0xD1B54A32D192ED03))
 
@@ -66,7 +69,9 @@ def ordered_sets(texts: pa.Array, levels: np.ndarray) -> tuple[np.ndarray, np.nd
     found, owner = shingles(texts)
     level = levels[(found >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)].astype(np.uint64)
     place = level << np.uint64(58) | mixed(found ^ ORDERS[0]) >> np.uint64(6)
-    order = np.lexsort((place, owner))
+    # By place, then by text: as one lexsort, but the second sort is by few small numbers.
+    order = np.argsort(place)
+    order = order[np.argsort(owner[order].astype(np.min_scalar_type(len(texts))), kind="stable")]
     found, owner = found[order], owner[order]
     new = np.ones(len(found), bool)
     new[1:] = (found[1:] != found[:-1]) | (owner[1:] != owner[:-1])
@@ -109,16 +114,18 @@ def _levels(rows: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def _postings(shared, buckets: int):
-    """Prefix tokens of each text, packed by bucket. A frequent token is dealt over buckets, more the more frequent."""
+    """Prefix tokens of each class, packed by bucket. A frequent token is dealt over buckets, more the more frequent."""
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for b in slices(whole, "text"):
-                found, start, size, key = ordered_sets(b.column("text"), shared.value)
-                length = np.where(size > 0, prefix_length(size), 0)
-                owner = np.repeat(np.arange(len(size)), length)
-                at = np.arange(len(owner)) - np.repeat(np.cumsum(length) - length, length) + np.repeat(start[:-1], length)
-                token, owner_key, owner_size, rank = found[at], key[owner], size[owner], at - start[owner]
+            for b in slices(whole, "prefix"):
+                key, one = np.unique(np.asarray(b.column("key")), return_index=True)
+                prefixes = b.column("prefix").take(pa.array(one))
+                length = np.asarray(pc.binary_length(prefixes)).astype(np.int64) // 8
+                token = np.frombuffer(b"".join(prefixes.to_pylist()), np.uint64)
+                owner = np.repeat(np.arange(len(key)), length)
+                owner_key, owner_size = key[owner], np.asarray(b.column("n_shingles"))[one][owner]
+                rank = np.arange(len(owner)) - np.repeat(np.cumsum(length) - length, length)
                 level = shared.value[(token >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)].astype(np.uint64)
                 salt = mixed(token ^ owner_key.view(np.uint64)) & ((np.uint64(1) << level) - np.uint64(1))
                 bucket = (mixed(token + salt * ORDERS[2]) % np.uint64(buckets)).astype(np.int32)
@@ -153,40 +160,21 @@ def _shared(group: pd.DataFrame) -> pd.DataFrame:
 
 
 def _sets_of(docs: DataFrame, members: DataFrame, keys: DataFrame) -> DataFrame:
-    """Token sets of classes, from the text of one member each (equal rows may give a set twice): the tokens stirred by
-    the second order, sorted. Documents are shuffled only if the classes are too many to be broadcast."""
+    """Token sets of classes, from the text of one member each (equal rows may give a set twice): the tokens stirred,
+    sorted. Documents are shuffled only if the classes are too many to be broadcast."""
     chosen = written(members.join(keys, "key", "left_semi").groupBy("key").agg(F.min("row").alias("row")), "chosen")
     texts = docs.select("row", "text").join(F.broadcast(chosen) if fits_broadcast(chosen) else chosen, "row").select("key", "text")
-    none = np.zeros(1 << COUNTER_BITS, np.uint8)
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for b in slices(whole, "text"):
-                found, start, _, _ = ordered_sets(b.column("text"), none)
+                found, start, _, _ = ordered_sets(b.column("text"), np.zeros(1 << COUNTER_BITS, np.uint8))
                 second = [np.sort(mixed(found[i:j] ^ ORDERS[1])).tobytes() for i, j in zip(start, start[1:])]
                 yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(second, pa.binary())], ["key", "tokens"])
 
     return texts.mapInArrow(made, "key long, tokens binary")
 
 
-def first_tokens(found: np.ndarray, start: np.ndarray) -> list[bytes]:
-    """The first tokens of each set under the second and then the third order, sorted, 32 bits of each."""
-    out = []
-    stirred = mixed(found ^ ORDERS[1])
-    for i, j in zip(start.tolist(), start[1:].tolist()):
-        p = int(prefix_length(np.int64(j - i))) if j > i else 0
-        orders = (stirred[i:j], mixed(stirred[i:j] ^ ORDERS[2])) if p else ()
-        out.append(b"".join(np.sort(np.partition(x, p - 1)[:p] >> np.uint64(32)).astype(np.uint32).tobytes() for x in orders))
-    return out
-
-
-def meet_under_all(a: bytes, b: bytes) -> bool:
-    """Whether two sets' first tokens meet under the second and under the third order. 32 bits may make them seem to."""
-    x, y = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
-    p, q = len(x) // 2, len(y) // 2
-    return all(not set(x[i].tolist()).isdisjoint(y[j].tolist()) for i, j in ((slice(0, p), slice(0, q)), (slice(p, None), slice(q, None))))
-
-
 def similar(a: bytes, b: bytes) -> bool:
     """Whether two whole sets are similar."""
     x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
@@ -205,36 +193,38 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def sketches(found: np.ndarray, start: np.ndarray) -> list[bytes]:
-    """How many tokens of each set fall into each bin; nothing where a bin holds too many for a byte."""
-    out = []
-    stirred = mixed(found ^ ORDERS[2])
-    for i, j in zip(start.tolist(), start[1:].tolist()):
-        bins = max(BINS, 1 << max(j - i, 1).bit_length() >> 2)
-        counts = np.bincount((stirred[i:j] & np.uint64(bins - 1)).astype(np.int64), minlength=bins)
-        out.append(counts.astype(np.uint8).tobytes() if counts.max() < 256 else b"")
-    return out
-
-
-def may_be_similar(a: bytes, b: bytes) -> bool:
-    """Whether two sketches allow their sets to be similar: sets share no more tokens than their bins do."""
-    if not a or not b:
-        return True
-    x, y = (np.frombuffer(v, np.uint8).astype(np.int64) for v in (a, b))
-    bins = min(len(x), len(y))
-    x, y = x.reshape(-1, bins).sum(axis=0), y.reshape(-1, bins).sum(axis=0)
-    common = int(np.minimum(x, y).sum())
-    return 100 * common >= PERCENT * (int(x.sum() + y.sum()) - common)
+    """Of each set, as bits: whether an odd number of its tokens falls on each bit."""
+    size = np.diff(start)
+    bits = np.array([max(BITS, 1 << int(n).bit_length()) for n in size], np.int64)
+    begin = np.concatenate([[0], np.cumsum(bits)])
+    owner = np.repeat(np.arange(len(size)), size)
+    at = (mixed(found ^ ORDERS[2]) & (bits[owner] - 1).astype(np.uint64)).astype(np.int64) + begin[owner]
+    packed = np.packbits((np.bincount(at, minlength=begin[-1]) & 1).astype(np.uint8), bitorder="little").tobytes()
+    return [packed[i:j] for i, j in zip((begin // 8).tolist(), (begin[1:] // 8).tolist())]
+
+
+def folded(sketch: bytes, size: int) -> bytes:
+    """The sketch that the same set has in `size` bytes, no more than it has now."""
+    return sketch if len(sketch) == size else np.bitwise_xor.reduce(np.frombuffer(sketch, np.uint8).reshape(-1, size), axis=0).tobytes()
+
+
+def may_be_similar(a: bytes, b: bytes, total: int) -> bool:
+    """Whether two sketches allow their sets, of `total` tokens together, to be similar. Each token that only one set
+    holds turns one bit, so sets differ in at least as many tokens as their sketches in bits."""
+    size = min(len(a), len(b))
+    differ = (int.from_bytes(folded(a, size), "little") ^ int.from_bytes(folded(b, size), "little")).bit_count()
+    return (100 + PERCENT) * differ <= (100 - PERCENT) * total
 
 
 def _possible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Of candidate pairs those that meet under all orders, and whose sketches allow them to be similar."""
+    """Of candidate pairs those whose sketches allow them to be similar."""
 
     def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield b.loc[[meet_under_all(x, y) and may_be_similar(s, t) for x, y, s, t in zip(b["fa"], b["fb"], b["a"], b["b"])], ["u", "v"]]
+            yield b.loc[[may_be_similar(*r) for r in zip(b["a"], b["b"], b["n"] + b["m"])], ["u", "v"]]
 
-    left = classes.select(F.col("key").alias("u"), F.col("sketch").alias("a"), F.col("firsts").alias("fa"))
-    right = classes.select(F.col("key").alias("v"), F.col("sketch").alias("b"), F.col("firsts").alias("fb"))
+    left = classes.select(F.col("key").alias("u"), F.col("sketch").alias("a"), F.col("n_shingles").alias("n"))
+    right = classes.select(F.col("key").alias("v"), F.col("sketch").alias("b"), F.col("n_shingles").alias("m"))
     return pairs.join(left, "u").join(right, "v").mapInPandas(check, "u long, v long")
 
 
@@ -251,6 +241,16 @@ def _near_in_size(a: str, b: str):
     return 100 * F.least(a, b) >= PERCENT * F.greatest(a, b)
 
 
+def _mixed_up(postings: DataFrame, roots: DataFrame) -> DataFrame:
+    """Postings of the tokens whose sets lie in several components: each with its root, and of the token the component
+    that holds most of its sets (`main`) and their number (`held`)."""
+    labelled = postings.select("token", "key", "size", "rank").join(roots.select(F.col("node").alias("key"), "root"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    several = labelled.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("token")
+    labelled = written(labelled.join(several, "token", "left_semi"), "labelled")
+    held = labelled.groupBy("token", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("token").agg(F.sum("n").alias("held"), F.max(F.struct("n", "root"))["root"].alias("main"))
+    return written(labelled.join(held, "token"), "mixed")
+
+
 def _crossing(mixed_up: DataFrame) -> DataFrame:
     """All pairs of sets of one token in different components, near in size and with the token early enough."""
     other = mixed_up.where("root != main").select("token", F.col("key").alias("k1"), F.col("size").alias("s1"), F.col("rank").alias("p1"), F.col("root").alias("r1"))
@@ -280,14 +280,16 @@ def _linked(docs: DataFrame, id_column: str, text: str) -> DataFrame:
         for whole in batches:
             for b in slices(whole, "text"):
                 found, start, size, key = ordered_sets(b.column("text"), shared.value)
-                yield pa.RecordBatch.from_arrays([b.column("id"), b.column("row"), pa.array(size, pa.int64()), pa.array(key, pa.int64()), pa.array(sketches(found, start), pa.binary()), pa.array(first_tokens(found, start), pa.binary())], ["id", "row", "n_shingles", "key", "sketch", "firsts"])
+                ends = start[:-1] + np.where(size > 0, prefix_length(size), 0)
+                first = [found[i:j].tobytes() for i, j in zip(start.tolist(), ends.tolist())]
+                yield pa.RecordBatch.from_arrays([b.column("id"), b.column("row"), pa.array(size, pa.int64()), pa.array(key, pa.int64()), pa.array(sketches(found, start), pa.binary()), pa.array(first, pa.binary())], ["id", "row", "n_shingles", "key", "sketch", "prefix"])
 
-    members = written(rows.mapInArrow(classed, f"id {id_type}, row long, n_shingles long, key long, sketch binary, firsts binary"), "members")
+    members = written(rows.mapInArrow(classed, f"id {id_type}, row long, n_shingles long, key long, sketch binary, prefix binary"), "members")
     buckets = max(1, -(-total // (4 * POSTINGS_PER_BUCKET)))
-    postings = rows.select("text").mapInArrow(_postings(shared, buckets), "bucket int, token binary, key binary, size binary, rank binary, hot binary")
+    postings = members.select("key", "n_shingles", "prefix").mapInArrow(_postings(shared, buckets), "bucket int, token binary, key binary, size binary, rank binary, hot binary")
     live = written(postings.groupBy("bucket").applyInPandas(_shared, "token long, key long, size int, rank int, before long, size_before int"), "postings")
 
-    sketched = members.join(live.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.first("sketch").alias("sketch"), F.first("firsts").alias("firsts"))
+    sketched = members.join(live.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.first("sketch").alias("sketch"), F.first("n_shingles").alias("n_shingles"))
     sketched = written(sketched, "sketches")
     near = live.where("before != key").where(_near_in_size("size", "size_before"))
     first = written(_possible(near.select(F.least("key", "before").alias("u"), F.greatest("key", "before").alias("v")).distinct(), sketched), "pairs")
@@ -296,21 +298,24 @@ def _linked(docs: DataFrame, id_column: str, text: str) -> DataFrame:
     links = written(_verified(first, sets), "links")
     roots = written(components(links), "roots")
 
-    # What is left: pairs that share a token but lie in different components so far. First again neighbours only, in
-    # other orders and for all tokens, which joins a large group at the cost of its size; then every pair.
-    seen, step, last = first, 0, False
+    # What is left: pairs that share a token but lie in different components so far. Where these are many, first again
+    # neighbours only, in other orders and for all tokens, which joins a large group at the cost of its size; then every
+    # pair. A token whose sets are all in one component is done with, for components only grow.
+    seen, mixed_up, step, last = first, live, 0, False
     while True:
-        labelled = live.select("token", "key", "size", "rank").join(roots.select(F.col("node").alias("key"), "root"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-        held = labelled.groupBy("token", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("token").agg(F.count(F.lit(1)).alias("roots"), F.max(F.struct("n", "root"))["root"].alias("main"))
-        mixed_up = written(labelled.join(held.where("roots > 1"), "token").drop("roots"), "mixed")
+        mixed_up = _mixed_up(mixed_up, roots)
+        left = mixed_up.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.when(F.col("root") != F.col("main"), F.col("held"))).alias("pairs")).first()
+        if not left["rows"]:
+            break
+        last = last or left["pairs"] <= FEW_PAIRS * left["rows"]
         crossed = (_crossing(mixed_up) if last else _crossing_neighbours(mixed_up, step)).select(F.least("k1", "k2").alias("u"), F.greatest("k1", "k2").alias("v")).distinct()
-        fresh = written(_possible(crossed, sketched).join(seen, ["u", "v"], "left_anti"), "pairs")
+        fresh = written(_possible(crossed.join(seen, ["u", "v"], "left_anti"), sketched), "pairs")
         joined = False
-        if fresh.limit(1).count():
+        if not fresh.isEmpty():
             keys = fresh.select(F.col("u").alias("key")).unionByName(fresh.select(F.col("v").alias("key"))).distinct()
             more = written(_verified(fresh, written(_sets_of(named, members, keys), "sets")), "links")
             links, seen = links.unionByName(more), seen.unionByName(fresh)
-            joined = bool(more.limit(1).count())
+            joined = not more.isEmpty()
         if joined:
             roots = written(components(links), "roots")
         if last:
