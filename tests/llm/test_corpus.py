@@ -163,6 +163,29 @@ def test_a_hot_line_over_several_ranges(spark, range_suffixes):
         assert (sum(s["end"] - s["start"] for s in r["spans"]), len(r["spans"]), hashlib.sha256(bytes(r["kept"])).hexdigest()) == (gone, spans, kept)
 
 
+def test_anchors_of_few_suffixes_stay_in_one_range(spark, monkeypatch):
+    """No anchor has suffixes for more than a range here, so none is sorted again and asked for window by window."""
+
+    def again(*_):
+        raise AssertionError("an anchor reaches over an end of its range")
+
+    monkeypatch.setattr(suffix_dedup, "_resorted", again)
+    rng = random.Random(6)
+    lines = ["".join(rng.choices("abcdefgh", k=300)) for _ in range(40)]
+    texts = ["".join(rng.choices("ijkl", k=150)) + lines[i % 40] + "".join(rng.choices("mnop", k=150)) for i in range(200)]
+    texts += texts[:30]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = suffix_dedup.without_repeats(df, range_suffixes=40).orderBy("doc_id").collect()
+    assert [sum(s["end"] - s["start"] for s in r["spans"]) for r in got] == [w[1] for w in plain_repeats(texts)]
+
+
+def test_bounds_come_before_their_anchors():
+    a, b = (c * suffix_dedup.ANCHOR for c in (b"a", b"b"))
+    suffixes = [(x + bytes(2 * suffix_dedup.SIDE), -5, 0, 0, 0) for x in (a, b)] + [(b + b"x" * 2 * suffix_dedup.SIDE, 1, 3, 200, 200)]
+    bounds = suffix_dedup.before_anchors(suffixes)
+    assert bounds == sorted(bounds) and bounds[0] < suffixes[0] < bounds[1] < suffixes[1] and bounds[2] == suffixes[2]
+
+
 def test_repeats_in_odd_rows(spark, odd_documents):
     rows = suffix_dedup.without_repeats(odd_documents).collect()
     want = dict(zip([(r["doc_id"], r["text"]) for r in rows], plain_repeats([r["text"] for r in rows])))
@@ -205,6 +228,47 @@ def test_components_match_brute_force(spark, seed):
     assert {tuple(r) for r in got} == components(rows)
 
 
+@pytest.mark.parametrize("seed", [1, 3])
+def test_components_over_passes_of_neighbours(spark, monkeypatch, seed):
+    monkeypatch.setattr(jaccard_join, "FEW_PAIRS", 0)
+    monkeypatch.setattr(jaccard_join, "FIRST_TOKENS", 0)
+    rows = near_copies(seed)
+    got = jaccard_join.linked_documents(spark.createDataFrame(rows, "doc_id int, text string")).collect()
+    assert {tuple(r) for r in got} == components(rows)
+
+
+def test_few_pairs_are_compared_at_once(spark, monkeypatch):
+    """Texts that share a stretch but are not similar: what is left after the first pairs is little, and one pass."""
+
+    def passed(*_):
+        raise AssertionError("a pass over neighbours")
+
+    monkeypatch.setattr(jaccard_join, "_crossing_neighbours", passed)
+    shared = [f"s{i}" for i in range(40)]
+    rows = [(d, " ".join([f"w{d}x{i}" for i in range(40)] + (shared if d % 5 == 0 else []))) for d in range(40)]
+    rows += [(100 + d, text + " more") for d, text in rows[:10]]
+    got = jaccard_join.linked_documents(spark.createDataFrame(rows, "doc_id int, text string")).collect()
+    assert {tuple(r) for r in got} == components(rows)
+
+
+def test_sketches_differ_in_no_more_bits_than_sets_in_tokens():
+    rng = np.random.default_rng(5)
+    for n in (1, 5, 80, 511, 512, 3_000):
+        pool = rng.integers(0, 1 << 63, 4 * n).astype(np.uint64)
+        for share in (0.8, 0.86, 0.95, 1.0):
+            m = int(n * rng.uniform(0.8, 1.2)) or 1
+            both = int(share * min(n, m))
+            sets = pool[:n], np.concatenate([pool[:both], pool[n : n + m - both]])
+            a, b = jaccard_join.sketches(np.concatenate(sets), np.array([0, n, n + m]))
+            if jaccard_join.similar(*(np.sort(x).tobytes() for x in sets)):
+                assert jaccard_join.may_be_similar(a, b, n + m)
+            small = min(len(a), len(b))
+            bits = int.from_bytes(jaccard_join.folded(a, small)) ^ int.from_bytes(jaccard_join.folded(b, small))
+            assert bits.bit_count() <= n + m - 2 * both
+    a, b = jaccard_join.sketches(pool[:1_200], np.array([0, 600, 1_200]))
+    assert not jaccard_join.may_be_similar(a, b, 1_200) and len(a) == 128
+
+
 def test_similar_documents_in_odd_rows(spark, odd_documents):
     rows = jaccard_join.linked_documents(odd_documents).collect()
     got = sorted((-1 if r["doc_id"] is None else r["doc_id"], r["n_shingles"], r["component_id"] or -1) for r in rows)
